@@ -63,7 +63,7 @@ def main():
     args = sys.argv[1:]
     folder = args.pop(0) if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     spark = (
-        SparkSession.builder.master("local[8]").config("spark.ui.enabled", False)
+        SparkSession.builder.master("local[8]").config("spark.ui.enabled", False).config("spark.ui.showConsoleProgress", False)
         .config("spark.sql.shuffle.partitions", 8).config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )

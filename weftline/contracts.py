@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import types as T
 
 from weftline.operators.conform import Contract
@@ -149,5 +151,13 @@ def _contract(columns: str, synonyms: dict[str, str]) -> Contract:
     )
 
 
-TRIPS = _contract(TRIP_COLUMNS, TRIP_SYNONYMS)
-OLDER_TRIPS = _contract(OLDER_TRIP_COLUMNS, OLDER_TRIP_SYNONYMS)
+@cache
+def trips() -> Contract:
+    """The trip table; needs a running session, which parses the column list."""
+    return _contract(TRIP_COLUMNS, TRIP_SYNONYMS)
+
+
+@cache
+def older_trips() -> Contract:
+    """The older trip table fed from CSV files."""
+    return _contract(OLDER_TRIP_COLUMNS, OLDER_TRIP_SYNONYMS)
