@@ -67,7 +67,7 @@ def main():
         .config("spark.sql.shuffle.partitions", 8).config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = connect(folder)
     failed = 0
     for name, (job, sql) in all_jobs().items():
@@ -77,7 +77,7 @@ def main():
         try:
             problem, count = difference(spark, con, folder, job, sql)
         except Exception as error:  # noqa: BLE001 - report and go on
-            problem, count = f"{type(error).__name__}: {str(error)[:1500]}", 0
+            problem, count = f"{type(error).__name__}: {str(error)[:300]}", 0
         failed += problem is not None
         print(f"{'FAIL' if problem else 'ok  '} {name:24s} {count:8d} rows {time.time() - start:6.2f}s "
               f"{'' if sql else '(no oracle)'} {problem or ''}", flush=True)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the function.
 TAIL = 16
@@ -38,11 +39,11 @@ def chop_swap(text: str | None) -> str | None:
     return None if text is None else f"{text[-TAIL:]}-{text[:HEAD]}"
 
 
-python_udf = F.udf(chop_swap, "string", useArrow=False)
-arrow_udf = F.udf(chop_swap, "string", useArrow=True)
+python_udf = F.udf(chop_swap, T.StringType(), useArrow=False)
+arrow_udf = F.udf(chop_swap, T.StringType(), useArrow=True)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def pandas_udf(text: pd.Series) -> pd.Series:
     return text.str[-TAIL:] + "-" + text.str[:HEAD]
 

@@ -7,9 +7,10 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def difference(value: pd.Series, base: pd.Series) -> pd.Series:
     return value - base
 

@@ -1 +1,66 @@
-JOBS = {}
+"""Keyed JSON messages as one batch and as a stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from weftline.functions.strings import keyed_json
+from weftline.plans.tables import table
+from weftline.streaming.messages import (
+    LABELS, MESSAGE_SCHEMA, SALES_DIMENSIONS, file_stream, sales_messages, start_messages,
+)
+from weftline.workspace import new_folder
+
+
+def _parsed(messages: DataFrame) -> DataFrame:
+    body = F.from_json("value", MESSAGE_SCHEMA).alias("body")
+    return messages.select("key", body).select("key", "body.*")
+
+
+def keyed_json_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """One sales message per order: its key picks the combination, its price scales the sale.
+
+    Factors are quarters, so four times a price never falls between two cents.
+    """
+    orders = table(spark, folder, "orders")
+    key = F.col("o_orderkey")
+    return _parsed(sales_messages(orders, key, key, F.col("o_totalprice") * 4))
+
+
+def stream_keyed_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Events read as a file stream, sent as messages to a file sink, read back."""
+    schema = table(spark, folder, "events").schema
+    events = file_stream(spark, folder, schema, "events.parquet")
+    messages = events.select(*keyed_json(F.col("event_id"), "event_id", "user_id", "event_type", "value"))
+    out = new_folder(spark, "messages")
+    query = start_messages(messages, new_folder(spark, "offsets"), "parquet", {"path": out}, every=None)
+    query.awaitTermination()
+    body = F.from_json("value", "event_id bigint, user_id bigint, event_type string, value double")
+    return spark.read.parquet(out).select("key", body.alias("body")).select("key", "body.*")
+
+
+def _choice_sql() -> str:
+    """Digits of ``o_orderkey % product``, most significant dimension first."""
+    stride, parts = 1, []
+    for name, values in reversed(SALES_DIMENSIONS.items()):
+        listed = ", ".join(repr(v) for v in values)
+        parts.append(f"([{listed}])[CAST(o_orderkey // {stride} % {len(values)} AS INTEGER) + 1] AS {name}")
+        stride *= len(values)
+    return ", ".join(reversed(parts))
+
+
+JOBS = {
+    "keyed_json_batch": (
+        keyed_json_batch,
+        f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS key, {', '.join(LABELS)},
+               round(o_totalprice * 4 * CAST(factor AS DOUBLE), 2) AS sales, o_orderkey AS transaction_id
+        FROM (SELECT o_orderkey, o_totalprice, {_choice_sql()} FROM orders)
+        """,
+    ),
+    "stream_keyed_json": (
+        stream_keyed_json,
+        "SELECT CAST(event_id AS VARCHAR) AS key, event_id, user_id, event_type, value FROM events",
+    ),
+}

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.sources.files import list_files
+
 
 def read_csv(
     spark: SparkSession,
@@ -37,19 +39,22 @@ def without_markers(line: Column, sep: str = "|", wrapper: str = "^") -> Column:
 
 
 def read_mixed_delimiter(spark: SparkSession, path: str, sep: str = "|", wrapper: str = "^") -> DataFrame:
-    """Lines whose fields are split by ``sep``, each possibly wrapped, first line = names.
+    """Lines whose fields are split by ``sep``, each possibly wrapped, first line = names
+    (of the first file, when ``path`` is a folder).
 
     Every line equal to the header is dropped, so concatenated files work too. Lines
     shorter than the header give NULLs for the missing fields.
     """
-    lines = spark.read.text(path).select(without_markers(F.col("value"), sep, wrapper).alias("line"))
-    header = lines.head(1)
-    if not header:
+    unmarked = without_markers(F.col("value"), sep, wrapper).alias("line")
+    first_file = list_files(spark, path).agg(F.min("path")).first()[0]
+    found = spark.read.text(first_file).select(unmarked).head(1) if first_file else []
+    if not found:
         raise ValueError(f"{path} is empty")
-    names = header[0]["line"].split(sep)
+    header = found[0]["line"]
+    names = header.split(sep)
     fields = F.split("line", re.escape(sep))
     return (
-        lines.where(F.col("line") != F.lit(header[0]["line"]))
+        spark.read.text(path).select(unmarked).where(F.col("line") != F.lit(header))
         .select(fields.alias("fields"))
         .select(*[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(names)])
     )
