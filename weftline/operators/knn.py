@@ -38,10 +38,14 @@ def _total(parts: list[Column]) -> Column:
 
 
 class _Space:
-    """Feature columns ``u0, u1, ...``, their extremes and the distance on them."""
+    """Feature columns ``u0, u1, ...``, their extremes and the distance on them.
 
-    def __init__(self, ends: list[tuple[float, float]], metric: str):
+    ``gaps`` are the positions of features that some row lacks.
+    """
+
+    def __init__(self, ends: list[tuple[float, float]], gaps: set[int], metric: str):
         self.ends = ends
+        self.gaps = gaps
         self.size = len(ends)
         self.term = METRICS[metric]
         self.names = [f"u{i}" for i in range(self.size)]
@@ -58,29 +62,39 @@ class _Space:
             parts.append(F.when(F.col(name).isNull(), F.lit(-1)).otherwise(index).cast("string"))
         return F.concat_ws("|", F.lit(str(level)), *parts, "block")
 
-    def _scaled(self, terms: list[Column]) -> Column:
-        """Sum over the features both sides know, scaled up to all features; NULL if none is shared."""
-        shared = _total([F.when(t.isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0)) for t in terms])
+    def _measured(self, df: DataFrame, name: str, offsets: list[Column]) -> DataFrame:
+        """Add the distance made of per-feature ``offsets``.
+
+        Only features both sides know count, scaled up to all features; without any, the
+        distance is NULL. Each step is its own projection, so no expression is repeated.
+        """
+        steps = [f"_{name}{i}" for i in range(self.size)]
+        measured = df.withColumns(dict(zip(steps, offsets)))
+        terms = [self.term(F.col(s)) for s in steps]
+        if not self.gaps:
+            return measured.withColumn(name, _total(terms)).drop(*steps)
+        known = [F.when(F.col(s).isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0)) for s in steps]
         summed = _total([F.coalesce(t, F.lit(0.0)) for t in terms])
-        return F.when(shared > 0, summed * (F.lit(float(self.size)) / shared))
+        measured = measured.withColumns({"_sum": summed, "_known": _total(known)})
+        scaled = F.when(F.col("_known") > 0, F.col("_sum") * (F.lit(float(self.size)) / F.col("_known")))
+        return measured.withColumn(name, scaled).drop("_sum", "_known", *steps)
 
-    def distance(self) -> Column:
-        return self._scaled([self.term(F.col(n) - F.col(f"v_{n}")) for n in self.names])
+    def with_distance(self, df: DataFrame) -> DataFrame:
+        return self._measured(df, "distance", [F.col(n) - F.col(f"v_{n}") for n in self.names])
 
-    def nearest(self) -> Column:
-        """Lower bound of the distance to any vector in the box."""
-        return self._scaled([
-            self.term(F.greatest(F.col(f"lo_{n}") - F.col(n), F.col(n) - F.col(f"hi_{n}"), F.lit(0.0)))
-            + (F.col(n) + F.col(f"lo_{n}")) * F.lit(0.0)
-            for n in self.names
-        ])
+    def with_bounds(self, df: DataFrame) -> DataFrame:
+        """Add ``lower`` and ``upper``: no vector in the box is nearer, and none is farther.
 
-    def farthest(self) -> Column:
-        """Upper bound of the distance to any vector in the box."""
-        return self._scaled([
-            self.term(F.greatest(F.col(n) - F.col(f"lo_{n}"), F.col(f"hi_{n}") - F.col(n)))
-            for n in self.names
-        ])
+        Subtraction, the metric's terms and their sum in fixed order are monotonic in floating
+        point too, so the bounds hold for the computed distances exactly.
+        """
+        near, far = [], []
+        for i, n in enumerate(self.names):
+            below, above = F.col(f"lo_{n}") - F.col(n), F.col(n) - F.col(f"hi_{n}")
+            gap = F.greatest(below, above, F.lit(0.0))
+            near.append(F.when(below.isNotNull(), gap) if i in self.gaps else gap)
+            far.append(F.greatest(-below, -above))
+        return self._measured(self._measured(df, "lower", near), "upper", far)
 
 
 def _donor_vectors(rows: DataFrame, space: _Space, k: int) -> DataFrame:
@@ -128,15 +142,20 @@ _CELL = ["node", "donor_count"]
 def _pruned(frontier: DataFrame, space: _Space, k: int) -> DataFrame:
     """Drop the cells of each vector that cannot hold one of its ``k`` nearest donors."""
     boxes = [f"{end}_{n}" for n in space.names for end in ("lo", "hi")]
-    bounded = frontier.withColumns({"lower": space.nearest(), "upper": space.farthest()}).where(
-        F.col("lower").isNotNull()
+    # Boxes that share no feature with the vector have NULL bounds: last in order, then dropped.
+    bounded = space.with_bounds(frontier)
+    if "reach" in frontier.columns:
+        # What the level above has proven drops most children before the windows see them.
+        bounded = bounded.where(F.col("reach").isNull() | (F.col("lower") <= F.col("reach"))).drop("reach")
+    ordered = (
+        Window.partitionBy("vector").orderBy(F.asc_nulls_last("upper"))
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    ordered = Window.partitionBy("vector").orderBy("upper").rowsBetween(Window.unboundedPreceding, 0)
     covered = bounded.withColumn("_donors", F.sum("donor_count").over(ordered))
     enough = F.min(F.when(F.col("_donors") >= k, F.col("upper"))).over(Window.partitionBy("vector"))
     return (
         covered.withColumn("reach", enough)
-        .where(F.col("reach").isNull() | (F.col("lower") <= F.col("reach")))
+        .where(F.col("lower").isNotNull() & (F.col("reach").isNull() | (F.col("lower") <= F.col("reach"))))
         .select("vector", *space.names, *_CELL, *boxes, "reach")
     )
 
@@ -154,27 +173,29 @@ def _descend(probes: DataFrame, levels: list[DataFrame], space: _Space, k: int)
             F.when(F.col("parent").isNull(), F.col(c)).otherwise(F.col(f"child_{c}")).alias(c)
             for c in [*_CELL, *boxes]
         ]
-        frontier = _pruned(met.select("vector", *space.names, *chosen), space, k)
+        frontier = _pruned(met.select("vector", "reach", *space.names, *chosen), space, k)
         if depth % _LEVELS_PER_WRITE == 0:
             frontier = materialize(frontier, f"knn-frontier-{depth}")
     return frontier
 
 
-def nearest_donors(rows: DataFrame, ends: list[tuple[float, float]], k: int, metric: str,
-                   leaf_vectors: int = LEAF_VECTORS) -> DataFrame:
+def _nearest_donors(rows: DataFrame, space: _Space, k: int, leaf_vectors: int) -> DataFrame:
     """``(vector, id, target, distance, rank)``: the ``k`` nearest donors of each incomplete vector.
 
     ``rows`` has ``id``, ``target``, ``block``, ``vector`` (the text of block and features) and
     the features ``u0, u1, ...``. Equal distances are ordered by id.
     """
-    space = _Space(ends, metric)
     levels, leaves = _nested_cells(_donor_vectors(rows, space, k), space, leaf_vectors)
     probes = rows.where(F.col("target").isNull()).select("vector", "block", *space.names).dropDuplicates(["vector"])
-    compared = (
-        _descend(probes, levels, space, k).join(leaves, "node")
-        .withColumn("distance", space.distance())
-        .where(F.col("reach").isNull() | (F.col("distance") <= F.col("reach")))
-    )
+    # The windows of all levels reuse this partitioning. Its fixed number of parts keeps the
+    # work spread, which by its small number of bytes would look like too little to spread.
+    spark = rows.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    frontier = _descend(probes.repartition(parts, "vector"), levels, space, k)
+    compared = space.with_distance(frontier.join(leaves, "node"))
+    if space.gaps:
+        compared = compared.where(F.col("distance").isNotNull())
+    compared = compared.where(F.col("reach").isNull() | (F.col("distance") <= F.col("reach")))
     # A donor among the k nearest belongs to one of the k vectors whose first donor is nearest.
     near = Window.partitionBy("vector").orderBy("distance", F.col("donors")[0]["id"])
     closest = compared.withColumn("_rank", F.row_number().over(near)).where(F.col("_rank") <= k)
@@ -183,12 +204,16 @@ def nearest_donors(rows: DataFrame, ends: list[tuple[float, float]], k: int, met
     return each.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k)
 
 
-def _extremes(df: DataFrame, columns: list[Column]) -> list[tuple[float, float]]:
-    row = df.agg(
-        *[F.min(c).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(c).alias(f"hi{i}") for i, c in enumerate(columns)],
-    ).first()
-    return [(row[f"lo{i}"] or 0.0, row[f"hi{i}"] or 0.0) for i in range(len(columns))]
+def _extremes(df: DataFrame, columns: list[Column]) -> tuple[list[tuple[float, float]], set[int]]:
+    """Smallest and largest value per column, and the positions of columns with missing values."""
+    parts = []
+    for i, c in enumerate(columns):
+        parts += [
+            F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"), F.count_if(c.isNull()).alias(f"missing{i}")
+        ]
+    row = df.agg(*parts).first()
+    count = range(len(columns))
+    return [(row[f"lo{i}"] or 0.0, row[f"hi{i}"] or 0.0) for i in count], {i for i in count if row[f"missing{i}"]}
 
 
 def impute(
@@ -212,7 +237,7 @@ def impute(
     """
     numbers = [F.col(f"`{c}`").cast("double") for c in features]
     numbers = [F.when(~F.isnan(n), n) for n in numbers]
-    ends = _extremes(df, numbers)
+    ends, gaps = _extremes(df, numbers)
     if scale:
         numbers = [
             (n - F.lit(lo)) / F.lit(hi - lo) if hi > lo else n * F.lit(0.0)
@@ -225,7 +250,7 @@ def impute(
         F.col(id_column).alias("id"), F.col(target).alias("target"), place.alias("block"),
         vector.alias("vector"), *[n.alias(f"u{i}") for i, n in enumerate(numbers)],
     )
-    neighbours = nearest_donors(rows, ends, k, metric, leaf_vectors)
+    neighbours = _nearest_donors(rows, _Space(ends, gaps, metric), k, leaf_vectors)
     is_number = isinstance(df.schema[target].dataType, T.NumericType)
     value = F.avg("target") if is_number else F.mode("target", True)
     found = neighbours.groupBy("vector").agg(value.cast(df.schema[target].dataType).alias("_imputed"))

@@ -8,13 +8,12 @@ own, because there driver and executors are one machine.
 from __future__ import annotations
 
 import atexit
-import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+_run_folders: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -22,20 +21,30 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = context.applicationId
-    if app not in _local_roots:
-        root = tempfile.mkdtemp(prefix="weftline-")
-        atexit.register(shutil.rmtree, root, True)
-        _local_roots[app] = root
-    return _local_roots[app]
+    return tempfile.gettempdir()
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This run's own folder below the shared root; removed again when Python ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _run_folders:
+        _run_folders[app] = f"{shared_root(spark)}/weftline-{uuid.uuid4().hex}"
+        atexit.register(_remove_quietly, Storage(spark), _run_folders[app])
+    return _run_folders[app]
+
+
+def _remove_quietly(storage: Storage, folder: str) -> None:
+    try:
+        storage.remove(folder)
+    except Exception:  # noqa: BLE001 - the JVM may already be gone
+        pass
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A path below the shared root that no other run uses; nothing is created yet."""
-    return f"{shared_root(spark)}/weftline/{label}-{uuid.uuid4().hex}"
+    """A path below the run's folder that nothing else uses; nothing is created yet."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
