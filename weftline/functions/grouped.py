@@ -26,7 +26,10 @@ def center_by_group(df: DataFrame, key: str, value: str, name: str) -> DataFrame
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             grouped = batch.groupby(key, dropna=False)[value]
-            yield pd.DataFrame({"total": grouped.sum(), "n": grouped.count()}).reset_index()
+            reduced = pd.DataFrame({"total": grouped.sum(), "n": grouped.count()}).reset_index()
+            # Plain objects: a key column with a missing value may have become an Arrow-backed one.
+            reduced[key] = pd.Series([None if pd.isna(k) else k for k in reduced[key]], dtype=object)
+            yield reduced
 
     sums = df.select(key, value).mapInPandas(partial, f"`{key}` {kinds[key]}, total double, n bigint")
     means = sums.groupBy(key).agg((F.sum("total") / F.sum("n")).alias("_mean"))
