@@ -65,8 +65,8 @@ def conform(df: DataFrame, contract: Contract, constants: dict[str, Column] | No
     """Rename, parse, derive the year, fill, cast and reorder in one projection.
 
     ``constants`` supplies columns that do not come from the data, such as lineage.
-    The extra ``_invalid`` array names the target columns whose value was present but
-    could not be converted, so nothing is lost without a trace.
+    The extra ``_invalid`` text lists the target columns whose value was present but could
+    not be converted, so nothing is lost without a trace. It is empty for good rows.
     """
     constants = constants or {}
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -84,13 +84,13 @@ def conform(df: DataFrame, contract: Contract, constants: dict[str, Column] | No
         tries = [typed(quoted(c), kinds[c], target.dataType, contract.datetime_format) for c in inputs]
         converted[target.name] = F.coalesce(*tries) if len(tries) > 1 else tries[0]
         for c, tried in zip(inputs, tries):
-            if kinds[c] != target.dataType:
+            if kinds[c] != target.dataType and not isinstance(target.dataType, T.StringType):
                 lost = quoted(c).isNotNull() & tried.isNull()
                 doubtful.append(F.when(lost, F.lit(target.name)))
     if contract.year_of:
         year, stamp = contract.year_of
         converted[year] = F.year(converted[stamp]).cast(contract.schema[year].dataType)
-    invalid = F.array_compact(F.array(*doubtful)) if doubtful else F.array().cast("array<string>")
+    invalid = F.concat_ws(",", *doubtful) if doubtful else F.lit("")
     return df.select(
         *[converted[f.name].alias(f.name) for f in contract.schema.fields], invalid.alias(INVALID)
     )

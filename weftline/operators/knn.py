@@ -14,6 +14,7 @@ third of the table costs as much as a single row.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import add
 
@@ -23,9 +24,9 @@ from pyspark.sql import types as T
 
 from weftline.workspace import materialize
 
-LEAF_VECTORS = 64
-# Splits per level are chosen so that a cell has at most about 2**6 children.
-_CHILD_BITS = 6
+LEAF_VECTORS = 32
+# Splits per level are chosen so that a cell has at most about 2**4 children.
+_CHILD_BITS = 4
 # A double distinguishes about 2**52 positions on [0, 1].
 _POSITION_BITS = 48
 _LEVELS_PER_WRITE = 3
@@ -52,15 +53,28 @@ class _Space:
         self.bits = max(1, _CHILD_BITS // self.size)
         self.max_level = _POSITION_BITS // self.bits
 
-    def cell(self, level: int) -> Column:
-        """The vector's grid cell at ``level`` as text; block last, because it may hold any text."""
+    def slots(self, level: int) -> dict[str, Column]:
+        """The vector's grid position per feature at ``level``; -1 where the feature is missing."""
         steps = 1 << (self.bits * level)
-        parts = []
+        found = {}
         for name, (low, high) in zip(self.names, self.ends):
             position = (F.col(name) - F.lit(low)) / F.lit(high - low) if high > low else F.lit(0.0)
             index = F.least(F.floor(position * F.lit(float(steps))), F.lit(steps - 1).cast("bigint"))
-            parts.append(F.when(F.col(name).isNull(), F.lit(-1)).otherwise(index).cast("string"))
-        return F.concat_ws("|", F.lit(str(level)), *parts, "block")
+            found[f"c_{name}"] = F.when(F.col(name).isNull(), F.lit(-1).cast("bigint")).otherwise(index)
+        return found
+
+    def cell(self, level: int, up: int = 0) -> Column:
+        """Name of the cell at ``level``, from slots taken ``up`` levels below it.
+
+        The block comes last, because it may hold any text.
+        """
+        slots = [F.shiftright(F.col(f"c_{n}"), self.bits * up).cast("string") for n in self.names]
+        return F.concat_ws("|", F.lit(str(level)), *slots, "block")
+
+    def first_level(self, vectors: int, leaf_vectors: int) -> int:
+        """The level at which evenly spread vectors would no longer be crowded."""
+        wanted = math.log2(max(1.0, vectors / leaf_vectors))
+        return min(self.max_level, math.ceil(wanted / (self.bits * self.size)))
 
     def _measured(self, df: DataFrame, name: str, offsets: list[Column]) -> DataFrame:
         """Add the distance made of per-feature ``offsets``.
@@ -108,20 +122,37 @@ def _donor_vectors(rows: DataFrame, space: _Space, k: int) -> DataFrame:
 
 
 def _nested_cells(vectors: DataFrame, space: _Space, leaf_vectors: int) -> tuple[list[DataFrame], DataFrame]:
-    """Cell tables per level, and all vectors with the undivided cell they ended up in."""
+    """Cell tables per level, and all vectors with the undivided cell they ended up in.
+
+    Levels that even spreading would crowd are summed up from the first one below them. From
+    there on, only the vectors of crowded cells go on to the next level.
+    """
+    slots = [f"c_{n}" for n in space.names]
+    boxes = [F.min(f"lo_{n}").alias(f"lo_{n}") for n in space.names]
+    boxes += [F.max(f"hi_{n}").alias(f"hi_{n}") for n in space.names]
+    start = space.first_level(vectors.count(), leaf_vectors)
     levels: list[DataFrame] = []
     settled: list[DataFrame] = []
     active = vectors
-    for level in range(space.max_level + 1):
-        parent = space.cell(level - 1) if level else F.lit(None).cast("string")
-        placed = active.select(*vectors.columns, space.cell(level).alias("node"), parent.alias("parent"))
-        cells = placed.groupBy("node", "parent", "block").agg(
+    for level in range(start, space.max_level + 1):
+        placed = active.select(*vectors.columns, *[c.alias(n) for n, c in space.slots(level).items()])
+        parent = space.cell(level - 1, 1) if level else F.lit(None).cast("string")
+        placed = placed.withColumns({"node": space.cell(level), "parent": parent})
+        cells = placed.groupBy("node", "parent", "block", *slots).agg(
             F.count(F.lit(1)).alias("vector_count"),
             F.sum(F.size("donors")).alias("donor_count"),
             *[F.min(n).alias(f"lo_{n}") for n in space.names],
             *[F.max(n).alias(f"hi_{n}") for n in space.names],
         )
         cells = materialize(cells, f"knn-cells-{level}")
+        if level == start:
+            for above in range(level):
+                up = level - above
+                outer = space.cell(above - 1, up + 1) if above else F.lit(None).cast("string")
+                summed = cells.groupBy(
+                    space.cell(above, up).alias("node"), outer.alias("parent"), "block"
+                ).agg(F.sum("donor_count").alias("donor_count"), *boxes)
+                levels.append(materialize(summed, f"knn-cells-{above}"))
         levels.append(cells)
         crowded = cells.where(F.col("vector_count") > leaf_vectors).select("node", F.lit(True).alias("crowded"))
         if level == space.max_level or crowded.isEmpty():
@@ -189,6 +220,7 @@ def _nearest_donors(rows: DataFrame, space: _Space, k: int, leaf_vectors: int) -
     probes = rows.where(F.col("target").isNull()).select("vector", "block", *space.names).dropDuplicates(["vector"])
     # The windows of all levels reuse this partitioning. Its fixed number of parts keeps the
     # work spread, which by its small number of bytes would look like too little to spread.
+    probes = materialize(probes, "knn-probes")
     spark = rows.sparkSession
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     frontier = _descend(probes.repartition(parts, "vector"), levels, space, k)

@@ -116,7 +116,7 @@ def table_conform_csv(spark: SparkSession, folder: str) -> DataFrame:
         F.sum("fare_amount").cast("double").alias("fares"),
         F.sum("trip_distance").cast("double").alias("distance"),
         F.count("rate_code").alias("rated_count"),
-        F.sum(F.size("_invalid")).alias("invalid_count"),
+        F.count_if(F.col("_invalid") != "").alias("invalid_count"),
     )
 
 

@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.operators.conform import INVALID, Contract, complete, loadable
 from weftline.workspace import Storage
@@ -31,8 +32,9 @@ def load_table(conformed: DataFrame, name: str, contract: Contract) -> dict[str,
     """
     seen = Observation()
     lost = [
-        F.count_if(F.array_contains(INVALID, f.name)).alias(f"invalid_{f.name}")
+        F.count_if(F.find_in_set(F.lit(f.name), F.col(INVALID)) > 0).alias(f"invalid_{f.name}")
         for f in contract.schema.fields
+        if not isinstance(f.dataType, T.StringType)
     ]
     watched = conformed.observe(
         seen,
