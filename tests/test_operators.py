@@ -136,4 +136,7 @@ def test_scans_prune_and_push_down(spark):
     assert "PartitionFilters: [isnotnull(o_orderstatus" in part
     for name in ("chop_swap_native", "chop_swap_sqlexpr", "chop_swap_sqlfn"):
         assert "EvalPython" not in plan_of(jobs[name][0](spark, TABLES))
+    for name in ("grouped_pandas", "string_index"):
+        joined = plan_of(jobs[name][0](spark, TABLES))
+        assert "BroadcastHashJoin" in joined and "Exchange hashpartitioning" not in joined
     assert plan_of(jobs["profile_numeric"][0](spark, TABLES)).count("Scan parquet") == 1

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.workspace import materialize
+
 
 @F.pandas_udf(T.DoubleType())
 def difference(value: pd.Series, base: pd.Series) -> pd.Series:
@@ -33,6 +35,8 @@ def center_by_group(df: DataFrame, key: str, value: str, name: str) -> DataFrame
 
     sums = df.select(key, value).mapInPandas(partial, f"`{key}` {kinds[key]}, total double, n bigint")
     means = sums.groupBy(key).agg((F.sum("total") / F.sum("n")).alias("_mean"))
+    # Once written, its size is known: Spark broadcasts it if small and leaves ``df`` unshuffled.
+    means = materialize(means, "group-means")
     same = df[key].eqNullSafe(means[key])
     return df.join(means, same, "left").select(df["*"], difference(df[value], F.col("_mean")).alias(name))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators.numbering import number_rows
 from weftline.operators.profile import text_columns
+from weftline.workspace import materialize
 
 MISSING = "?"
 
@@ -24,13 +25,13 @@ def label_index(df: DataFrame, column: str) -> DataFrame:
 def index_strings(df: DataFrame, columns: list[str] | None = None, keep: bool = False) -> DataFrame:
     """Replace each string column by ``<column>_index``.
 
-    The label table joins by equality; Spark broadcasts it when its measured size is small
-    and splits hot labels of the large side otherwise.
+    The label table is written once, so its size is known: Spark broadcasts it when it is small
+    and otherwise splits hot labels of the large side.
     """
     columns = text_columns(df) if columns is None else columns
     out = df
     for column in columns:
-        out = out.join(label_index(df, column), column, "left")
+        out = out.join(materialize(label_index(df, column), "labels"), column, "left")
     kept = df.columns if keep else [c for c in df.columns if c not in columns]
     return out.select(*kept, *[f"{c}_index" for c in columns])
 

@@ -321,6 +321,6 @@ def hvdm_features(
                 for v, name in zip(labels, columns)
             ]
         )
-        out = out.join(shares, c, "left")
+        out = out.join(materialize(shares, "label-shares"), c, "left")
         names += columns
     return out.select(*df.columns, *names), names

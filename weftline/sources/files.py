@@ -41,7 +41,8 @@ def missing_months(spans: DataFrame, present: DataFrame, key: str) -> DataFrame:
     expected = spans.select(
         key, F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("start")
     ).select(key, F.date_format("start", "yyyy-MM").alias("month"))
-    return expected.join(present, [key, "month"], "left_anti")
+    # Existing rows shrink to one per key and month before they are shuffled.
+    return expected.join(present.select(key, "month").distinct(), [key, "month"], "left_anti")
 
 
 def open_store(path: str):
@@ -92,11 +93,10 @@ def schema_groups(spark: SparkSession, root: str, kind: str) -> list[tuple[str,
 
     Only path names reach the driver, which plans the scans and needs them anyway.
     """
-    rows = (
-        file_signatures(spark, root, kind).groupBy("signature")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("signature").collect()
-    )
-    return [(row["signature"], row["paths"]) for row in rows]
+    groups: dict[str, list[str]] = {}
+    for path, signature in sorted(file_signatures(spark, root, kind).select("path", "signature").collect()):
+        groups.setdefault(signature, []).append(path)
+    return sorted(groups.items())
 
 
 def _read_group(spark: SparkSession, kind: str, signature: str, paths: list[str]) -> DataFrame:
