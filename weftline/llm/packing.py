@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm.common import BROADCAST_BYTES, column, empty_as_text, running_total
 from weftline.llm.pair_index import pair_index_coder
+from weftline.llm.vocabulary import chunks
 from weftline.workspace import materialize
 
 WINDOW = 2048
@@ -42,8 +43,8 @@ def _encoded(docs: DataFrame, path: str, end_id: int, doc_id: str, text: str, so
         coder = pair_index_coder(path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            coder.learn(list(batch))
-            yield pd.Series([_narrow(coder.encode(value) + end) for value in batch], dtype=object)
+            stored = [_narrow(ids + end) for texts in chunks(batch) for ids in coder.encode_all(texts)]
+            yield pd.Series(stored, dtype=object)
 
     ids = F.pandas_udf(encode, "binary")
     rows = docs.select(

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.vocabulary import Memo, Vocabulary, WordMemo, between_added, split_words, vocabulary
+from weftline.llm.vocabulary import Vocabulary, WordMemo, between_added, chunks, split_words, vocabulary
 
 _NO_RANK = np.int64(1 << 40)
 
@@ -32,9 +32,11 @@ def _pair_ranks(left: np.ndarray, right: np.ndarray, vocab: Vocabulary) -> np.nd
 
 def merge_words(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all words in a row, and where each word's ids end."""
+    if not words:
+        return np.empty(0, np.uint32), np.empty(0, np.int64)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1)
-    symbols = np.full(int(ends[-1]) if len(words) else 0, -1, np.int64)
+    symbols = np.full(int(ends[-1]), -1, np.int64)
     inside = np.ones(len(symbols), bool)
     inside[ends - 1] = False
     symbols[inside] = vocab.byte_table[np.frombuffer(b"".join(words), np.uint8)]
@@ -82,29 +84,28 @@ class PairIndexCoder:
 
     def __init__(self, vocab: Vocabulary):
         self._vocab = vocab
-        self._by_word = Memo(lambda word: merge_words([word.encode()], vocab)[0].tobytes())
-        self._texts = WordMemo(lambda words: b"".join(map(self._by_word.__getitem__, words)))
-
-    def learn(self, texts: list[str]) -> None:
-        """Merge all words of the batch that are not remembered yet, in one pass over their pairs."""
-        known = self._by_word
-        unseen = {
-            word for piece in self._texts.unknown(texts) for word in split_words(piece) if word not in known
-        }
-        if unseen:
-            unseen = sorted(unseen)
-            ids, ends = merge_words([word.encode() for word in unseen], self._vocab)
-            raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-            known.add({word: raw[a:b] for word, a, b in zip(unseen, cuts, cuts[1:], strict=False)})
-
-    def encode(self, text: str) -> bytes:
-        """Ids of the whole text as little-endian unsigned 32-bit integers."""
-        out = []
-        for part, added in between_added(text, self._vocab):
-            out.extend(self._texts.of(part))
-            if added is not None:
-                out.append(added.to_bytes(4, "little"))
-        return b"".join(out)
+        self._texts = WordMemo(self._encode_pieces)
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        split = [split_words(piece) for piece in pieces]
+        words = list({word for own in split for word in own})
+        ids, ends = merge_words([word.encode() for word in words], self._vocab)
+        raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        of_word = {word: raw[a:b] for word, a, b in zip(words, cuts, cuts[1:], strict=False)}
+        return [of_word[own[0]] if len(own) == 1 else b"".join([of_word[word] for word in own]) for own in split]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each whole text as little-endian unsigned 32-bit integers."""
+        if not any(content in text for text in texts for content in self._vocab.added):
+            return [b"".join(values) for values in self._texts.of_all(texts)]
+        parts = [between_added(text, self._vocab) for text in texts]
+        values = iter(self._texts.of_all([part for own in parts for part, _ in own]))
+        return [
+            b"".join(
+                b"".join(next(values)) + (b"" if added is None else added.to_bytes(4, "little")) for _, added in own
+            )
+            for own in parts
+        ]
 
     def decode(self, ids: bytes) -> str:
         """Text of the ids; bytes that are no UTF-8 become replacement characters."""
@@ -132,9 +133,7 @@ def encode_texts(docs: DataFrame, path: str, *, text: str = "text", ids: str = "
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = pair_index_coder(path)
         for batch in batches:
-            texts = [value or "" for value in batch]
-            coder.learn(texts)
-            yield pd.Series([coder.encode(value) for value in texts], dtype=object)
+            yield pd.Series([ids for texts in chunks(batch) for ids in coder.encode_all(texts)], dtype=object)
 
     return docs.withColumn(ids, F.pandas_udf(encode, "binary")(F.col(f"`{text}`")))
 
@@ -159,13 +158,11 @@ def round_trip_digests(docs: DataFrame, path: str, *, text: str = "text") -> Dat
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = pair_index_coder(path)
         for batch in batches:
-            texts = [value or "" for value in batch]
-            coder.learn(texts)
             rows = []
-            for value in texts:
-                ids = coder.encode(value)
-                decoded = coder.decode(ids).encode()
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+            for texts in chunks(batch):
+                for ids in coder.encode_all(texts):
+                    decoded = coder.decode(ids).encode()
+                    rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
             yield pd.DataFrame(rows, columns=["n", "ids", "decoded"])
 
     digests = F.pandas_udf(digest, "n bigint, ids string, decoded string")

@@ -23,6 +23,7 @@ from weftline.llm.vocabulary import (
     Vocabulary,
     WordMemo,
     between_added,
+    chunks,
     iterate_words,
     split_words,
     vocabulary,
@@ -43,7 +44,9 @@ class PrefixTable:
         self._edges: tuple[dict, dict] = ({}, {})
         self._whole: dict[int, bool] = {}
         self._word_total = Memo(lambda word: self.word(word.encode())[-1])
-        self._totals = WordMemo(lambda words: sum(map(self._word_total.__getitem__, words)))
+        self._totals = WordMemo(
+            lambda pieces: [sum(map(self._word_total.__getitem__, split_words(piece))) for piece in pieces]
+        )
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """The symbols at one edge of ``token`` from last to first merge, each with the rank that ends it."""
@@ -113,11 +116,14 @@ class PrefixTable:
                     break
         return counts
 
+    def total_all(self, texts: list[str]) -> list[int]:
+        """Number of tokens of each whole text."""
+        parts = [between_added(text, self._vocab) for text in texts]
+        values = iter(self._totals.of_all([part for own in parts for part, _ in own]))
+        return [sum(sum(next(values)) + (added is not None) for _, added in own) for own in parts]
+
     def total(self, text: str) -> int:
-        """Number of tokens of the whole text."""
-        return sum(
-            sum(self._totals.of(part)) + (added is not None) for part, added in between_added(text, self._vocab)
-        )
+        return self.total_all([text])[0]
 
     def of_prefixes(self, text: str) -> list[int]:
         """Token counts of all prefixes of ``text`` by UTF-8 bytes, its own count last.
@@ -205,10 +211,10 @@ def count_tokens(
         table = prefix_table(path)
         for batch in texts:
             rows = []
-            for value in batch:
-                value = value or ""
-                size, total = len(value.encode()), table.total(value)
-                rows.append((size, total, size if total <= limit else table.fitting_bytes(value, limit)))
+            for texts in chunks(batch):
+                for value, total in zip(texts, table.total_all(texts), strict=True):
+                    size = len(value.encode())
+                    rows.append((size, total, size if total <= limit else table.fitting_bytes(value, limit)))
             yield pd.DataFrame(rows, columns=["size", "total", "fits"])
 
     measure = F.pandas_udf(count, "size bigint, total bigint, fits bigint")

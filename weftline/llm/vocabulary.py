@@ -8,7 +8,7 @@ from its own installation.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,7 +21,7 @@ SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+
 _pattern = regex.compile(SPLIT_PATTERN)
 
 #: Entries a memo table may hold before it starts anew; frequent words refill it at once.
-MEMO_ENTRIES = 700_000
+MEMO_ENTRIES = 400_000
 
 
 def _byte_characters() -> dict[str, int]:
@@ -66,6 +66,8 @@ def vocabulary(path: str) -> Vocabulary:
 
 def split_words(text: str) -> list[str]:
     """The pieces of ``text`` within which merges may happen."""
+    if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+        return [text]  # letters only, after a space or not
     return _pattern.findall(text)
 
 
@@ -87,50 +89,62 @@ class Memo(dict):
         value = self[key] = self._make(key)
         return value
 
-    def add(self, values: dict) -> None:
-        if len(self) + len(values) > MEMO_ENTRIES:
-            self.clear()
-        self.update(values)
-
 
 class WordMemo:
-    """Values of whole texts, put together from memoised values of their words.
+    """Values of whole texts, put together from memoised values of their pieces.
 
-    ``value_of(words)`` gives the value of a list of split words. A text is cut at its
-    single spaces; each cut piece is valued with the space before it, which is exact as
-    long as no white space touches a cut. Texts where it does are split as a whole.
+    ``value_all(pieces)`` gives the values of many pieces at once. A text is cut at its
+    single spaces; each piece is valued with the space before it, which is exact as long
+    as no white space touches a cut. Texts where it does are cut into split words instead.
     """
 
-    def __init__(self, value_of: Callable[[list[str]], object]):
-        self._value_of = value_of
-        self._first = Memo(lambda piece: self._piece(piece, piece))
-        self._later = Memo(lambda piece: self._piece(piece, " " + piece))
-
-    def _piece(self, piece: str, text: str):
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            return None  # white space at a cut: the caller splits the whole text
-        return self._value_of(split_words(text))
-
-    def of(self, text: str) -> list:
-        """The values of the parts of ``text``, in order."""
-        if not text:
-            return []
-        pieces = text.split(" ")
-        later = self._later
-        values = [self._first[pieces[0]], *map(later.__getitem__, pieces[1:])]
-        if None in values:
-            return [self._value_of([word]) for word in split_words(text)]
-        return values
-
-
-    def unknown(self, texts: list[str]) -> set[str]:
-        """The cut pieces of ``texts``, with the space before them, that are not remembered."""
-        first, later = set(), set()
-        for text in texts:
-            pieces = text.split(" ")
-            first.add(pieces[0])
-            later.update(pieces[1:])
-        return (first - self._first.keys()) | {" " + piece for piece in later - self._later.keys()}
+    def __init__(self, value_all: Callable[[list[str]], list]):
+        self._value_all = value_all
+        self._known: dict[str, object] = {}
+
+    def of_all(self, texts: list[str]) -> list[list]:
+        """For each text the values of its parts, in order."""
+        cuts = [text.split(" ") for text in texts]
+        unseen: set[str] = set()
+        for pieces in cuts:
+            unseen.update(pieces)
+        new = unseen.difference(self._known)
+        if len(self._known) + len(new) > MEMO_ENTRIES:
+            self._known.clear()
+            new = unseen
+        whole = [piece for piece in new if piece and not piece[0].isspace() and not piece[-1].isspace()]
+        known = self._known
+        known.update(dict.fromkeys(new))  # None: white space at a cut
+        known.update(zip(whole, self._value_all([" " + piece for piece in whole]), strict=True))
+        firsts = list({pieces[0] for pieces in cuts})
+        first_values = dict(zip(firsts, self._value_all(firsts), strict=True))
+        out, apart = [], []
+        for i, pieces in enumerate(cuts):
+            values = list(map(known.__getitem__, pieces))
+            if None in values and texts[i]:
+                apart.append(i)
+            values[0] = first_values[pieces[0]]
+            out.append(values)
+        if apart:
+            split = [split_words(texts[i]) for i in apart]
+            words = list(set().union(*split))
+            value_of = dict(zip(words, self._value_all(words), strict=True))
+            for i, own in zip(apart, split, strict=True):
+                out[i] = [value_of[word] for word in own]
+        return out
+
+
+def chunks(texts: Iterable[str | None], characters: int = 1_000_000) -> Iterator[list[str]]:
+    """Texts in runs of about ``characters``, null as empty."""
+    run, size = [], 0
+    for text in texts:
+        run.append(text or "")
+        size += len(run[-1])
+        if size >= characters:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
 
 
 def between_added(text: str, vocab: Vocabulary) -> list[tuple[str, int | None]]:
