@@ -1,4 +1,70 @@
-"""placeholder"""
-STAGES=[]
-ORACLE_SQL=None
-run=None
+"""The corpus pipeline: toxic documents go, boilerplate lines go, one of each group of near copies stays, all is packed.
+
+Each stage takes (spark, docs, folder) and works on all that the stage before it kept; the
+last one returns the pieces of the packed sequences.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from weftline.llm.common import column, free_name
+from weftline.llm.jaccard import jaccard_groups
+from weftline.llm.line_dedup import drop_boilerplate_lines
+from weftline.llm.packing import pack
+from weftline.llm.queries import BYTE_BPE
+from weftline.llm.toxicity import THRESHOLD, learn, score_toxicity
+from weftline.workspace import materialize
+
+SHINGLE_WORDS = 5
+SIMILAR_PERCENT = 80
+
+
+def _docs_columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[column(c) for c in docs.columns])
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents below the toxicity threshold."""
+    model = learn(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    score = free_name(docs.columns, "score")
+    scored = score_toxicity(docs, model, score=score, hits=free_name(docs.columns, "hits"))
+    return _docs_columns(scored.where(column(score) < THRESHOLD), docs)
+
+
+def drop_boilerplate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents without the lines that too many of their source's documents hold; n_chars follows the text."""
+    kept = drop_boilerplate_lines(docs, host=F.col("source"), dropped=None)
+    return kept.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The row with the smallest id of each group of similar documents, and all rows linked with none."""
+    groups = jaccard_groups(docs, width=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
+    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
+    return _docs_columns(docs.join(gone, "doc_id", "left_anti"), docs)
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Pieces of the packed sequences of all documents left."""
+    return pack(docs, BYTE_BPE)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_boilerplate),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("packing", pack_documents),
+]
+
+#: The learned model and the tokenizer have no form in SQL; the tests compare with brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, folder: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again before the next."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, folder), name)
+    return docs
