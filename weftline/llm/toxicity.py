@@ -27,7 +27,8 @@ from weftline.workspace import materialize
 LABELLED_ROWS = 20_000
 LEXICON_ENTRIES = 4_000
 MIN_TOXIC_ROWS = 3
-LEAST_Z = 4.0
+LEAST_G = 15.0
+FOLDS = 4
 LEAST_LOG_ODDS = 1.0
 SHORTEST, LONGEST = 3, 12
 WINDOW_WORDS = 16
@@ -211,7 +212,7 @@ def _beginnings(words: DataFrame) -> DataFrame:
     cut = words.where(F.length("word") >= SHORTEST).select(
         F.explode(F.transform(lengths, lambda n: F.substring("word", F.lit(1), n))).alias("term"), "fold", "toxic", "clean"
     )
-    by_fold = {f"{kind}_{fold}": F.sum(F.when(F.col("fold") == fold, F.col(kind)).otherwise(0)) for fold in (0, 1) for kind in ("toxic", "clean")}
+    by_fold = {f"{kind}_{fold}": F.sum(F.when(F.col("fold") == fold, F.col(kind)).otherwise(0)) for fold in range(FOLDS) for kind in ("toxic", "clean")}
     return cut.groupBy("term").agg(*[total.alias(name) for name, total in by_fold.items()])
 
 
@@ -219,6 +220,15 @@ def _log_odds(toxic, clean, all_toxic: float, all_clean: float):
     return np.log((toxic + 0.5) / (all_toxic + 1)) - np.log((clean + 0.5) / (all_clean + 1))
 
 
+def _g_statistic(toxic: pd.Series, clean: pd.Series, toxic_share: float) -> pd.Series:
+    """Twice the log-likelihood ratio of the counts against the overall share of toxic ones."""
+    total = toxic + clean
+    return 2 * (
+        toxic * np.log((toxic / (total * toxic_share)).clip(lower=1e-12))
+        + clean * np.log((clean / (total * (1 - toxic_share))).clip(lower=1e-12))
+    )
+
+
 def select_terms(terms: pd.DataFrame, all_toxic: float, all_clean: float) -> dict[str, float]:
     """Beginnings whose log-odds of toxic against clean rows stand out, with these log-odds.
 
@@ -229,9 +239,9 @@ def select_terms(terms: pd.DataFrame, all_toxic: float, all_clean: float) -> dic
     if terms.empty:
         return {}
     terms["odds"] = _log_odds(terms["toxic"], terms["clean"], all_toxic, all_clean)
-    terms["z"] = terms["odds"] / np.sqrt(1 / (terms["toxic"] + 0.5) + 1 / (terms["clean"] + 0.5))
-    strong = terms[(terms["z"] >= LEAST_Z) & (terms["odds"] >= LEAST_LOG_ODDS)]
-    strong = strong.sort_values(["z", "term"], ascending=[False, True]).head(LEXICON_ENTRIES)
+    terms["g"] = _g_statistic(terms["toxic"], terms["clean"], all_toxic / (all_toxic + all_clean))
+    strong = terms[(terms["g"] >= LEAST_G) & (terms["odds"] >= LEAST_LOG_ODDS)]
+    strong = strong.sort_values(["g", "term"], ascending=[False, True]).head(LEXICON_ENTRIES)
     toxic, odds = dict(zip(strong["term"], strong["toxic"], strict=True)), dict(zip(strong["term"], strong["odds"], strict=True))
     replaced = {term[:-1] for term in toxic if toxic.get(term[:-1], 0) * 0.9 <= toxic[term]}
     kept: dict[str, float] = {}
@@ -291,26 +301,30 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     known = materialize(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) <= int(share * (1 << 20))), "labels")
     rows = docs.select(column(doc_id).alias("doc_id"), column(text).alias("text")).where(F.col("text").isNotNull())
     rows = rows.join(hint_small(known, 16), "doc_id").select("text", "toxic").distinct()
-    rows = materialize(rows.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int")), "labelled")
+    rows = materialize(rows.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int")), "labelled")
     words = materialize(_incidence(rows), "incidence")
     sums = {(r["fold"], k): r[k] for r in words.groupBy("fold").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).collect() for k in ("toxic", "clean")}
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not counts.get(1) or not counts.get(0):
         share = 1.0 if counts.get(1) else 0.0
         return Model(Lexicon({}), np.array([np.log((share + 1e-9) / (1 - share + 1e-9)), 0, 0, 0]))
+    def total(kind: str, folds: list[int]) -> float:
+        return float(sum(sums.get((fold, kind), 0) for fold in folds))
+
+    every = list(range(FOLDS))
     # Only terms of enough toxic rows can be chosen; these are few, as the rows are bounded.
-    terms = _beginnings(words).where(F.col("toxic_0") + F.col("toxic_1") >= MIN_TOXIC_ROWS).where(
-        (F.col("toxic_0") + F.col("toxic_1") + 0.5) / float(sum(sums.get((f, "toxic"), 0) for f in (0, 1)) + 1)
-        > (F.col("clean_0") + F.col("clean_1") + 0.5) / float(sum(sums.get((f, "clean"), 0) for f in (0, 1)) + 1) * F.lit(1.5)
-    ).toPandas()
+    toxic_rows = sum(F.col(f"toxic_{fold}") for fold in every)
+    clean_rows = sum(F.col(f"clean_{fold}") for fold in every)
+    stands_out = (toxic_rows + 0.5) / (total("toxic", every) + 1) > (clean_rows + 0.5) / (total("clean", every) + 1) * F.lit(1.5)
+    terms = _beginnings(words).where((toxic_rows >= MIN_TOXIC_ROWS) & stands_out).toPandas()
 
     def lexicon(folds: list[int]) -> Lexicon:
         own = pd.DataFrame({"term": terms["term"], **{k: sum(terms[f"{k}_{f}"] for f in folds) for k in ("toxic", "clean")}})
-        totals = [float(sum(sums.get((f, k), 0) for f in folds)) for k in ("toxic", "clean")]
+        totals = [total(kind, folds) for kind in ("toxic", "clean")]
         return _with_misspellings(select_terms(own, *totals), words, *totals, folds)
 
-    # Each half's features come from the lexicon of the other, as those of unseen texts would.
-    other = {fold: lexicon([1 - fold]) for fold in (0, 1)}
+    # A fold's features come from the lexicon of the others, as those of unseen texts would.
+    other = {fold: lexicon([f for f in every if f != fold]) for fold in every}
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -318,7 +332,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
             yield pd.DataFrame(found, columns=["x1", "x2", "x3"]).assign(toxic=batch["toxic"].to_numpy())
 
     seen = rows.mapInPandas(measure, "x1 double, x2 double, x3 double, toxic int").toPandas()
-    return Model(lexicon([0, 1]), _fitted(seen[["x1", "x2", "x3"]].to_numpy(), seen["toxic"].to_numpy(float)))
+    return Model(lexicon(every), _fitted(seen[["x1", "x2", "x3"]].to_numpy(), seen["toxic"].to_numpy(float)))
 
 
 def score_toxicity(docs: DataFrame, model: Model, *, text: str = "text", score: str = "score", hits: str = "hits") -> DataFrame:
