@@ -18,12 +18,12 @@ from itertools import accumulate
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import BROADCAST_BYTES, column, empty_as_text, running_total
-from weftline.llm.pair_index import pair_index_coder
-from weftline.llm.vocabulary import chunks
+from weftline.llm.common import BROADCAST_BYTES, column, running_total
+from weftline.llm.pair_index import encoded_chunks
 from weftline.workspace import materialize
 
 WINDOW = 2048
@@ -37,33 +37,26 @@ _PIECE_FIELDS = (
 
 
 def _encoded(docs: DataFrame, path: str, end_id: int, doc_id: str, text: str, source: str) -> DataFrame:
-    """One row per document: key, id, source, number of tokens, ids. Ids below 2^16 take two bytes."""
+    """One row per document: key, id, source, number of tokens, ids of two bytes each."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, ids, counts in encoded_chunks(batches, "text", path):
+            # The end id goes behind the ids of each row.
+            ends = np.cumsum(counts)
+            stored = np.insert(ids.astype("<u2"), ends, end_id)
+            offsets = np.concatenate([[0], 2 * (ends + np.arange(1, len(ends) + 1))]).astype(np.int64)
+            packed = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(stored)]
+            ).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:-1], pa.array(counts + 1), packed], names=["key", "doc_id", "source", "tokens", "ids"]
+            )
 
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = pair_index_coder(path)
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            stored = [_narrow(ids + end) for texts in chunks(batch) for ids in coder.encode_all(texts)]
-            yield pd.Series(stored, dtype=object)
-
-    ids = F.pandas_udf(encode, "binary")
     rows = docs.select(
         F.monotonically_increasing_id().alias("key"), column(doc_id).cast("bigint").alias("doc_id"),
-        F.coalesce(column(source).cast("string"), F.lit("")).alias("source"), ids(empty_as_text(text)).alias("ids"),
+        F.coalesce(column(source).cast("string"), F.lit("")).alias("source"), column(text).alias("text"),
     )
-    first = F.substring("ids", 1, 1)
-    return rows.withColumn(
-        "tokens", F.when(first == F.lit(b"2"), (F.octet_length("ids") - 1) / 2).otherwise((F.octet_length("ids") - 1) / 4).cast("bigint")
-    )
-
-
-def _narrow(ids: bytes) -> bytes:
-    values = np.frombuffer(ids, "<u4")
-    return b"2" + values.astype("<u2").tobytes() if values.max() < 1 << 16 else b"4" + ids
-
-
-def _wide(stored: bytes) -> bytes:
-    return np.frombuffer(stored, "<u2", offset=1).astype("<u4").tobytes() if stored[:1] == b"2" else stored[1:]
+    return rows.mapInArrow(encode, "key bigint, doc_id bigint, source string, tokens bigint, ids binary")
 
 
 def tail_lengths(rest: int) -> list[int]:
@@ -160,7 +153,7 @@ def _pieces(window: int, all_tokens: int):
         for batch in batches:
             out = []
             for doc, tokens, source, stored, *cuts in batch.itertuples(index=False, name=None):
-                ids, pieces = memoryview(_wide(stored)), []
+                ids, pieces = memoryview(np.frombuffer(stored, "<u2").astype("<u4")).cast("B"), []
                 for stretch in zip(*cuts, strict=True):
                     for start, size, sequence, offset in windows(*map(int, stretch)):
                         last = pieces[-1] if pieces else None

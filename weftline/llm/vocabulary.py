@@ -51,11 +51,15 @@ class Vocabulary:
             self.merges[self.id_of[left], self.id_of[right]] = (rank, self.id_of[left + right])
         self.made_by = {made: (rank, *pair) for pair, (rank, made) in self.merges.items()}
         self.byte_ids = [self.id_of[bytes([b])] for b in range(256)]
-        self.byte_table = np.array(self.byte_ids, np.int64)
-        self.merge_results = np.array([made for _, made in self.merges.values()], np.int64)
-        keys = np.array([(left << 32) | right for left, right in self.merges], np.int64)
-        self.pair_ranks = np.argsort(keys)
-        self.pair_keys = keys[self.pair_ranks]
+        self.byte_table = np.array(self.byte_ids, np.int32)
+        self.merge_results = np.array([made for _, made in self.merges.values()], np.int32)
+        # Pairs by one number: ids of these vocabularies are below 2^16, which packing relies on too.
+        if max(self.bytes_of) >= 1 << 16:
+            raise ValueError("vocabularies of 65,536 or more tokens are not supported")
+        keys = np.array([(left << 16) | right for left, right in self.merges], np.uint32)
+        order = np.argsort(keys)
+        self.pair_ranks = order.astype(np.int32)
+        self.pair_keys = keys[order]
         self.longest = max(map(len, self.id_of))
 
 
