@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from weftline.llm.common import column, hint_small
 from weftline.workspace import materialize, new_folder
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; files are not allocated ahead, as that takes megabytes for each of many small stores.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 #: Input a micro-batch takes at most, so the size of a batch does not grow with the backlog.
 BATCH_BYTES = 64 << 30
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-
 
 def normalised(text: Column) -> Column:
     """Each run of ASCII white space becomes one space; null becomes empty."""
@@ -68,8 +71,9 @@ def first_seen(
         # A batch that is run again after a failure overwrites its own results.
         batch.write.mode("overwrite").parquet(f"{results}/batch={number}")
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         query = (
             updates.writeStream.outputMode("update").foreachBatch(store)
@@ -77,7 +81,8 @@ def first_seen(
         )
         query.awaitTermination()
     finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     told = spark.read.schema(
         "digest string, keep struct<no_id: boolean, doc_id: bigint, file: string, row: bigint>, group_size bigint, batch bigint"
     ).option("basePath", results).parquet(results)
