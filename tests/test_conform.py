@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.contracts import TRIP_SYNONYMS, older_trips, trips
-from weftline.operators.conform import conform, drift_report, sources_by_target
+from weftline.operators.conform import Contract, conform, drift_report, sources_by_target
 from weftline.sinks.table import compact, create_table, load_table, switch_location
 from weftline.sources.files import read_conformed, schema_groups
 from weftline.workspace import new_folder
@@ -40,6 +40,18 @@ def test_bad_values_become_null_and_are_named(spark):
     assert good["fare_amount"] is None and good["_invalid"] == "fare_amount"
     assert bad["year"] is None and float(bad["tip_amount"]) == 7.5
     assert sorted(bad["_invalid"].split(",")) == ["passenger_count", "pickup_datetime"]
+    assert bad["_left_out"] == {"Trip_Pickup_DateTime": "02/01/2020", " Passenger_Count": "x"}
+
+
+def test_whole_numbers_are_exact_and_conflicts_are_kept(spark):
+    contract = Contract(T.StructType.fromDDL("n bigint, tip decimal(8,2)"), {"tips": "tip", "tip_amt": "tip"})
+    raw = spark.createDataFrame(
+        [("9007199254740993", 2.0, 1.0), ("1.9", None, 1.0), ("3.0", 1.0, 1.0), ("", None, None)], "n string, tip_amt double, tips double"
+    )
+    rows = conform(raw, contract).collect()
+    assert [r.n for r in rows] == [9007199254740993, None, 3, None]
+    assert [float(r.tip) if r.tip is not None else None for r in rows] == [1.0, 1.0, 1.0, None]
+    assert rows[0]["_left_out"] == {"tip_amt": "2.0"} and rows[1]["_left_out"] == {"n": "1.9"} and rows[2]["_left_out"] == {}
 
 
 def test_older_contract_ends_at_surcharge(spark):
@@ -54,8 +66,8 @@ def test_any_subset_of_names_conforms(spark, names, upper):
     columns = [n.upper() + " " if upper else n for n in names] + ["unknown_column"]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     out = conform(spark.createDataFrame([], schema), trips(), lineage())
-    assert out.columns == [*trips().schema.names, "_invalid"]
-    assert [f.dataType for f in out.schema.fields[:-1]] == [f.dataType for f in trips().schema.fields]
+    assert out.columns == [*trips().schema.names, "_invalid", "_left_out"]
+    assert [f.dataType for f in out.schema.fields[:-2]] == [f.dataType for f in trips().schema.fields]
     feeding = sources_by_target(columns, trips())
     assert set(feeding) - {"unknown_column"} == {TRIP_SYNONYMS[n] for n in names}
 
@@ -67,7 +79,10 @@ def test_files_of_different_schemas_load_into_one_table(spark):
               "UNION ALL SELECT NULL, 4").write.parquet(f"{root}/green")
     assert len(schema_groups(spark, root, "parquet")) == 2
     create_table(spark, name, trips(), new_folder(spark, "table"))
-    counts = load_table(read_conformed(spark, root, trips()), name, trips())
+    aside = new_folder(spark, "aside")
+    counts = load_table(read_conformed(spark, root, trips()), name, trips(), aside)
+    kept = spark.read.parquet(aside).collect()
+    assert [(r["_loaded"], float(r.fare_amount)) for r in kept] == [(False, 4.0)]
     assert (counts["source"], counts["loaded"], counts["rejected"]) == (3, 2, 1)
     rows = {(r.taxi_type, r.year): float(r.fare_amount) for r in spark.table(name).collect()}
     assert rows == {("yellow", 2019): 2.5, ("green", 2020): 3.0}
@@ -83,6 +98,15 @@ def test_files_of_different_schemas_load_into_one_table(spark):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_a_folder_of_mixed_schemas_is_read_whole(spark):
+    root = new_folder(spark, "mixed")
+    spark.sql("SELECT '2019-01-01 10:00:00' AS pickup_datetime, 1.5D AS fare_amt").write.parquet(f"{root}/yellow")
+    spark.sql("SELECT '2019-01-02 10:00:00' AS pickup_datetime, '9' AS fare_amount").write.mode("append").parquet(f"{root}/yellow")
+    assert len(schema_groups(spark, root, "parquet")) == 2
+    rows = read_conformed(spark, root, trips()).collect()
+    assert sorted(float(r.fare_amount) for r in rows) == [1.5, 9.0]
+
+
 def test_csv_files_are_grouped_by_header(spark):
     root = new_folder(spark, "raw-csv")
     spark.sql("SELECT '2015-02-03 00:00:00' AS Pickup_date, 'B1' AS Dispatching_base_num").write.option("header", True).csv(f"{root}/fhv")
@@ -101,7 +125,7 @@ def test_drift_report_names_every_column(spark):
 def test_rows_without_a_year_never_reach_the_table(spark):
     create_table(spark, "trips_none", trips(), new_folder(spark, "table"))
     raw = spark.sql("SELECT 'nonsense' AS pickup_datetime")
-    counts = load_table(conform(raw, trips(), lineage()), "trips_none", trips())
+    counts = load_table(conform(raw, trips(), lineage()), "trips_none", trips(), new_folder(spark, "aside"))
     assert counts["rejected"] == 1 and counts["invalid_pickup_datetime"] == 1
     assert spark.table("trips_none").count() == 0
     spark.sql("DROP TABLE trips_none")

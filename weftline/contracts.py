@@ -121,8 +121,7 @@ OLDER_TRIP_COLUMNS = """
     total_amount decimal(8,2)
 """
 
-# End of fixed values.
-
+# Names that only the newer table's map has.
 _NEWER_ONLY = {
     "surcharge",
     "trip_miles",
@@ -136,6 +135,7 @@ _NEWER_ONLY = {
     "wav_request_flag",
     "wav_match_flag",
 }
+# End of fixed values.
 
 OLDER_TRIP_SYNONYMS = {k: v for k, v in TRIP_SYNONYMS.items() if k not in _NEWER_ONLY} | {
     "improvement_surcharge": "surcharge"

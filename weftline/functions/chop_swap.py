@@ -49,7 +49,7 @@ def pandas_udf(text: pd.Series) -> pd.Series:
 
 
 def register_python_udf(spark: SparkSession, name: str = "python_chop_swap") -> str:
-    spark.udf.register(name, python_udf)
+    spark.udf.register(name, pandas_udf)
     return name
 
 

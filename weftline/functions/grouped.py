@@ -39,13 +39,3 @@ def center_by_group(df: DataFrame, key: str, value: str, name: str) -> DataFrame
     means = materialize(means, "group-means")
     same = df[key].eqNullSafe(means[key])
     return df.join(means, same, "left").select(df["*"], difference(df[value], F.col("_mean")).alias(name))
-
-
-def apply_to_groups(
-    df: DataFrame, key: str, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str, max_rows: int
-) -> DataFrame:
-    """``applyInPandas`` for groups proven to hold at most ``max_rows`` rows; raises otherwise."""
-    largest = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest > max_rows:
-        raise ValueError(f"a group of {key} has {largest} rows, more than {max_rows}")
-    return df.groupBy(key).applyInPandas(function, schema)

@@ -12,8 +12,9 @@ ALPHANUMERIC = string.ascii_letters + string.digits
 
 
 def pad_number(number: Column, width: int = 8) -> Column:
-    """The last ``width`` digits of the zero-padded number (longer numbers lose leading digits)."""
-    return F.right(F.concat(F.lit("0" * (width + 2)), number.cast("string")), F.lit(width))
+    """The number with zeros in front, at least ``width`` digits long; longer numbers stay whole."""
+    digits = number.cast("string")
+    return F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0"))
 
 
 def random_text(length: Column, seed: int) -> Column:

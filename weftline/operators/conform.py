@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 INVALID = "_invalid"
+LEFT_OUT = "_left_out"
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -51,28 +52,36 @@ def quoted(name: str) -> Column:
 
 
 def typed(source: Column, have: T.DataType, want: T.DataType, datetime_format: str) -> Column:
-    """``source`` as ``want``; a value that does not fit becomes NULL, never an error."""
+    """``source`` as ``want``; a value that does not fit becomes NULL, never an error.
+
+    Whole numbers are read exactly, however long; a value with a fraction does not fit.
+    """
     if have == want:
         return source
     if isinstance(have, T.StringType) and isinstance(want, T.TimestampType):
         return F.try_to_timestamp(source, F.lit(datetime_format))
-    if isinstance(have, T.StringType) and isinstance(want, _WHOLE):
-        return source.try_cast(T.DoubleType()).try_cast(want)
+    if isinstance(want, _WHOLE) and isinstance(have, (T.StringType, T.DoubleType, T.FloatType, T.DecimalType)):
+        exact = source.try_cast(T.DecimalType(38, 10))
+        return F.when(exact == F.floor(exact), exact.try_cast(want))
     return source.try_cast(want)
 
 
 def conform(df: DataFrame, contract: Contract, constants: dict[str, Column] | None = None) -> DataFrame:
     """Rename, parse, derive the year, fill, cast and reorder in one projection.
 
-    ``constants`` supplies columns that do not come from the data, such as lineage.
-    The extra ``_invalid`` text lists the target columns whose value was present but could
-    not be converted, so nothing is lost without a trace. It is empty for good rows.
+    ``constants`` supplies columns that do not come from the data, such as lineage. Two
+    more columns keep what finds no place: ``_invalid`` lists the target columns whose
+    value was present but could not be converted, and ``_left_out`` maps source columns to
+    the text of such values, and of values that differ from the one taken for their target.
+    Both are empty for good rows.
     """
     constants = constants or {}
     kinds = {f.name: f.dataType for f in df.schema.fields}
     feeding = sources_by_target(df.columns, contract)
     converted: dict[str, Column] = {}
     doubtful: list[Column] = []
+    left_out: list[Column] = []
+    entry = "struct<key: string, value: string>"
     for target in contract.schema.fields:
         if target.name in constants:
             converted[target.name] = constants[target.name].cast(target.dataType)
@@ -82,17 +91,24 @@ def conform(df: DataFrame, contract: Contract, constants: dict[str, Column] | No
             converted[target.name] = F.lit(None).cast(target.dataType)
             continue
         tries = [typed(quoted(c), kinds[c], target.dataType, contract.datetime_format) for c in inputs]
-        converted[target.name] = F.coalesce(*tries) if len(tries) > 1 else tries[0]
+        taken = F.coalesce(*tries) if len(tries) > 1 else tries[0]
+        converted[target.name] = taken
         for c, tried in zip(inputs, tries):
+            lost = quoted(c).isNotNull() & tried.isNull()
             if kinds[c] != target.dataType and not isinstance(target.dataType, T.StringType):
-                lost = quoted(c).isNotNull() & tried.isNull()
                 doubtful.append(F.when(lost, F.lit(target.name)))
+            if kinds[c] != target.dataType or len(inputs) > 1:
+                differs = lost | (tried.isNotNull() & (tried != taken))
+                pair = F.struct(F.lit(c).alias("key"), quoted(c).cast("string").alias("value"))
+                left_out.append(F.when(differs, pair).otherwise(F.lit(None).cast(entry)))
     if contract.year_of:
         year, stamp = contract.year_of
         converted[year] = F.year(converted[stamp]).cast(contract.schema[year].dataType)
     invalid = F.concat_ws(",", *doubtful) if doubtful else F.lit("")
+    entries = F.array_compact(F.array(*left_out)) if left_out else F.array().cast(f"array<{entry}>")
     return df.select(
-        *[converted[f.name].alias(f.name) for f in contract.schema.fields], invalid.alias(INVALID)
+        *[converted[f.name].alias(f.name) for f in contract.schema.fields],
+        invalid.alias(INVALID), F.map_from_entries(entries).alias(LEFT_OUT),
     )
 
 
@@ -105,13 +121,18 @@ def complete(contract: Contract) -> Column:
 
 
 def loadable(conformed: DataFrame, contract: Contract) -> DataFrame:
-    return conformed.where(complete(contract)).drop(INVALID)
+    return conformed.where(complete(contract)).drop(INVALID, LEFT_OUT)
 
 
 def rejected(conformed: DataFrame, contract: Contract) -> DataFrame:
     return conformed.where(~complete(contract))
 
 
+def set_aside(conformed: DataFrame, contract: Contract) -> DataFrame:
+    """All that the table does not hold: rejected rows, and loaded rows with values left out; ``_loaded`` tells which."""
+    return conformed.where(~complete(contract) | (F.size(LEFT_OUT) > 0)).withColumn("_loaded", complete(contract))
+
+
 def drift_report(df: DataFrame, feed: str, contract: Contract) -> DataFrame:
     """What happens to each input column, and how many values it carries.
 

@@ -1,66 +1,73 @@
-"""Cross-tabulated counts with row and column totals."""
+"""Cross-tabulated counts with row and column totals, in which every row has a place."""
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_PIVOT_COLUMNS = 1_000
+OTHER, MISSING = "other", "missing"
 
 
-def distinct_values(df: DataFrame, column: str, limit: int = MAX_PIVOT_COLUMNS) -> list:
-    """Sorted distinct values of ``column``; refuses domains too wide for columns."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values; it cannot become columns")
-    return sorted(row[0] for row in rows)
+def _counts(column: str, values: list) -> list[Column]:
+    """One count per listed value, then the unlisted values, NULL, and all rows."""
+    value = F.col(f"`{column}`")
+    return [
+        *[F.count_if(value == F.lit(v)).alias(str(v)) for v in values],
+        F.count_if(value.isNotNull() & ~value.isin(*values)).alias(OTHER),
+        F.count_if(value.isNull()).alias(MISSING),
+        F.count(F.lit(1)).alias("total"),
+    ]
 
 
-def count_matrix(df: DataFrame, row: str, column: str, values: list | None = None) -> DataFrame:
-    """One line per ``row`` value, one count column per ``column`` value, NULL where none.
+def count_matrix(df: DataFrame, row: str, column: str, values: list) -> DataFrame:
+    """One line per ``row`` value: a count column per listed value, ``other``, ``missing``, ``total``.
 
-    Passing ``values`` saves the extra pass that finds them.
+    Only listed values become columns, so the width never depends on the data; rows with
+    any other value are counted in ``other``. ``long_counts`` has a line for each instead.
     """
-    values = distinct_values(df, column) if values is None else values
-    return df.groupBy(row).pivot(column, values).count()
+    return df.groupBy(row).agg(*_counts(column, values))
+
+
+def long_counts(df: DataFrame, row: str, column: str) -> DataFrame:
+    """(row, column, count) for all pairs that occur, NULL among them: the form for wide domains."""
+    return df.groupBy(row, column).agg(F.count(F.lit(1)).alias("count"))
 
 
 def with_totals(matrix: DataFrame, row: str, label: str = "total") -> DataFrame:
-    """Fill gaps with 0, add a ``total`` column and a summary line.
+    """Add a summary line to a matrix of counts.
 
     The summary line is made by doubling the few aggregated lines, not by a second
     aggregate over the source, so the source is scanned once. ``sort_key`` is 0 for
     ordinary lines and 1 for the summary, which makes its place explicit.
     """
     counts = [c for c in matrix.columns if c != row]
-    filled = matrix.fillna(0, counts)
     lines = F.array(
         F.struct(F.lit(0).alias("sort_key"), F.col(row).cast("string").alias(row)),
         F.struct(F.lit(1).alias("sort_key"), F.lit(label).alias(row)),
     )
     return (
-        filled.select(F.inline(lines), *[F.col(c) for c in counts])
+        matrix.select(F.inline(lines), *[F.col(f"`{c}`") for c in counts])
         .groupBy("sort_key", row)
-        .agg(*[F.sum(c).alias(c) for c in counts])
-        .select(row, *counts, reduce(add, [F.col(c) for c in counts]).alias("total"), "sort_key")
+        .agg(*[F.sum(f"`{c}`").alias(c) for c in counts])
+        .select(row, *[F.col(f"`{c}`") for c in counts], "sort_key")
         .orderBy("sort_key", row)
     )
 
 
 def rollup_counts(df: DataFrame, row: str, column: str, values: list, label: str = "total") -> DataFrame:
-    """The same report as one ROLLUP with conditional counts."""
-    counted = df.rollup(row).agg(
-        *[F.count_if(F.col(column) == F.lit(v)).alias(str(v)) for v in values],
-        F.count(F.lit(1)).alias("total"),
-        F.grouping(row).cast("int").alias("sort_key"),
-    )
+    """The same report as one ROLLUP."""
+    counted = df.rollup(row).agg(*_counts(column, values), F.grouping(row).cast("int").alias("sort_key"))
     named = F.when(F.col("sort_key") == 1, F.lit(label)).otherwise(F.col(row).cast("string"))
-    return counted.select(
-        named.alias(row), *[F.col(f"`{v}`") for v in values], "total", "sort_key"
-    ).orderBy("sort_key", row)
+    counts = [F.col(f"`{c}`") for c in [*map(str, values), OTHER, MISSING, "total"]]
+    return counted.select(named.alias(row), *counts, "sort_key").orderBy("sort_key", row)
+
+
+def value_counts(df: DataFrame, column: str, name: str, limit: int | None = None) -> DataFrame:
+    """Rows per value, most frequent first; all values unless a ``limit`` is asked for."""
+    counted = df.groupBy(column).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), column)
+    return counted if limit is None else counted.limit(limit)
 
 
 def reconcile(sides: dict[str, DataFrame]) -> DataFrame:

@@ -36,17 +36,35 @@ def index_strings(df: DataFrame, columns: list[str] | None = None, keep: bool =
     return out.select(*kept, *[f"{c}_index" for c in columns])
 
 
+# Escapes of the row text: no field holds a bare comma, and a field that is just the marker is told from NULL.
+_ESCAPES = (("\\", "\\\\"), ("\0", "\\0"), (",", "\\c"))
+
+
 def encode_row(columns: list[str]) -> Column:
-    """All fields as comma-joined text, NULL as ``?``."""
-    return F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) for c in columns])
+    """All fields as comma-joined text, NULL as ``?``; commas and backslashes in fields are escaped."""
+
+    def field(name: str) -> Column:
+        text = F.col(name).cast("string")
+        for plain, escaped in _ESCAPES:
+            text = F.replace(text, F.lit(plain), F.lit(escaped))
+        return F.coalesce(F.when(text == MISSING, F.lit("\\" + MISSING)).otherwise(text), F.lit(MISSING))
+
+    return F.concat_ws(",", *[field(c) for c in columns])
 
 
 def decode_array(values: Column, fields: dict[str, str]) -> list[Column]:
-    """Typed columns from an array of strings; ``?`` becomes NULL."""
-    return [
-        F.nullif(F.element_at(values, F.lit(i)), F.lit(MISSING)).try_cast(kind).alias(name)
-        for i, (name, kind) in enumerate(fields.items(), start=1)
-    ]
+    """Typed columns from the comma-split fields of a row text; ``?`` becomes NULL, escapes what they stand for."""
+
+    def field(position: int) -> Column:
+        text = F.nullif(F.element_at(values, F.lit(position)), F.lit(MISSING))
+        text = F.replace(text, F.lit("\\\\"), F.lit("\0"))  # a bare zero character cannot occur in the text
+        for plain, escaped in ((MISSING, "\\" + MISSING), (",", "\\c")):
+            text = F.replace(text, F.lit(escaped), F.lit(plain))
+        # What is left of "\0" escapes is a zero character, what is now a zero character was a backslash.
+        parts = F.split(text, "\\\\0", -1)
+        return F.array_join(F.transform(parts, lambda part: F.replace(part, F.lit("\0"), F.lit("\\"))), "\0")
+
+    return [field(i).try_cast(kind).alias(name) for i, (name, kind) in enumerate(fields.items(), start=1)]
 
 
 def null_flag_counts(df: DataFrame, column: str) -> DataFrame:

@@ -294,30 +294,39 @@ def impute(
     return complete.unionByName(filled.select(*columns))
 
 
+_HVDM_SCALE = float(1 << 20)
+
+
 def hvdm_features(
-    df: DataFrame, numeric: list[str], nominal: list[str], label: str, max_labels: int = 100
+    df: DataFrame, numeric: list[str], nominal: list[str], label: str
 ) -> tuple[DataFrame, list[str]]:
     """Feature columns on which the plain Euclidean distance is the heterogeneous value difference.
 
     A number is divided by four standard deviations. A nominal value becomes its vector of class
     shares P(label | value), one column per label: the value difference is the Euclidean distance
     of those vectors. Use the result with ``impute(..., scale=False)``.
+
+    Deviations and shares are rounded to six digits, and features to whole multiples of 2^-20,
+    given as whole numbers. Squares and their sums are then exact, so equal distances are equal
+    on any engine. The labels become columns, so they are few by nature.
     """
-    from weftline.operators.crosstab import distinct_values
+    labels = [row[0] for row in df.select(label).where(F.col(label).isNotNull()).distinct().orderBy(label).collect()]
+    spreads = df.agg(*[F.round(F.stddev_pop(c), 6).alias(c) for c in numeric]).first() if numeric else {}
+
+    def whole(value: Column) -> Column:
+        return F.floor(value * F.lit(_HVDM_SCALE) + F.lit(0.5)).cast("double")
 
-    labels = distinct_values(df, label, max_labels)
-    spreads = df.agg(*[F.stddev_pop(c).alias(c) for c in numeric]).first() if numeric else {}
     out, names = df, []
     for c in numeric:
         spread = spreads[c]
-        value = F.col(c) / F.lit(4 * spread) if spread else F.col(c) * F.lit(0.0)
+        value = whole(F.col(c) / F.lit(4 * spread)) if spread else F.col(c) * F.lit(0.0)
         out = out.withColumn(f"hvdm_{c}", value.cast("double"))
         names.append(f"hvdm_{c}")
     for c in nominal:
         columns = [f"hvdm_{c}_{i}" for i in range(len(labels))]
         shares = df.where(F.col(label).isNotNull() & F.col(c).isNotNull()).groupBy(c).agg(
             *[
-                (F.count_if(F.col(label) == F.lit(v)) / F.count(F.lit(1))).alias(name)
+                whole(F.round(F.count_if(F.col(label) == F.lit(v)) / F.count(F.lit(1)), 6)).alias(name)
                 for v, name in zip(labels, columns)
             ]
         )

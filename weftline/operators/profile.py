@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PADDING = 0.005
-MAX_BINS = 50
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -58,7 +57,7 @@ def _long(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.inline(pairs)).where(F.col("value").isNotNull())
 
 
-def bin_counts_by_spread(df: DataFrame, columns: list[str], max_bins: int = MAX_BINS) -> dict[str, int]:
+def bin_counts_by_spread(df: DataFrame, columns: list[str], max_bins: int | None = None) -> dict[str, int]:
     """Freedman-Diaconis bin numbers, from one aggregate with approximate quartiles."""
     parts = []
     for i, c in enumerate(columns):
@@ -73,7 +72,7 @@ def bin_counts_by_spread(df: DataFrame, columns: list[str], max_bins: int = MAX_
         n, lo, hi, quartiles = (row[f"{k}{i}"] for k in ("n", "lo", "hi", "q"))
         width = 2 * (quartiles[1] - quartiles[0]) / n ** (1 / 3) if n else 0
         wanted = math.ceil((hi - lo) / width) if width > 0 else max(1, math.isqrt(n or 1))
-        bins[c] = max(1, min(max_bins, wanted))
+        bins[c] = max(1, wanted if max_bins is None else min(max_bins, wanted))
     return bins
 
 
@@ -115,12 +114,13 @@ def _literal_map(values: dict[str, int]) -> Column:
 
 
 def kernel_density(
-    df: DataFrame, column: str, grid_points: int, bandwidth: float | None = None, bins: int | None = None
+    df: DataFrame, column: str, grid_points: int, bandwidth: float | None = None, bins: int | None = 512
 ) -> DataFrame:
     """Gaussian density of ``column`` at evenly spaced points between its extremes.
 
-    Equal values are counted once. With ``bins`` they are first moved to the middle of their
-    bin, which bounds the work by ``bins x grid_points``; the shift is at most half a bin.
+    Equal values are counted once. They are first moved to the middle of their bin, which
+    bounds the work by ``bins x grid_points``; the shift is at most half a bin. ``bins=None``
+    takes every distinct value as it is, for columns with few of them.
     The default bandwidth is Scott's rule.
     """
     value = F.col(f"`{column}`").cast("double")

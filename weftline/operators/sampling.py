@@ -2,25 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: rows a plot needs; above twice as many, a sample is taken.
-SAMPLE_ROWS = 1_000_000
-
 _HASH_DIGITS = 8
 
 
-def bounded_sample(df: DataFrame, rows: int | None = None, target: int = SAMPLE_ROWS, seed: int = 0) -> DataFrame:
-    """``df`` itself, or about ``target`` of its rows when it has more than twice as many."""
-    rows = df.count() if rows is None else rows
-    return df.sample(False, target / rows, seed) if rows > 2 * target else df
-
-
-def sample_with_replacement(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
-    return df.sample(True, fraction, seed)
-
-
 def key_below(key: Column, fraction: float, salt: str = "") -> Column:
     """True for a repeatable ``fraction`` of the keys, chosen by their MD5 value."""
     bound = format(min(int(fraction * 16**_HASH_DIGITS), 16**_HASH_DIGITS - 1), f"0{_HASH_DIGITS}x")
@@ -28,6 +17,30 @@ def key_below(key: Column, fraction: float, salt: str = "") -> Column:
     return F.left(digest, F.lit(_HASH_DIGITS)) < F.lit(bound)
 
 
+def key_sample(df: DataFrame, key: Column, fraction: float, salt: str = "") -> DataFrame:
+    """The rows of a repeatable ``fraction`` of the keys; rows with a NULL key are never among them."""
+    return df.where(key_below(key, fraction, salt))
+
+
+def key_sample_with_replacement(
+    df: DataFrame, key: Column, fraction: float, copy: str = "copy", salt: str = "", draws: int = 12
+) -> DataFrame:
+    """A repeatable sample in which a row may come several times, numbered from 1 in ``copy``.
+
+    The number of copies of a row follows a Poisson law with mean ``fraction``, as drawing
+    with replacement from many rows does; it is read from the MD5 of the key against the
+    law's cumulative shares, of which ``draws`` are told apart.
+    """
+    share, below, bounds = math.exp(-fraction), 0.0, []
+    for n in range(draws):
+        below += share
+        bounds.append(below)
+        share *= fraction / (n + 1)
+    copies = sum((~key_below(key, bound, salt)).cast("int") for bound in bounds)
+    drawn = df.withColumn(copy, F.explode(F.sequence(F.lit(0), F.coalesce(copies, F.lit(0)))))
+    return drawn.where(F.col(copy) > 0)
+
+
 def mask_column(df: DataFrame, column: str, chosen: Column) -> DataFrame:
     """Set ``column`` to NULL in the chosen rows; the others and the row count stay.
 

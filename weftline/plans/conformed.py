@@ -6,9 +6,9 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.contracts import older_trips, trips
-from weftline.operators.conform import rejected
 from weftline.operators.crosstab import reconcile
 from weftline.plans.tables import table
 from weftline.sinks.csv import write_parts
@@ -75,40 +75,47 @@ def _raw_files(spark: SparkSession, folder: str) -> str:
     return root
 
 
-def load_trips(spark: SparkSession, folder: str) -> tuple[str, str, dict[str, int]]:
-    """Write the raw files, load them into a new table: (root of raw files, table, counts)."""
-    root = _raw_files(spark, folder)
+def load_trips(spark: SparkSession, folder: str) -> tuple[str, DataFrame, str, dict[str, int]]:
+    """Write the raw files and load them: (root of raw files, loaded rows, path of what was set aside, counts).
+
+    The table's name is dropped again; its files stay as long as the run.
+    """
+    root, location, aside = _raw_files(spark, folder), new_folder(spark, "trips"), new_folder(spark, "trips-aside")
     name = f"weftline_trips_{uuid.uuid4().hex}"
-    create_table(spark, name, trips(), new_folder(spark, "trips"))
-    counts = load_table(read_conformed(spark, root, trips()), name, trips())
-    return root, name, counts
+    create_table(spark, name, trips(), location)
+    try:
+        counts = load_table(read_conformed(spark, root, trips()), name, trips(), aside)
+        schema = spark.table(name).schema
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return root, spark.read.schema(schema).parquet(location), aside, counts
+
+
+def _comparable(loaded: DataFrame) -> DataFrame:
+    """All columns of the contract in plain types; of the file name its folder."""
+    out = []
+    for field in trips().schema.fields:
+        value = F.col(field.name)
+        if field.name == "filename":
+            value = F.element_at(F.split(value, "/"), -2)
+        elif isinstance(field.dataType, T.TimestampType):
+            value = F.date_format(value, _FORMAT)
+        elif isinstance(field.dataType, T.DecimalType):
+            value = value.cast("double")
+        out.append(value.alias(field.name))
+    return loaded.select(*out)
 
 
 def table_conform(spark: SparkSession, folder: str) -> DataFrame:
-    _, name, _ = load_trips(spark, folder)
-    return spark.table(name).select(
-        "taxi_type", "year", "hvfhs_license_num", "vendor_id", "vendor_name",
-        F.date_format("request_datetime", _FORMAT).alias("request_datetime"),
-        F.date_format("pickup_datetime", _FORMAT).alias("pickup_datetime"),
-        F.date_format("dropoff_datetime", _FORMAT).alias("dropoff_datetime"),
-        "pickup_location_id", "passenger_count", "trip_type", "payment_type", "rate_code",
-        *[
-            F.col(c).cast("double").alias(c)
-            for c in ("trip_distance", "fare_amount", "mta_tax", "tip_amount", "total_amount", "driver_pay")
-        ],
-    )
+    return _comparable(load_trips(spark, folder)[1])
 
 
 def table_conform_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The older, CSV-fed form: every raw value is text."""
     root = new_folder(spark, "raw-trips-csv")
-    feeds = _feeds(spark, folder)
-    for category in ("yellow", "green"):
-        stamps = {
-            c: F.date_format(f"`{c}`", _FORMAT)
-            for c, kind in feeds[category].dtypes if kind.startswith("timestamp")
-        }
-        write_parts(feeds[category].withColumns(stamps), f"{root}/{category}", header=True)
+    for category, feed in _feeds(spark, folder).items():
+        stamps = {c: F.date_format(f"`{c}`", _FORMAT) for c, kind in feed.dtypes if kind.startswith("timestamp")}
+        write_parts(feed.withColumns(stamps), f"{root}/{category}", header=True)
     conformed = read_conformed(spark, root, older_trips(), "csv")
     return conformed.where(F.col("year").isNotNull()).groupBy("taxi_type", "year").agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -121,17 +128,17 @@ def table_conform_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
-    root, name, _ = load_trips(spark, folder)
+    root, loaded, aside, _ = load_trips(spark, folder)
     return reconcile({
         "source": spark.read.parquet(f"{root}/*/*.parquet"),
-        "loaded": spark.table(name),
-        "rejected": rejected(read_conformed(spark, root, trips()), trips()),
+        "loaded": loaded,
+        "rejected": spark.read.parquet(aside).where("NOT _loaded"),
     })
 
 
 def load_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Counts observed while loading: rows and values that could not be converted."""
-    _, _, counts = load_trips(spark, folder)
+    *_, counts = load_trips(spark, folder)
     wanted = ["source", "loaded", "rejected", "invalid_pickup_datetime", "invalid_driver_pay",
               "invalid_fare_amount"]
     return spark.createDataFrame([(k, counts[k]) for k in wanted], "measure string, row_count bigint")
@@ -226,8 +233,20 @@ _ALL_ROWS = (
 )
 _BAD_ROWS = "(SELECT count(*) FROM orders WHERE o_orderstatus = 'P')"
 
+def _all_columns(sql: str) -> str:
+    """``sql`` with the contract's other columns, all NULL, and the folder as file name."""
+    given = {
+        "taxi_type", "year", "hvfhs_license_num", "vendor_id", "vendor_name", "request_datetime", "pickup_datetime",
+        "dropoff_datetime", "pickup_location_id", "passenger_count", "trip_type", "payment_type", "rate_code",
+        "trip_distance", "fare_amount", "mta_tax", "tip_amount", "total_amount", "driver_pay",
+    }
+    others = [f.name for f in trips().schema.fields if f.name not in given | {"filename"}]
+    empty = "".join(f", CAST(NULL AS VARCHAR) AS {name}" for name in others)
+    return f"SELECT *, taxi_type AS filename{empty} FROM ({sql})"
+
+
 JOBS = {
-    "table_conform": (table_conform, _LOADED_SQL),
+    "table_conform": (table_conform, _all_columns(_LOADED_SQL)),
     "table_conform_csv": (
         table_conform_csv,
         """
@@ -241,6 +260,9 @@ JOBS = {
                CAST(sum(CAST(l_extendedprice AS DECIMAL(8,2))) AS DOUBLE),
                CAST(sum(CAST(l_quantity AS DECIMAL(9,5))) AS DOUBLE), count(*), CAST(0 AS BIGINT)
         FROM lineitem GROUP BY 2
+        UNION ALL
+        SELECT 'fhvhv', CAST(year(ts) AS INTEGER), count(*), NULL, NULL, NULL, count(event_id), CAST(0 AS BIGINT)
+        FROM events GROUP BY 2
         """,
     ),
     "reconcile_counts": (

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.strings import pad_number
+from weftline.operators.numbering import number_rows
 from weftline.plans.tables import table
-from weftline.sinks.csv import write_indexed, write_parts, write_single
+from weftline.sinks.csv import write_indexed, write_named_parts, write_parts
 from weftline.sinks.files import move_files, write_file_per_row
 from weftline.sinks.table import compact
 from weftline.sources.files import file_name, list_files, parent_name
@@ -23,8 +24,8 @@ _PART_SQL = "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FR
 
 def scan_csv_strings(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "customer-csv")
-    write_parts(table(spark, folder, "customer").drop("c_acctbal"), path, header=True)
-    return read_csv(spark, path)
+    write_parts(table(spark, folder, "customer"), path, header=True)
+    return read_csv(spark, path).withColumn("c_acctbal", F.format_string("%.2f", F.col("c_acctbal").cast("double")))
 
 
 def scan_csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,15 +99,17 @@ def sink_csv_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sink_csv_single(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_folder(spark, "single") + "/part.csv"
-    write_single(table(spark, folder, "part"), path)
-    if Storage(spark).names_in(path.rpartition("/")[0]) not in (["part.csv"], [".part.csv.crc", "part.csv"]):
-        raise AssertionError("expected exactly one data file")
-    return spark.read.schema(_PART_SCHEMA).csv(path)
+    """Parts with friendly names, together one ordered CSV."""
+    path = new_folder(spark, "named") + "/part"
+    written = write_named_parts(table(spark, folder, "part"), path, ["p_partkey"], header=True)
+    names = Storage(spark).names_in(path)
+    if [n for n in names if n.endswith(".csv") and not n.startswith(".")] != [f"part-{i:05d}.csv" for i in range(written)]:
+        raise AssertionError(f"unexpected names {names}")
+    return read_csv(spark, path, schema=spark.createDataFrame([], _PART_SCHEMA).schema)
 
 
 def sink_csv_indexed(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_folder(spark, "indexed") + "/supplier.csv"
+    path = new_folder(spark, "indexed") + "/supplier"
     write_indexed(table(spark, folder, "supplier"), path, ["s_suppkey"])
     return read_csv(
         spark, path,
@@ -115,14 +118,14 @@ def sink_csv_indexed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def range_generate(spark: SparkSession, folder: str) -> DataFrame:
-    """All numbers from 1 up to, but without, the highest order key, with padded form and use count."""
+    """The numbers from 0 below the count of orders, padded, each with the order of that place by key.
+
+    The range follows the number of rows, not the size of the keys, so sparse keys cost nothing.
+    """
     orders = table(spark, folder, "orders")
-    last = orders.agg(F.max("o_orderkey")).first()[0]
-    used = orders.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    numbers = spark.range(1, last).select("id", pad_number(F.col("id")).alias("prefix"))
-    return numbers.join(used, F.col("id") == F.col("o_orderkey"), "left").select(
-        "id", "prefix", F.coalesce("n", F.lit(0)).cast("bigint").alias("order_count")
-    )
+    placed = number_rows(orders.select("o_orderkey"), [F.col("o_orderkey")], "place")
+    numbers = spark.range(orders.count()).select("id", pad_number(F.col("id")).alias("prefix"))
+    return numbers.join(placed, F.col("id") == F.col("place")).select("id", "prefix", "o_orderkey")
 
 
 def _document_files(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
@@ -150,7 +153,7 @@ def files_move(spark: SparkSession, folder: str) -> DataFrame:
     root, _ = _document_files(spark, folder)
     target = new_folder(spark, "moved-files")
     moves = list_files(spark, root).select(
-        "path", F.concat(F.lit(f"{target}/"), "name").alias("destination")
+        "path", F.concat(F.lit(f"{target}/"), "category", F.lit("/"), "name").alias("destination")
     )
     results = move_files(moves).groupBy("move_result").agg(F.count(F.lit(1)).alias("file_count"))
     left = list_files(spark, target).agg(F.count(F.lit(1)).alias("arrived_count"))
@@ -162,7 +165,8 @@ def compact_cluster(spark: SparkSession, folder: str) -> DataFrame:
     source, target = new_folder(spark, "scattered"), new_folder(spark, "compacted")
     keys = ["l_returnflag", "l_linestatus"]
     items = table(spark, folder, "lineitem")
-    items.repartition(8, "l_partkey").write.partitionBy(*keys).parquet(source)
+    # Many small files: rows go out as they lie, cut after a few thousand.
+    items.write.option("maxRecordsPerFile", 5_000).partitionBy(*keys).parquet(source)
     compacted = compact(spark, source, target, keys, "l_shipdate")
     return compacted.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -178,7 +182,7 @@ JOBS = {
     "scan_csv_strings": (
         scan_csv_strings,
         "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, "
-        "CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer",
+        "CAST(c_nationkey AS VARCHAR) AS c_nationkey, printf('%.2f', c_acctbal) AS c_acctbal, c_mktsegment FROM customer",
     ),
     "scan_csv_inferred": (scan_csv_inferred, f"SELECT {_CUSTOMER}, c_acctbal FROM customer"),
     "scan_csv_sep": (scan_csv_sep, _PART_SQL),
@@ -207,20 +211,22 @@ JOBS = {
     "range_generate": (
         range_generate,
         """
-        WITH used AS (SELECT o_orderkey, count(*) AS n FROM orders GROUP BY 1),
-        numbers AS (SELECT unnest(range(1, (SELECT max(o_orderkey) FROM orders))) AS id)
-        SELECT id, right('0000000000' || id, 8) AS prefix, CAST(coalesce(n, 0) AS BIGINT) AS order_count
-        FROM numbers LEFT JOIN used ON id = o_orderkey
+        SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS id,
+               CASE WHEN length(CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS VARCHAR)) >= 8
+                    THEN CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS VARCHAR)
+                    ELSE lpad(CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS VARCHAR), 8, '0') END AS prefix,
+               o_orderkey
+        FROM orders
         """,
     ),
     "files_write": (
         files_write,
-        "SELECT lang, right('0000000000' || doc_id, 8) || '.txt' AS name, "
+        "SELECT lang, lpad(CAST(doc_id AS VARCHAR), CAST(greatest(8, length(CAST(doc_id AS VARCHAR))) AS INTEGER), '0') || '.txt' AS name, "
         "CAST(strlen(text) AS BIGINT) AS byte_count, TRUE AS ok FROM documents",
     ),
     "file_listing": (
         file_listing,
-        "SELECT lang AS category, right('0000000000' || doc_id, 8) || '.txt' AS name, "
+        "SELECT lang AS category, lpad(CAST(doc_id AS VARCHAR), CAST(greatest(8, length(CAST(doc_id AS VARCHAR))) AS INTEGER), '0') || '.txt' AS name, "
         "CAST(strlen(text) AS BIGINT) AS byte_count FROM documents",
     ),
     "files_move": (

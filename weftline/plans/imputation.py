@@ -217,8 +217,32 @@ JOBS = {
         FROM base LEFT JOIN votes ON c_custkey = probe AND r = 1
         """,
     ),
-    # Its distances differ in the last bit between engines, so brute force in the tests checks it.
-    "knn_impute_hvdm": (knn_impute_hvdm, None),
+    "knn_impute_hvdm": (
+        knn_impute_hvdm,
+        """
+        WITH base AS (SELECT o_orderkey, o_orderstatus, o_orderpriority,
+                             CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS s,
+                             CAST(o_custkey AS DOUBLE) AS t,
+                             CASE WHEN NOT (left(md5(CAST(o_orderkey AS VARCHAR)), 8) < '33333333')
+                                  THEN o_totalprice END AS target FROM orders),
+        spread AS (SELECT 4 * round(stddev_pop(s), 6) AS a, 4 * round(stddev_pop(t), 6) AS b FROM base),
+        shares AS (SELECT o_orderpriority AS value,
+                          floor(round(count(*) FILTER (o_orderstatus = 'F') / count(*)::DOUBLE, 6) * 1048576.0 + 0.5) AS f,
+                          floor(round(count(*) FILTER (o_orderstatus = 'O') / count(*)::DOUBLE, 6) * 1048576.0 + 0.5) AS o,
+                          floor(round(count(*) FILTER (o_orderstatus = 'P') / count(*)::DOUBLE, 6) * 1048576.0 + 0.5) AS p
+                   FROM base GROUP BY 1),
+        scaled AS (SELECT base.*, floor(s / a * 1048576.0 + 0.5) AS x, floor(t / b * 1048576.0 + 0.5) AS y, f, o, p
+                   FROM base, spread, shares WHERE o_orderpriority = value),
+        pairs AS (SELECT l.o_orderkey AS probe, r.target,
+                         row_number() OVER (PARTITION BY l.o_orderkey ORDER BY
+                           (l.x - r.x) * (l.x - r.x) + (l.y - r.y) * (l.y - r.y) + (l.f - r.f) * (l.f - r.f)
+                           + (l.o - r.o) * (l.o - r.o) + (l.p - r.p) * (l.p - r.p), r.o_orderkey) AS rank
+                  FROM scaled l, scaled r WHERE l.target IS NULL AND r.target IS NOT NULL),
+        found AS (SELECT probe, avg(target) AS value FROM pairs WHERE rank <= 3 GROUP BY probe)
+        SELECT o_orderkey, round(coalesce(target, value), 4) AS o_totalprice
+        FROM base LEFT JOIN found ON o_orderkey = probe
+        """,
+    ),
     "impute_compare": (
         impute_compare,
         _customer_knn_sql(

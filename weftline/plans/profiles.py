@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.operators.profile import histogram, kernel_density, profile
-from weftline.operators.sampling import bounded_sample, sample_with_replacement, split_by_key
+from weftline.operators.sampling import key_sample, key_sample_with_replacement, split_by_key
 from weftline.plans.tables import table
 from weftline.sinks.header import header_lines
 
@@ -31,7 +31,7 @@ def histogram_density(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kernel_density_job(spark: SparkSession, folder: str) -> DataFrame:
-    curve = kernel_density(table(spark, folder, "lineitem"), "l_quantity", _GRID, _BANDWIDTH)
+    curve = kernel_density(table(spark, folder, "lineitem"), "l_quantity", _GRID, _BANDWIDTH, bins=None)
     return curve.select("point", F.round("grid_x", 4).alias("grid_x"), F.round("density", 8).alias("density"))
 
 
@@ -47,27 +47,15 @@ def dataset_header(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bounded_sample_job(spark: SparkSession, folder: str) -> DataFrame:
-    """A sample of about 5,000 line items, reported by its size and origin."""
+    """A repeatable tenth of the line items, by order and line."""
     items = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
-    target = 5_000
-    rows = items.count()
-    sample = bounded_sample(items, rows, target, seed=11)
-    return _sample_report(items, sample, rows, min(rows, target) if rows > 2 * target else rows)
+    return key_sample(items, F.concat_ws("-", "l_orderkey", "l_linenumber"), 0.1, "tenth")
 
 
 def sample_replacement(spark: SparkSession, folder: str) -> DataFrame:
+    """Half as many orders as there are, drawn with replacement, one row per draw."""
     orders = table(spark, folder, "orders").select("o_orderkey")
-    rows = orders.count()
-    return _sample_report(orders, sample_with_replacement(orders, 0.5, seed=11), rows, rows / 2)
-
-
-def _sample_report(source: DataFrame, sample: DataFrame, rows: int, expected: float) -> DataFrame:
-    """Whether the sample's size is within six deviations and all its rows come from the source."""
-    strangers = sample.join(source, source.columns, "left_anti").agg(F.count(F.lit(1)).alias("n"))
-    near = F.abs(F.count(F.lit(1)) - F.lit(expected)) <= F.lit(6 * max(expected, 1) ** 0.5)
-    return sample.agg(
-        F.lit(rows).cast("bigint").alias("source_count"), near.alias("size_is_near")
-    ).select("*", strangers.scalar().alias("stranger_count"))
+    return key_sample_with_replacement(orders, F.col("o_orderkey"), 0.5, salt="draw")
 
 
 def key_split(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,11 +147,19 @@ JOBS = {
     ),
     "bounded_sample": (
         bounded_sample_job,
-        "SELECT count(*) AS source_count, TRUE AS size_is_near, CAST(0 AS BIGINT) AS stranger_count FROM lineitem",
+        "SELECT l_orderkey, l_linenumber FROM lineitem "
+        "WHERE left(md5('tenth' || l_orderkey || '-' || l_linenumber), 8) < '19999999'",
     ),
     "sample_replacement": (
         sample_replacement,
-        "SELECT count(*) AS source_count, TRUE AS size_is_near, CAST(0 AS BIGINT) AS stranger_count FROM orders",
+        """
+        WITH RECURSIVE law(n, share, below) AS (
+          SELECT 0, exp(-0.5), exp(-0.5)
+          UNION ALL SELECT n + 1, share * 0.5 / (n + 1), below + share * 0.5 / (n + 1) FROM law WHERE n < 11),
+        bounds AS (SELECT n, printf('%08x', least(CAST(floor(below * 4294967296) AS BIGINT), 4294967295)) AS bound FROM law)
+        SELECT o_orderkey, CAST(n + 1 AS INTEGER) AS copy
+        FROM orders JOIN bounds ON left(md5('draw' || o_orderkey), 8) >= bound
+        """,
     ),
     "key_split": (
         key_split,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.operators.crosstab import count_matrix, distinct_values, rollup_counts, with_totals
+from weftline.operators.crosstab import count_matrix, rollup_counts, value_counts, with_totals
 from weftline.operators.product import cross_product
 from weftline.sources.files import missing_months
 from weftline.plans.tables import table
@@ -26,18 +28,18 @@ def summary_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return rollup_counts(_orders_by_year(spark, folder), "year", "o_orderstatus", STATUSES)
 
 
-_TOTALS = """
-WITH counted AS (
-  SELECT CAST(year(o_orderdate) AS VARCHAR) AS year,
+_COUNTS = """
          count(*) FILTER (o_orderstatus = 'F') AS "F",
          count(*) FILTER (o_orderstatus = 'O') AS "O",
-         count(*) FILTER (o_orderstatus = 'P') AS "P"
-  FROM orders GROUP BY 1)
-SELECT year, CAST("F" AS BIGINT) AS "F", CAST("O" AS BIGINT) AS "O", CAST("P" AS BIGINT) AS "P",
-       CAST("F" + "O" + "P" AS BIGINT) AS total, CAST(0 AS INTEGER) AS sort_key FROM counted
+         count(*) FILTER (o_orderstatus = 'P') AS "P",
+         count(*) FILTER (o_orderstatus NOT IN ('F', 'O', 'P')) AS other,
+         count(*) FILTER (o_orderstatus IS NULL) AS missing,
+         count(*) AS total"""
+
+_TOTALS = f"""
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, {_COUNTS}, CAST(0 AS INTEGER) AS sort_key FROM orders GROUP BY 1
 UNION ALL
-SELECT 'total', CAST(sum("F") AS BIGINT), CAST(sum("O") AS BIGINT), CAST(sum("P") AS BIGINT),
-       CAST(sum("F" + "O" + "P") AS BIGINT), CAST(1 AS INTEGER) FROM counted
+SELECT 'total', {_COUNTS}, CAST(1 AS INTEGER) FROM orders
 ORDER BY sort_key, year
 """
 
@@ -48,12 +50,11 @@ def year_band_pivot(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderdate >= TIMESTAMP_NTZ '1996-01-01' AND o_orderdate < TIMESTAMP_NTZ '2000-01-01'"
     )
     years = band.select(F.year("o_orderdate").alias("year"), "o_orderstatus")
-    return count_matrix(years, "year", "o_orderstatus").orderBy("year")
+    return count_matrix(years, "year", "o_orderstatus", STATUSES).orderBy("year")
 
 
 def value_counts_desc(spark: SparkSession, folder: str) -> DataFrame:
-    sizes = table(spark, folder, "part").groupBy("p_size").agg(F.count(F.lit(1)).alias("part_count"))
-    return sizes.orderBy(F.desc("part_count"), "p_size").limit(20)
+    return value_counts(table(spark, folder, "part"), "p_size", "part_count")
 
 
 def run_means(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,16 +65,22 @@ def run_means(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def view_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    table(spark, folder, "supplier").createOrReplaceTempView("weftline_supplier")
-    table(spark, folder, "nation").createOrReplaceTempView("weftline_nation")
-    return spark.sql(
-        """
-        SELECT n_name, count(*) AS supplier_count, count_if(s_acctbal >= :floor) AS funded_count
-        FROM IDENTIFIER(:suppliers) JOIN weftline_nation ON s_nationkey = n_nationkey
-        GROUP BY n_name
-        """,
-        args={"floor": 1000, "suppliers": "weftline_supplier"},
-    )
+    """Two named views, queried by SQL text with parameters; the names go once the query is analysed."""
+    names = {name: f"weftline_{name}_{uuid.uuid4().hex}" for name in ("supplier", "nation")}
+    for name, view in names.items():
+        table(spark, folder, name).createTempView(view)
+    try:
+        return spark.sql(
+            """
+            SELECT n_name, count(*) AS supplier_count, count_if(s_acctbal >= :floor) AS funded_count
+            FROM IDENTIFIER(:supplier) JOIN IDENTIFIER(:nation) ON s_nationkey = n_nationkey
+            GROUP BY n_name
+            """,
+            args={"floor": 1000, **names},
+        )
+    finally:
+        for view in names.values():
+            spark.catalog.dropTempView(view)
 
 
 def missing_months_job(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,10 +98,10 @@ def full_grid(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     keys = ["c_mktsegment", "o_orderpriority", "o_orderstatus", "c_nationkey"]
     grid = cross_product(spark, {
-        keys[0]: distinct_values(customers, keys[0]),
-        keys[1]: distinct_values(orders, keys[1]),
-        keys[2]: distinct_values(orders, keys[2]),
-        keys[3]: distinct_values(customers, keys[3]),
+        keys[0]: customers.select(keys[0]),
+        keys[1]: orders.select(keys[1]),
+        keys[2]: orders.select(keys[2]),
+        keys[3]: customers.select(keys[3]),
     })
     # Counting per customer first leaves one row per key for the join, however hot a customer is.
     by_customer = orders.groupBy("o_custkey", keys[1], keys[2]).agg(F.count(F.lit(1)).alias("n"))
@@ -102,8 +109,9 @@ def full_grid(spark: SparkSession, folder: str) -> DataFrame:
         by_customer.join(customers, by_customer.o_custkey == customers.c_custkey)
         .groupBy(*keys).agg(F.sum("n").alias("order_count"))
     )
-    return grid.join(seen, keys, "left").select(
-        *keys, F.coalesce("order_count", F.lit(0)).cast("bigint").alias("order_count")
+    same = [grid[key].eqNullSafe(seen[key]) for key in keys]
+    return grid.join(seen, same, "left").select(
+        *[grid[key] for key in keys], F.coalesce("order_count", F.lit(0)).cast("bigint").alias("order_count")
     )
 
 
@@ -113,17 +121,14 @@ JOBS = {
     "year_band_pivot": (
         year_band_pivot,
         """
-        SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
-               nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS "F",
-               nullif(count(*) FILTER (o_orderstatus = 'O'), 0) AS "O",
-               nullif(count(*) FILTER (o_orderstatus = 'P'), 0) AS "P"
+        SELECT CAST(year(o_orderdate) AS INTEGER) AS year, """ + _COUNTS + """
         FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1999 GROUP BY 1 ORDER BY 1
         """,
     ),
     "value_counts_desc": (
         value_counts_desc,
         "SELECT p_size, count(*) AS part_count FROM part GROUP BY p_size "
-        "ORDER BY part_count DESC, p_size LIMIT 20",
+        "ORDER BY part_count DESC, p_size",
     ),
     "run_means": (
         run_means,
@@ -162,7 +167,10 @@ JOBS = {
           FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
         SELECT c_mktsegment, o_orderpriority, o_orderstatus, c_nationkey,
                CAST(coalesce(n, 0) AS BIGINT) AS order_count
-        FROM grid LEFT JOIN seen USING (c_mktsegment, o_orderpriority, o_orderstatus, c_nationkey)
+        FROM grid LEFT JOIN (
+            SELECT c_mktsegment AS a, o_orderpriority AS b, o_orderstatus AS c, c_nationkey AS d, n FROM seen)
+          ON a IS NOT DISTINCT FROM c_mktsegment AND b IS NOT DISTINCT FROM o_orderpriority
+         AND c IS NOT DISTINCT FROM o_orderstatus AND d IS NOT DISTINCT FROM c_nationkey
         """,
     ),
 }

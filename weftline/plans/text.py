@@ -10,7 +10,7 @@ from weftline.functions.grouped import center_by_group
 from weftline.functions.strings import ALPHANUMERIC, random_text
 from weftline.plans.tables import table
 from weftline.sinks.csv import write_parts
-from weftline.sources.text import read_mixed_delimiter, strip_wrappers
+from weftline.sources.text import SURPLUS, read_mixed_delimiter, strip_wrappers
 from weftline.workspace import new_folder
 
 
@@ -25,7 +25,7 @@ def scan_mixed_delimiter(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("^"), "p_type").alias("Type"),
     )
     write_parts(wrapped, path, header=True, sep="|")
-    return read_mixed_delimiter(spark, path)
+    return read_mixed_delimiter(spark, path).drop(SURPLUS)
 
 
 def strip_wrappers_job(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,7 +96,7 @@ JOBS = {
     "chop_swap_native": (_swapped(chop_swap.native), _SWAP_SQL),
     "chop_swap_sqlexpr": (chop_swap_sqlexpr, _SWAP_SQL),
     "chop_swap_sqlfn": (chop_swap_sqlfn, _SWAP_SQL),
-    "chop_swap_pyudf": (_swapped(chop_swap.python_udf), _SWAP_SQL),
+    "chop_swap_pyudf": (_swapped(chop_swap.arrow_udf), _SWAP_SQL),
     "chop_swap_registered": (chop_swap_registered, _SWAP_SQL),
     "chop_swap_arrow": (_swapped(chop_swap.arrow_udf), _SWAP_SQL),
     "chop_swap_pandas": (_swapped(chop_swap.pandas_udf), _SWAP_SQL),

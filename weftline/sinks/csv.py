@@ -1,14 +1,12 @@
-"""CSV exports: many parts, or one file with a friendly name."""
+"""CSV exports: many parts, ordered parts with friendly names, and parts with a row index."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.workspace import Storage, materialize, new_folder
-
-# Fixed value: the size up to which one file is sensible on 16 GB nodes.
-SINGLE_FILE_BYTES = 10_000_000_000
+from weftline.operators.numbering import number_rows
+from weftline.workspace import Storage, new_folder
 
 
 def write_parts(df: DataFrame, path: str, header: bool = False, sep: str = ",") -> None:
@@ -19,41 +17,29 @@ def write_parts(df: DataFrame, path: str, header: bool = False, sep: str = ",")
     )
 
 
-def write_single(
-    df: DataFrame,
-    path: str,
-    header: bool = False,
-    order_by: list[str | Column] | None = None,
-    max_bytes: int = SINGLE_FILE_BYTES,
-) -> str:
-    """One CSV file at exactly ``path``.
+def write_named_parts(df: DataFrame, path: str, order_by: list[str], header: bool = False) -> int:
+    """Globally ordered CSV parts ``<folder>/<name>-00000.csv``, ... at ``path``; returns their number.
 
-    The plan runs in parallel into a shared folder first; its CSV size is then measured and
-    only a result below ``max_bytes`` goes through the single writing task. A larger one
-    raises, because a single file is the wrong format for it: use ``write_parts``.
+    Rows are range-sorted, so each range is one writer and the parts in name order are the
+    ordered table; with ``header`` each part has the header line. There is no single file
+    and hence no bound on size. What was at ``path`` is replaced.
     """
-    spark = df.sparkSession
-    ready = materialize(df, "single-csv")
-    line = F.octet_length(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    size = ready.agg(F.sum(line + 1)).first()[0] or 0
-    if size > max_bytes:
-        raise ValueError(f"{size} bytes exceed the single-file bound of {max_bytes}; use write_parts")
-    one = ready.coalesce(1)
-    stage = new_folder(spark, "single-csv-stage")
-    write_parts(one.sortWithinPartitions(*order_by) if order_by else one, stage, header)
-    storage = Storage(spark)
-    part = next(n for n in storage.names_in(stage) if n.startswith("part-"))
+    spark, storage = df.sparkSession, Storage(df.sparkSession)
+    ordered = df.repartitionByRange(*[F.col(f"`{c}`") for c in order_by])
+    stage = new_folder(spark, "named-csv")
+    write_parts(ordered.sortWithinPartitions(*[F.col(f"`{c}`") for c in order_by]), stage, header)
+    parts = [name for name in storage.names_in(stage) if name.startswith("part-")]
     if storage.exists(path):
         storage.remove(path)
-    storage.move(f"{stage}/{part}", path)
+    name = path.rstrip("/").rpartition("/")[2]
+    for number, part in enumerate(parts):
+        storage.move(f"{stage}/{part}", f"{path}/{name}-{number:05d}.csv")
     storage.remove(stage)
-    return path
-
+    return len(parts)
 
-def write_indexed(df: DataFrame, path: str, order_by: list[str], max_bytes: int = SINGLE_FILE_BYTES) -> str:
-    """One CSV file with header and a leading, unnamed 0-based row index."""
-    from weftline.operators.numbering import number_rows
 
-    numbered = number_rows(df, order_by, "row_index")
+def write_indexed(df: DataFrame, path: str, order_by: list[str]) -> int:
+    """Named parts with header and a leading, unnamed 0-based row index over all parts."""
+    numbered = number_rows(df, [F.col(f"`{c}`") for c in order_by], "row_index")
     columns = [F.col("row_index").alias("_c0"), *[F.col(f"`{c}`") for c in df.columns]]
-    return write_single(numbered.select(*columns), path, True, ["_c0"], max_bytes)
+    return write_named_parts(numbered.select(*columns), path, ["_c0"], True)

@@ -1,7 +1,9 @@
 """One small file per row, and moves of many files, as Spark tasks that report per file.
 
 Both are idempotent, so a repeated or speculative task does no harm: writes go to a
-temporary name and are renamed, and a move whose work is already done counts as done.
+temporary name and are renamed, a target that already holds the same bytes counts as
+written, and a move whose work is already done counts as done. Nothing is overwritten: a
+target with other content is left as it is and reported as not done.
 The status rows are written once to the shared folder; reading them never repeats the work.
 """
 
@@ -18,16 +20,37 @@ from weftline.sources.files import open_store
 from weftline.workspace import materialize
 
 
+def _spread(rows: DataFrame, tasks: int | None) -> DataFrame:
+    """``rows`` in ``tasks`` parts; without a number they stay as they lie unless that would leave cores idle."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if tasks is None and rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(tasks or cores)
+
+
 def write_file_per_row(df: DataFrame, path: str, content: str, tasks: int | None = None) -> DataFrame:
-    """Write ``content`` to the file named by ``path`` for each row: ``(path, byte_count, ok)``."""
+    """Write ``content`` to the file named by ``path`` for each row: ``(path, byte_count, ok)``.
+
+    A NULL path or content makes no file and is not ok; nor is a target that exists with
+    other content.
+    """
+    from pyarrow.fs import FileType
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             results = []
             for target, text in zip(batch["path"], batch["content"]):
-                data = (text or "").encode("utf-8")
+                if target is None or text is None:
+                    results.append((target, 0, False))
+                    continue
+                data = text.encode("utf-8")
                 try:
                     store, inner = open_store(target)
+                    if store.get_file_info(inner).type != FileType.NotFound:
+                        with store.open_input_stream(inner) as there:
+                            same = there.read() == data
+                        results.append((target, len(data) if same else 0, same))
+                        continue
                     store.create_dir(inner.rpartition("/")[0], recursive=True)
                     partial = f"{inner}.{uuid.uuid4().hex}.partial"
                     with store.open_output_stream(partial) as out:
@@ -39,7 +62,7 @@ def write_file_per_row(df: DataFrame, path: str, content: str, tasks: int | None
             yield pd.DataFrame(results, columns=["path", "byte_count", "ok"])
 
     rows = df.select(F.col(path).alias("path"), F.col(content).alias("content"))
-    spread = rows.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism, "path")
+    spread = _spread(rows, tasks)
     return materialize(spread.mapInPandas(work, "path string, byte_count bigint, ok boolean"), "written")
 
 
@@ -56,6 +79,8 @@ def move_files(df: DataFrame, tasks: int | None = None) -> DataFrame:
                     _, dst = open_store(target)
                     if store.get_file_info(src).type == FileType.NotFound:
                         done = store.get_file_info(dst).type == FileType.File
+                    elif store.get_file_info(dst).type != FileType.NotFound:
+                        done = False
                     else:
                         store.create_dir(dst.rpartition("/")[0], recursive=True)
                         store.move(src, dst)
@@ -66,7 +91,7 @@ def move_files(df: DataFrame, tasks: int | None = None) -> DataFrame:
             yield pd.DataFrame(results, columns=["path", "destination", "move_result"])
 
     rows = df.select("path", "destination")
-    spread = rows.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism, "path")
+    spread = _spread(rows, tasks)
     return materialize(
         spread.mapInPandas(work, "path string, destination string, move_result boolean"), "moved"
     )

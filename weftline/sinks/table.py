@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.operators.conform import INVALID, Contract, complete, loadable
-from weftline.workspace import Storage
+from weftline.operators.conform import INVALID, LEFT_OUT, Contract, complete, loadable, set_aside
+from weftline.workspace import Storage, materialize
 
 
 def create_table(spark: SparkSession, name: str, contract: Contract, location: str) -> None:
@@ -24,11 +24,13 @@ def create_table(spark: SparkSession, name: str, contract: Contract, location: s
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{layout} LOCATION '{location}'")
 
 
-def load_table(conformed: DataFrame, name: str, contract: Contract) -> dict[str, int]:
-    """Append the loadable rows by position and return the counts of that one pass.
+def load_table(conformed: DataFrame, name: str, contract: Contract, aside: str) -> dict[str, int]:
+    """Append the loadable rows by position and return counts.
 
-    ``source = loaded + rejected`` is checked here. The append order is that of the created
-    table, which moves partition columns to the end.
+    What does not go into the table is written to ``aside`` (see ``set_aside``): no row and
+    no value is lost. The conformed rows are written once, and both outputs read from
+    there. ``source = loaded + rejected`` is checked. The append order is that of the
+    created table, which moves partition columns to the end.
     """
     seen = Observation()
     lost = [
@@ -41,10 +43,13 @@ def load_table(conformed: DataFrame, name: str, contract: Contract) -> dict[str,
         F.count(F.lit(1)).alias("source"),
         F.count_if(complete(contract)).alias("loaded"),
         F.count_if(~complete(contract)).alias("rejected"),
+        F.count_if(F.size(LEFT_OUT) > 0).alias("with_values_left_out"),
         *lost,
     )
+    staged = materialize(watched, "conformed")
     order = conformed.sparkSession.table(name).columns
-    loadable(watched, contract).select(*order).write.insertInto(name, overwrite=False)
+    loadable(staged, contract).select(*order).write.insertInto(name, overwrite=False)
+    set_aside(staged, contract).write.parquet(aside)
     counts = seen.get
     if counts["source"] != counts["loaded"] + counts["rejected"]:
         raise AssertionError(f"rows lost while loading {name}: {counts}")

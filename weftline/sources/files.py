@@ -7,19 +7,49 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.operators.conform import Contract, conform, drift_report
+from weftline.workspace import materialize
+
+
+_LISTED = "path string, length bigint, modificationTime timestamp"
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """All files below ``root`` as rows; contents are never read."""
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .select("path", parent_name(F.col("path")).alias("category"),
-                file_name(F.col("path")).alias("name"), "length", "modificationTime")
+    """All files below ``root`` as rows; contents are never read.
+
+    The entries of ``root`` are taken as they are; folders among them are listed by the
+    tasks, each with all that lies below it. Names that start with "." or "_" are left out,
+    as in Spark's own listings.
+    """
+    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    base = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(base).toString()
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileSelector, FileType
+
+        for batch in batches:
+            for folder, deep in zip(batch["folder"], batch["deep"]):
+                store, inner = open_store(folder)
+                rows = []
+                for entry in store.get_file_info(FileSelector(inner, recursive=bool(deep))):
+                    below = entry.path[len(inner):].lstrip("/")
+                    if any(part[:1] in "._" for part in below.split("/")):
+                        continue
+                    if entry.type == FileType.File or not deep:
+                        is_folder = entry.type != FileType.File
+                        rows.append((f"{folder}/{below}", -1 if is_folder else entry.size, entry.mtime))
+                yield pd.DataFrame(rows, columns=["path", "length", "modificationTime"])
+
+    start = spark.createDataFrame([(base, False)], "folder string, deep boolean")
+    top = materialize(start.mapInPandas(walk, _LISTED), "listed")
+    folders = top.where("length < 0").select(F.col("path").alias("folder"), F.lit(True).alias("deep"))
+    below = folders.repartition(spark.sparkContext.defaultParallelism, "folder").mapInPandas(walk, _LISTED)
+    return top.where("length >= 0").unionByName(below).select(
+        "path", parent_name(F.col("path")).alias("category"), file_name(F.col("path")).alias("name"), "length", "modificationTime"
     )
 
 
@@ -83,25 +113,48 @@ def file_signatures(spark: SparkSession, root: str, kind: str, tasks: int | None
         for batch in batches:
             yield batch.assign(signature=[signature(p) for p in batch["path"]])
 
-    files = list_files(spark, root).select("path", "category")
-    spread = files.repartition(tasks or spark.sparkContext.defaultParallelism, "path")
+    files = list_files(spark, root).where("length > 0").select("path", "category")
+    spread = files.repartition(tasks or spark.sparkContext.defaultParallelism)
     return spread.mapInPandas(read, "path string, category string, signature string")
 
 
-def schema_groups(spark: SparkSession, root: str, kind: str) -> list[tuple[str, list[str]]]:
-    """Files that share one schema, as ``(signature, paths)``.
+#: Paths of one scan of a folder that mixes schemas.
+SCAN_PATHS = 10_000
 
-    Only path names reach the driver, which plans the scans and needs them anyway.
-    """
-    groups: dict[str, list[str]] = {}
-    for path, signature in sorted(file_signatures(spark, root, kind).select("path", "signature").collect()):
-        groups.setdefault(signature, []).append(path)
-    return sorted(groups.items())
 
+def schema_groups(spark: SparkSession, root: str, kind: str) -> list[tuple[str, str, list[str]]]:
+    """Scans that together cover all files: ``(signature, one of its files, paths to scan)``.
 
-def _read_group(spark: SparkSession, kind: str, signature: str, paths: list[str]) -> DataFrame:
+    Files are reduced to distinct (folder, schema) before anything reaches the driver. A
+    folder of one schema is scanned as a whole; only where a folder mixes schemas are its
+    files named, in scans of bounded length.
+    """
+    files = materialize(
+        file_signatures(spark, root, kind).withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1)), "signatures"
+    )
+    found = files.groupBy("folder", "signature").agg(F.min("path").alias("example"))
+    found = found.withColumn("kinds", F.count(F.lit(1)).over(Window.partitionBy("folder"))).collect()
+    scans: list[tuple[str, str, list[str]]] = []
+    whole: dict[str, tuple[str, list[str]]] = {}
+    for row in sorted(found, key=lambda r: (r["signature"], r["folder"])):
+        if row["kinds"] == 1:
+            whole.setdefault(row["signature"], (row["example"], []))[1].append(row["folder"])
+            continue
+        named = files.where((F.col("folder") == row["folder"]) & (F.col("signature") == row["signature"])).select("path")
+        paths: list[str] = []
+        for one in named.toLocalIterator():
+            paths.append(one["path"])
+            if len(paths) == SCAN_PATHS:
+                scans.append((row["signature"], row["example"], paths))
+                paths = []
+        if paths:
+            scans.append((row["signature"], row["example"], paths))
+    return [(signature, example, paths) for signature, (example, paths) in sorted(whole.items())] + scans
+
+
+def _read_group(spark: SparkSession, kind: str, signature: str, example: str, paths: list[str]) -> DataFrame:
     if kind == "parquet":
-        return spark.read.schema(spark.read.parquet(paths[0]).schema).parquet(*paths)
+        return spark.read.schema(spark.read.parquet(example).schema).parquet(*paths)
     fields = [T.StructField(name, T.StringType()) for name in json.loads(signature)]
     return spark.read.option("header", True).option("escape", '"').schema(T.StructType(fields)).csv(paths)
 
@@ -115,11 +168,8 @@ def read_conformed(
     """
     path = F.col("_metadata.file_path")
     parts = [
-        conform(
-            _read_group(spark, kind, signature, paths), contract,
-            {"filename": path, category: parent_name(path)},
-        )
-        for signature, paths in schema_groups(spark, root, kind)
+        conform(_read_group(spark, kind, *group), contract, {"filename": path, category: parent_name(path)})
+        for group in schema_groups(spark, root, kind)
     ]
     if not parts:
         raise ValueError(f"no {kind} files below {root}")
@@ -127,9 +177,10 @@ def read_conformed(
 
 
 def read_drift_report(spark: SparkSession, root: str, contract: Contract, kind: str = "parquet") -> DataFrame:
-    """The drift report of each schema group, labelled with its folder names."""
+    """The drift report of each scan, labelled with its folder names."""
     reports = []
-    for signature, paths in schema_groups(spark, root, kind):
-        feed = ",".join(sorted({p.split("/")[-2] for p in paths}))
-        reports.append(drift_report(_read_group(spark, kind, signature, paths), feed, contract))
+    for signature, example, paths in schema_groups(spark, root, kind):
+        folders = {p if p.rpartition(".")[2] != kind else p.rpartition("/")[0] for p in paths}
+        feed = ",".join(sorted({folder.rpartition("/")[2] for folder in folders}))
+        reports.append(drift_report(_read_group(spark, kind, signature, example, paths), feed, contract))
     return reduce(DataFrame.unionByName, reports)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.sources.files import list_files
+from weftline.workspace import materialize
 
 
 def read_csv(
@@ -38,25 +38,42 @@ def without_markers(line: Column, sep: str = "|", wrapper: str = "^") -> Column:
     )
 
 
+SURPLUS = "_surplus"
+
+
 def read_mixed_delimiter(spark: SparkSession, path: str, sep: str = "|", wrapper: str = "^") -> DataFrame:
-    """Lines whose fields are split by ``sep``, each possibly wrapped, first line = names
-    (of the first file, when ``path`` is a folder).
+    """Lines whose fields are split by ``sep``, each possibly wrapped; each file's first line has its names.
 
-    Every line equal to the header is dropped, so concatenated files work too. Lines
-    shorter than the header give NULLs for the missing fields.
+    Fields are placed by the header of their own file, so files may order or choose their
+    columns differently; a column that a file lacks is NULL there. Every line equal to its
+    file's header is dropped, so concatenated files work too. Lines shorter than the header
+    give NULLs for the missing fields; fields beyond it are kept in ``_surplus``.
     """
     unmarked = without_markers(F.col("value"), sep, wrapper).alias("line")
-    first_file = list_files(spark, path).agg(F.min("path")).first()[0]
-    found = spark.read.text(first_file).select(unmarked).head(1) if first_file else []
-    if not found:
+    # The first line of a file is the one at its start: no part of a file but that has it.
+    start = F.col("_metadata.file_block_start") == 0
+    lines = spark.read.text(path).select(
+        unmarked, F.col("_metadata.file_path").alias("file"), start.alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    headers = materialize(
+        lines.where("start").groupBy("file").agg(F.min_by("line", "place").alias("header")), "headers"
+    )
+    names: list[str] = []
+    for row in headers.select("header").distinct().orderBy("header").collect():
+        names += [name for name in row["header"].split(sep) if name not in names]
+    if not names:
         raise ValueError(f"{path} is empty")
-    header = found[0]["line"]
-    names = header.split(sep)
-    fields = F.split("line", re.escape(sep))
-    return (
-        spark.read.text(path).select(unmarked).where(F.col("line") != F.lit(header))
-        .select(fields.alias("fields"))
-        .select(*[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(names)])
+    pattern = re.escape(sep)
+    fields, own = F.split("line", pattern), F.split("header", pattern)
+
+    def field(name: str) -> Column:
+        position = F.array_position(own, F.lit(name))
+        return F.when(position > 0, F.get(fields, (position - 1).cast("int"))).alias(name)
+
+    surplus = F.when(F.size(fields) > F.size(own), F.slice(fields, F.size(own) + 1, F.size(fields)))
+    return lines.join(headers, "file").where("line != header").select(
+        *[field(name) for name in names], surplus.alias(SURPLUS)
     )
 
 

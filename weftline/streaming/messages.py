@@ -65,9 +65,9 @@ def sales_stream(spark: SparkSession, rows_per_second: float = BATCH_ROWS / BATC
     return random_sales_messages(ticks, "value")
 
 
-def file_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).format("parquet")
-    return (reader.option("pathGlobFilter", pattern) if pattern else reader).load(folder)
+def file_stream(spark: SparkSession, folder: str, schema: T.StructType, name: str | None = None) -> DataFrame:
+    """A stream over the Parquet files of ``folder``, or of ``name`` in it, be that a file or a folder of parts."""
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}*" if name else folder)
 
 
 def kafka_options(servers: str, topic: str, jaas: str | None = None) -> dict[str, str]:

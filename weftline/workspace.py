@@ -1,14 +1,13 @@
 """Shared working folders and Hadoop file-system calls.
 
 Intermediate tables must be readable by every executor, so they go below
-``spark.checkpoint.dir``. Only a local master may fall back to a folder of its
-own, because there driver and executors are one machine.
+``spark.checkpoint.dir``. Where that is unset they go below the warehouse, which driver
+and executors share as well; never into a machine's own temporary folder.
 """
 
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +16,9 @@ _run_folders: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach; raises when a cluster names none."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.gettempdir()
+    """The folder all executors can reach."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return configured.rstrip("/")
 
 
 def run_folder(spark: SparkSession) -> str:
