@@ -80,20 +80,24 @@ def smallest_labels(edges: DataFrame, spark: SparkSession) -> DataFrame:
     pairs = materialize(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "edges"
     )
+    print_of = _fingerprint(pairs)
     while True:
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         around = both.groupBy("a").agg(F.min("b").alias("low"))
         # Large step: neighbours above a node go to the smallest node around it.
-        large = both.join(around, "a").where("b > a").select("b", F.least("low", "a").alias("low"))
-        large = large.where("b > low").distinct().select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = materialize(large, "large")
+        large = both.where("b > a").join(around, "a").select(F.col("b").alias("a"), F.least("low", "a").alias("b")).where("a > b").distinct()
         # Small step: a node and its neighbours below it go to the smallest of these.
         lows = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(lows, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b"))
-        small = materialize(small.where("a > b").distinct(), "small")
-        changed = small.exceptAll(pairs).limit(1).count() or pairs.exceptAll(small).limit(1).count()
-        pairs = small
-        if not changed:
+        pairs = materialize(small.where("a > b").distinct(), "small")
+        before, print_of = print_of, _fingerprint(pairs)
+        if print_of == before:
             break
     roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+
+
+def _fingerprint(pairs: DataFrame) -> tuple:
+    """Number of pairs and two sums of their hashes: the same for the same set."""
+    hashes = (F.xxhash64("a", "b"), F.xxhash64(F.lit(7), "b", "a"))
+    return tuple(pairs.agg(F.count(F.lit(1)), *[F.sum(h.cast("decimal(38,0)")) for h in hashes]).first())

@@ -35,7 +35,7 @@ FREQUENT_IN_SAMPLE = 4
 FREQUENT_TOKENS = 200_000
 BLOCK_ROWS = 2_048
 LEAF_POINTS = 32
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 
 _LOW_HASHES = np.uint64(1 << 62)
 
@@ -299,23 +299,54 @@ def _search_blocks(percent: int) -> Callable:
         a, b = nodes[a[differ]], nodes[b[differ]]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
+    def within_leaves(batch: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
+        """All groups of a batch that fit into one leaf: their points are compared without a tree."""
+        nodes, components = batch["node"].to_numpy(), batch["component"].to_numpy()
+        sizes, points = batch["n"].to_numpy(), _points(batch["counts"])
+        firsts, seconds = [], []
+        for step in range(1, LEAF_POINTS):
+            at = np.flatnonzero(group[step:] == group[:-step])
+            if not len(at):
+                break
+            a, b = sizes[at], sizes[at + step]
+            fits = (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (components[at] != components[at + step])
+            firsts.append(at[fits])
+            seconds.append(at[fits] + step)
+        if not firsts:
+            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+        first, second = np.concatenate(firsts), np.concatenate(seconds)
+        low, high = np.minimum(nodes[first], nodes[second]), np.maximum(nodes[first], nodes[second])
+        _, once = np.unique(np.column_stack([low, high]), axis=0, return_index=True)
+        first, second = first[once], second[once]
+        near = np.zeros(len(first), bool)
+        for at in range(0, len(first), 50_000):
+            part = slice(at, at + 50_000)
+            most = np.minimum(points[first[part]], points[second[part]]).sum(1, dtype=np.int64)
+            near[part] = most >= least_overlap(sizes[first[part]], sizes[second[part]], percent)
+        return pd.DataFrame({"a": low[once][near], "b": high[once][near]})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: list[pd.DataFrame] = []
-        last = None
+        rest: pd.DataFrame | None = None  # the last group so far, which the next batch may go on with
         for batch in batches:
+            if rest is not None:
+                batch = pd.concat([rest, batch], ignore_index=True)
             if not len(batch):
                 continue
             keys = batch[["token", "band", "x", "y"]].to_numpy()
-            starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1), len(batch)]
-            for start, end in zip(starts, starts[1:], strict=False):
-                key = tuple(keys[start])
-                if rest and key != last:
-                    yield search(pd.concat(rest, ignore_index=True))
-                    rest = []
-                rest.append(batch.iloc[start:end])
-                last = key
-        if rest:
-            yield search(pd.concat(rest, ignore_index=True))
+            starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1])
+            rest = batch.iloc[starts[-1]:]
+            yield from groups(batch.iloc[: starts[-1]], starts)
+        if rest is not None and len(rest):
+            yield from groups(rest, np.array([0, len(rest)]))
+
+    def groups(rows: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
+        lengths = np.diff(starts)
+        number = np.repeat(np.arange(len(lengths)), lengths)
+        small = lengths[number] <= LEAF_POINTS
+        if small.any():
+            yield within_leaves(rows[small], number[small])
+        for i in np.flatnonzero(lengths > LEAF_POINTS):
+            yield search(rows.iloc[starts[i]: starts[i + 1]].reset_index(drop=True))
 
     return run
 
