@@ -1,9 +1,14 @@
+"""Documents for the tests of this folder."""
+
 from __future__ import annotations
 
 import pytest
 from pyspark.sql import types as T
 
-DOCS = T.StructType.fromDDL("doc_id bigint, text string, lang string, source string, n_chars bigint")
+DOCS = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
+    T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
+])
 
 
 @pytest.fixture

@@ -7,6 +7,7 @@ import re
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from docs_fixture import make_docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from weftline.llm import exact_dedup

@@ -1,9 +1,11 @@
 """Nearest neighbours, licenses and toxicity against brute force and held-out rows."""
 
 import random
+import re
 
 import numpy as np
 import pytest
+from docs_fixture import make_docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from weftline.llm.kmeans_tree import Tree, nearest
@@ -78,14 +80,11 @@ def test_licenses_equal_a_full_comparison(spark, make_docs):
         rows.append((i, rng.choice(["\n", "\n\n"]).join(lines)))
     rows += [(500, None), (501, ""), (502, "All rights reserved."), (502, "All rights reserved."), (None, "released under the MIT license"), (503, "x " * 50_000)]
     got = {(r.doc_id, r.license): (r.dice, r.n_units) for r in scan_licenses(make_docs(rows, dice="clash", license="clash")).collect()}
-    import re
-
-    want = {}
+    want, units = {}, {}
     for doc, text in rows:
-        units = set((text or "").split("\n")) | set(re.split(r"\n\s*\n", text or "")) | {text or ""}
-        seen = set()
-        for unit in units:
-            seen.add(frozenset(template_bigrams(unit)))
+        own = set((text or "").split("\n")) | set(re.split(r"\n\s*\n", text or "")) | {text or ""}
+        units.setdefault(doc, set()).update(frozenset(template_bigrams(unit)) for unit in own)
+    for doc, seen in units.items():
         for bigrams in seen - {frozenset()}:
             best = min((-2 * len(bigrams & set(b)) / (len(bigrams) + len(b)), name) for name, ws in TEMPLATES.items() for b in map(template_bigrams, ws))
             if -best[0] >= 0.8:
@@ -100,7 +99,7 @@ def test_automata_equal_edit_distance():
         row = list(range(len(term) + 1))
         best = row[-1]
         for letter in word:
-            row = [row[0] + 1] + row[1:] if False else [row[0] + 1, *[0] * len(term)] if False else _next(row, term, letter)
+            row = _next(row, term, letter)
             best = min(best, row[-1])
         return best
 

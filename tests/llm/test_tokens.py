@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from docs_fixture import make_docs  # noqa: F401
 from tokenizers import Tokenizer
 
 from weftline.llm.packing import pack, tail_lengths
