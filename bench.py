@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import statistics
 import sys
 import time
@@ -18,14 +19,14 @@ from pyspark.sql import functions as F
 from weftline.functions import chop_swap
 from weftline.plans import all_jobs
 from weftline.sinks.files import move_files, write_file_per_row
-from weftline.workspace import new_folder
+from weftline.workspace import cached, new_folder
 
 HEADLINE = [
     "summary_matrix", "summary_rollup", "year_band_pivot", "cross_product", "missing_months",
     "scan_csv_multiline", "sink_csv_single", "sink_csv_indexed", "compact_cluster",
     "table_conform", "table_conform_csv", "reconcile_counts", "parse_datetimes",
     "scan_mixed_delimiter", "grouped_pandas", "profile_numeric", "histogram_density", "kernel_density",
-    "kernel_density_binned", "string_index", "knn_impute_global", "knn_impute_manhattan",
+    "kernel_density_binned", "string_index", "knn_impute_global", "knn_impute_manhattan", "knn_impute_hvdm",
     "impute_compare", "keyed_json_batch", "stream_keyed_json", "files_write",
 ]
 # The string function is timed on the identifiers repeated to this many rows.
@@ -49,21 +50,34 @@ def median(work) -> float:
     return statistics.median(timed(work) for _ in range(repeats))
 
 
-def swap_times(spark: SparkSession, folder: str) -> dict[str, float]:
-    """All flavours over one cached column; the reference point is the native expression."""
+def swap_runs(spark: SparkSession, folder: str, rounds: int = 3) -> list[dict]:
+    """Runs of all flavours over one cached column, in shuffled order: ``{method, round, seconds}``."""
     events = spark.read.parquet(f"{folder}/events.parquet")
     copies = max(1, SWAP_ROWS // max(1, events.count()))
     text = F.concat(F.md5(F.col("event_id").cast("string")), F.md5("event_type"))
     rows = events.select(text.alias("uuid")).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
-    cached = rows.select("uuid").repartition(spark.sparkContext.defaultParallelism).persist()
-    drain(cached)
     name = chop_swap.register_sql_function(spark)
     flavours = {k: f(F.col("uuid")) for k, f in chop_swap.FLAVOURS.items()}
     flavours["sql_expression"] = chop_swap.sql_expression("uuid")
     flavours["sql_function"] = F.expr(f"{name}(uuid)")
-    times = {f"swap_{k}": median(lambda c=c: drain(cached.select(c.alias("swapped")))) for k, c in flavours.items()}
-    cached.unpersist()
-    return times
+    runs = []
+    with cached(rows.select("uuid").repartition(spark.sparkContext.defaultParallelism)) as column:
+        drain(column)
+        for column_of in flavours.values():
+            drain(column.select(column_of.alias("swapped")).limit(10_000))
+        order = [(method, n) for n in range(rounds) for method in flavours]
+        random.Random(1).shuffle(order)
+        for method, n in order:
+            seconds = timed(lambda m=method: drain(column.select(flavours[m].alias("swapped"))))
+            runs.append({"method": method, "round": n, "seconds": round(seconds, 3)})
+    return runs
+
+
+def means(runs: list[dict]) -> dict[str, float]:
+    by_method: dict[str, list[float]] = {}
+    for run in runs:
+        by_method.setdefault(f"swap_{run['method']}", []).append(run["seconds"])
+    return {method: statistics.mean(times) for method, times in by_method.items()}
 
 
 def move_times(spark: SparkSession, folder: str) -> dict[str, float]:
@@ -99,7 +113,8 @@ def main() -> None:
         times[name] = median(lambda: drain(jobs[name][0](spark, folder)))
         print(f"{name}: {times[name]:.2f}s", file=sys.stderr, flush=True)
     if not sys.argv[1:]:
-        times |= swap_times(spark, folder)
+        runs = swap_runs(spark, folder)
+        times |= means(runs)
         times |= move_times(spark, folder)
     rounded = {k: round(v, 3) for k, v in times.items()}
     line = {
@@ -110,6 +125,7 @@ def main() -> None:
         line["swap_relative_to_native"] = {
             k: round(v / times["swap_native"], 2) for k, v in times.items() if k.startswith("swap_")
         }
+        line["swap_runs"] = runs
         line["move_speed_up"] = round(times["move_one_task"] / times["move_all_tasks"], 2)
     print(json.dumps(line), flush=True)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.functions.strings import pad_number
+from weftline.functions.strings import ALPHANUMERIC, pad_number, random_text
 from weftline.operators.numbering import number_rows
 from weftline.plans.tables import table
 from weftline.sinks.csv import write_indexed, write_named_parts, write_parts
@@ -13,7 +13,7 @@ from weftline.sinks.files import move_files, write_file_per_row
 from weftline.sinks.table import compact
 from weftline.sources.files import file_name, list_files, parent_name
 from weftline.sources.text import read_csv
-from weftline.workspace import Storage, new_folder
+from weftline.workspace import Storage, materialize, new_folder
 
 _CUSTOMER = "c_custkey, c_name, c_nationkey, c_mktsegment"
 _PART_SCHEMA = (
@@ -128,6 +128,27 @@ def range_generate(spark: SparkSession, folder: str) -> DataFrame:
     return numbers.join(placed, F.col("id") == F.col("place")).select("id", "prefix", "o_orderkey")
 
 
+def files_generate(spark: SparkSession, folder: str) -> DataFrame:
+    """One file per part: padded number and random letters as its name, random content of random length."""
+    root = new_folder(spark, "generated")
+    numbers = spark.range(table(spark, folder, "part").count())
+    suffix = random_text(F.lit(30), seed=3)
+    length = (F.lit(250) + F.floor(F.rand(5) * 1_001)).cast("int")
+    named = numbers.select(
+        F.concat(F.lit(f"{root}/"), pad_number(F.col("id")), F.lit("_"), suffix).alias("path"),
+        random_text(length, seed=4).alias("content"),
+    )
+    written = write_file_per_row(materialize(named, "to-write"), "path", "content")
+    on_disk = list_files(spark, root).select("path", "length")
+    both = written.join(on_disk.withColumn("path", F.regexp_replace("path", "^file:/+", "/")).withColumnRenamed("path", "there"),
+                        F.regexp_replace("path", "^file:/+", "/") == F.col("there"))
+    return both.select(
+        F.substring(file_name(F.col("path")), 1, 8).alias("prefix"),
+        F.rlike(file_name(F.col("path")), F.lit(f"^[0-9]{{8}}_[{ALPHANUMERIC}]{{30}}$")).alias("is_named"),
+        ((F.col("byte_count") == F.col("length")) & F.col("length").between(250, 1_250)).alias("is_sized"), "ok",
+    )
+
+
 def _document_files(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
     root = new_folder(spark, "document-files")
     named = table(spark, folder, "documents").select(
@@ -219,6 +240,11 @@ JOBS = {
         FROM orders
         """,
     ),
+    "files_generate": (
+        files_generate,
+        "SELECT lpad(CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS VARCHAR), 8, '0') AS prefix, "
+        "TRUE AS is_named, TRUE AS is_sized, TRUE AS ok FROM part",
+    ),
     "files_write": (
         files_write,
         "SELECT lang, lpad(CAST(doc_id AS VARCHAR), CAST(greatest(8, length(CAST(doc_id AS VARCHAR))) AS INTEGER), '0') || '.txt' AS name, "

@@ -112,6 +112,28 @@ def impute_compare(spark: SparkSession, folder: str) -> DataFrame:
     return both.select(*keys, F.round("imputed_c_acctbal", 4).alias("imputed_c_acctbal"))
 
 
+def impute_join(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows of both versions joined on keys that repeat: rows, pairs, and incomplete ones among them."""
+    keys = ["c_nationkey", "c_mktsegment"]
+    masked = _indexed_masked(spark, folder).select(*keys, "c_acctbal")
+    imputed = impute(_indexed_masked(spark, folder), "c_custkey", "c_acctbal", _CUSTOMER_FEATURES).select(*keys)
+    # The number of pairs follows from the counts per key; the pairs themselves need not be made.
+    left = masked.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("c_acctbal").isNull()).alias("incomplete")
+    )
+    right = imputed.groupBy(*keys).agg(F.count(F.lit(1)).alias("others"))
+    return left.join(right, keys).agg(
+        F.sum("rows").alias("row_count"), F.sum(F.col("rows") * F.col("others")).alias("pair_count"),
+        F.sum(F.col("incomplete") * F.col("others")).alias("incomplete_pair_count"),
+    )
+
+
+def imputed_distribution(spark: SparkSession, folder: str) -> DataFrame:
+    """How often each value was imputed, in order of the values."""
+    values = impute_compare(spark, folder).select(F.round("imputed_c_acctbal", 2).alias("imputed"))
+    return values.groupBy("imputed").agg(F.count(F.lit(1)).alias("row_count")).orderBy("imputed")
+
+
 _MASK = "left(md5(CAST(c_custkey AS VARCHAR)), 8) < '33333333'"
 
 _INDEX_SQL = """
@@ -243,6 +265,23 @@ JOBS = {
         FROM base LEFT JOIN found ON o_orderkey = probe
         """,
     ),
+    "impute_join": (
+        impute_join,
+        f"""
+        SELECT count(DISTINCT a.c_custkey) AS row_count, count(*) AS pair_count,
+               count(*) FILTER (a.c_acctbal IS NULL OR left(md5(CAST(a.c_custkey AS VARCHAR)), 8) < '33333333')
+                 AS incomplete_pair_count
+        FROM customer a JOIN customer b USING (c_nationkey, c_mktsegment)
+        """,
+    ),
+    "imputed_distribution": (
+        imputed_distribution,
+        _customer_knn_sql(
+            "1",
+            "SELECT round(round(value, 4), 2) AS imputed, count(*) AS row_count "
+            "FROM base JOIN found ON c_custkey = probe GROUP BY 1 ORDER BY 1",
+        ),
+    ),
     "impute_compare": (
         impute_compare,
         _customer_knn_sql(

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +52,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` kept in memory or on local disks for the block, and released after it in any case."""
+    kept = df.persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 class Storage:
     """The few Hadoop ``FileSystem`` calls the sinks need, for any configured scheme."""
 
