@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _run_folders: dict[str, str] = {}
+_scopes: list[set[str]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -41,7 +42,35 @@ def _remove_quietly(storage: Storage, folder: str) -> None:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the run's folder that nothing else uses; nothing is created yet."""
-    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.add(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A block whose intermediate tables are removed when it ends well.
+
+    Yields a function that writes a table to be kept: what the block returns must come
+    from there, not from tables that go.
+    """
+    mine: set[str] = set()
+    kept: set[str] = set()
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        before = set(mine)
+        out = materialize(df, label)
+        kept.update(mine - before)
+        return out
+
+    _scopes.append(mine)
+    try:
+        yield keep
+    finally:
+        _scopes.remove(mine)
+    for path in mine - kept:
+        Storage(spark).remove(path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
