@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 
 from weftline.llm.common import column, empty_as_text, hint_small, smallest_labels
 from weftline.llm.vocabulary import Memo
-from weftline.workspace import materialize
+from weftline.workspace import materialize, scratch
 
 GROUPS = 128
+TREE_GROUPS = 32
 SAMPLE_DOCUMENTS = 20_000
 FREQUENT_IN_SAMPLE = 4
 FREQUENT_TOKENS = 200_000
@@ -37,6 +38,8 @@ BLOCK_ROWS = 2_048
 LEAF_POINTS = 32
 STAR_ROUNDS = 1
 
+#: Sets above this size are not pruned by counts but verified.
+_COUNTED = 60_000
 _LOW_HASHES = np.uint64(1 << 62)
 
 _word_hash = Memo(xxhash.xxh3_64_intdigest)
@@ -62,8 +65,12 @@ def shingle_hashes(text: str, width: int) -> np.ndarray:
 
 
 def least_overlap(a: int | np.ndarray, b: int | np.ndarray, percent: int):
-    """Tokens that two sets of a and b tokens must share to be ``percent`` similar."""
-    return -(-percent * (a + b) // (100 + percent))
+    """Shared tokens below which two sets of a and b tokens are ruled out.
+
+    Just as many as they need to be ``percent`` similar, or as sets that are not counted
+    are sure to show.
+    """
+    return np.minimum(-(-percent * (a + b) // (100 + percent)), _COUNTED)
 
 
 def _prefix(tokens: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
@@ -80,7 +87,9 @@ def _prefix(tokens: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarra
 
 
 def _counts(tokens: np.ndarray) -> np.ndarray:
-    return np.minimum(np.bincount((tokens >> np.uint64(7)) % np.uint64(GROUPS), minlength=GROUPS), 65_535).astype(np.uint16)
+    """Tokens per group, of 16 bits; sets in which a group could pass that get full counts everywhere."""
+    counts = np.bincount((tokens >> np.uint64(7)) % np.uint64(GROUPS), minlength=GROUPS)
+    return np.full(GROUPS, 65_535, np.uint16) if len(tokens) > _COUNTED else counts.astype(np.uint16)
 
 
 def _sketch(width: int, percent: int, frequent: np.ndarray):
@@ -157,8 +166,14 @@ class CountTree:
                 out.append((hits, np.full(len(hits), row)))
 
 
-def _points(counts: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(counts), np.uint16).reshape(-1, GROUPS)
+def _points(counts: pd.Series, groups: int = GROUPS) -> np.ndarray:
+    return np.frombuffer(b"".join(counts), np.uint16).reshape(-1, groups)
+
+
+def _folded(counts: pd.Series) -> pd.Series:
+    """Points of fewer groups, each the sum of several: what travels to the trees."""
+    summed = _points(counts).reshape(len(counts), TREE_GROUPS, -1).sum(2, dtype=np.int64)
+    return pd.Series([row.tobytes() for row in np.minimum(summed, 65_535).astype(np.uint16)], dtype=object)
 
 
 def jaccard_groups(
@@ -176,6 +191,14 @@ def jaccard_groups(
     empty table gives no rows; other columns are not read. Shingles are told apart by
     64-bit hashes.
     """
+    with scratch(docs.sparkSession) as keep:
+        rows = _grouped(docs, doc_id, text, width, percent, block_rows, star_rounds)
+        return keep(rows, "groups")
+
+
+def _grouped(
+    docs: DataFrame, doc_id: str, text: str, width: int, percent: int, block_rows: int, star_rounds: int
+) -> DataFrame:
     value = empty_as_text(text)
     read = docs.select(
         column(doc_id).cast("bigint").alias("doc_id"), value.alias("text"),
@@ -265,7 +288,7 @@ def _tree_pairs(members: DataFrame, points: DataFrame, percent: int, block_rows:
     pair of blocks is one tree and its probes. A pair is found in several buckets; only
     distinct pairs go on.
     """
-    sized = members.join(points.select("node", "n", "counts"), "node")
+    sized = members.join(points.select("node", "n"), "node")
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent))))
     banded = sized.withColumn("band", F.explode(F.array(band, band + 1)))
     loads = banded.groupBy("token", "band").agg(
@@ -273,9 +296,11 @@ def _tree_pairs(members: DataFrame, points: DataFrame, percent: int, block_rows:
     ).where("low < high").select("token", "band", F.ceil(F.col("size") / block_rows).alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = banded.join(loads, ["token", "band"]).withColumn("block", own).select(
-        "token", "band", "block", "node", "component", "n", "counts",
+        "token", "band", "block", "node", "component", "n",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"),
     ).withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
+    coarse = materialize(points.select("node", F.pandas_udf(_folded, "binary")("counts").alias("counts")), "coarse")
+    dealt = dealt.join(hint_small(coarse, 4 * TREE_GROUPS), "node")
     groups = ["token", "band", "x", "y"]
     # Many buckets are tiny: they are taken from sorted partitions instead of one call each.
     sorted_rows = dealt.repartition(*groups).sortWithinPartitions(*groups)
@@ -287,7 +312,7 @@ def _tree_pairs(members: DataFrame, points: DataFrame, percent: int, block_rows:
 def _search_blocks(percent: int) -> Callable:
     def search(group: pd.DataFrame) -> pd.DataFrame:
         nodes, components = group["node"].to_numpy(), group["component"].to_numpy()
-        points, sizes, block = _points(group["counts"]), group["n"].to_numpy(), group["block"].to_numpy()
+        points, sizes, block = _points(group["counts"], TREE_GROUPS), group["n"].to_numpy(), group["block"].to_numpy()
         first = np.flatnonzero(block == group["x"].iloc[0])
         second = np.flatnonzero(block == group["y"].iloc[0])
         if not len(first) or not len(second):
@@ -302,7 +327,7 @@ def _search_blocks(percent: int) -> Callable:
     def within_leaves(batch: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
         """All groups of a batch that fit into one leaf: their points are compared without a tree."""
         nodes, components = batch["node"].to_numpy(), batch["component"].to_numpy()
-        sizes, points = batch["n"].to_numpy(), _points(batch["counts"])
+        sizes, points = batch["n"].to_numpy(), _points(batch["counts"], TREE_GROUPS)
         firsts, seconds = [], []
         for step in range(1, LEAF_POINTS):
             at = np.flatnonzero(group[step:] == group[:-step])
