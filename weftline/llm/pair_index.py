@@ -22,18 +22,18 @@ from pyspark.sql import types as T
 
 from weftline.llm.vocabulary import Vocabulary, between_added, split_words, vocabulary
 
-_NO_RANK = np.int32(1 << 30)
+NO_RANK = np.int32(1 << 30)
 
 #: Bytes of text whose words are merged together.
 CHUNK_BYTES = 16 << 20
 
 
-def _pair_ranks(left: np.ndarray, right: np.ndarray, vocab: Vocabulary) -> np.ndarray:
-    """Rank of each pair, ``_NO_RANK`` where it cannot merge; symbols below 0 never merge."""
+def pair_ranks(left: np.ndarray, right: np.ndarray, vocab: Vocabulary) -> np.ndarray:
+    """Rank of each pair, ``NO_RANK`` where it cannot merge; symbols below 0 never merge."""
     keys = (left.astype(np.uint32) << np.uint32(16)) | right.astype(np.uint32)
     at = np.searchsorted(vocab.pair_keys, keys)
     at[at == len(vocab.pair_keys)] = 0
-    return np.where((vocab.pair_keys[at] == keys) & (right >= 0) & (left >= 0), vocab.pair_ranks[at], _NO_RANK)
+    return np.where((vocab.pair_keys[at] == keys) & (right >= 0) & (left >= 0), vocab.pair_ranks[at], NO_RANK)
 
 
 def merge_words(raw: np.ndarray, lengths: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -48,11 +48,11 @@ def merge_words(raw: np.ndarray, lengths: np.ndarray, vocab: Vocabulary) -> tupl
 
     following = np.arange(1, len(symbols) + 1, dtype=np.int32)
     preceding = np.arange(-1, len(symbols) - 1, dtype=np.int32)
-    rank = np.full(len(symbols) + 1, _NO_RANK)  # the last entry stands for "outside"
+    rank = np.full(len(symbols) + 1, NO_RANK)  # the last entry stands for "outside"
     if len(symbols) > 1:
-        rank[:-2] = _pair_ranks(symbols[:-1], symbols[1:], vocab)
+        rank[:-2] = pair_ranks(symbols[:-1], symbols[1:], vocab)
     word_of = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)
-    active = np.flatnonzero(rank < _NO_RANK).astype(np.int32)
+    active = np.flatnonzero(rank < NO_RANK).astype(np.int32)
     while len(active):
         own, word = rank[active], word_of[active]
         first = np.flatnonzero(np.diff(word, prepend=-1))
@@ -68,16 +68,16 @@ def merge_words(raw: np.ndarray, lengths: np.ndarray, vocab: Vocabulary) -> tupl
         gone = following[at]
         symbols[at] = vocab.merge_results[rank[at]]
         symbols[gone] = -2
-        rank[gone] = _NO_RANK
+        rank[gone] = NO_RANK
         beyond = following[gone]
         following[at] = beyond
         preceding[beyond] = at
         before = preceding[at]
         changed = np.concatenate([at, before[before >= 0]])
-        rank[changed] = _pair_ranks(symbols[changed], symbols[following[changed]], vocab)
+        rank[changed] = pair_ranks(symbols[changed], symbols[following[changed]], vocab)
         # A pair that could not merge may be able to now: its left symbol's entry joins the index.
         joined = np.concatenate([active, changed])
-        joined = np.sort(joined[rank[joined] < _NO_RANK], kind="stable")
+        joined = np.sort(joined[rank[joined] < NO_RANK], kind="stable")
         active = joined[np.diff(joined, prepend=-1) != 0]
 
     alive = symbols >= 0
@@ -95,48 +95,73 @@ def _after_space(pieces: pa.Array) -> pa.Array:
     return pc.binary_join_element_wise(empty, pieces, space)
 
 
-class _Words:
-    """Words of a batch and, once merged, their ids; a piece is a stretch of words."""
-
-    def __init__(self, vocab: Vocabulary):
-        self._vocab = vocab
+def piece_words(pieces: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of pieces: (words, number of each piece's words in a row, how many each piece has)."""
+    # Letters are one word and letters before punctuation two; only other pieces need the split pattern.
+    letters = pc.match_substring_regex(pieces, r"^ ?\p{L}+$")
+    before = pc.extract_regex(pc.filter(pieces, pc.invert(letters)), r"^(?P<head> ?\p{L}+)(?P<tail>[!-/:-@\[-`{-~]+)$")
+    single = letters.to_numpy(zero_copy_only=False)
+    paired = np.zeros(len(pieces), bool)
+    paired[~single] = pc.is_valid(before).to_numpy(zero_copy_only=False)
+    heads, tails = (pc.struct_field(before.drop_null(), part) for part in ("head", "tail"))
+    other = np.flatnonzero(~single & ~paired)
+    split = [split_words(piece) for piece in pieces.take(pa.array(other)).to_pylist()]
+    rest = pa.concat_arrays([
+        tails.cast(pa.large_string()), pa.array([word for own in split for word in own], pa.large_string())
+    ]).dictionary_encode()
+    simple = pc.filter(pieces, letters)
+    words = pa.concat_arrays([array.cast(pa.large_string()) for array in (simple, heads, rest.dictionary)])
+    coded = len(simple) + len(heads) + rest.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+    per_piece = np.ones(len(pieces), np.int64)
+    per_piece[paired] = 2
+    per_piece[other] = np.fromiter(map(len, split), np.int64, len(split))
+    starts = np.cumsum(per_piece) - per_piece
+    number = np.empty(int(per_piece.sum()), np.int64)
+    number[starts[single]] = np.arange(len(simple))
+    number[starts[paired]] = len(simple) + np.arange(len(heads))
+    number[starts[paired] + 1] = coded[: len(heads)]
+    number[_ranges(starts[other], per_piece[other])] = coded[len(heads):]
+    return words, number, per_piece
+
+
+def raw_words(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all words in a row, and the length of each."""
+    if not len(words):
+        return np.empty(0, np.uint8), np.empty(0, np.int64)
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset: words.offset + len(words) + 1]
+    return np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]: offsets[-1]], np.diff(offsets)
+
+
+def segment_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums of consecutive stretches; of an empty stretch 0."""
+    summed, ends = np.concatenate([[0], np.cumsum(values)]), np.cumsum(lengths)
+    return summed[ends] - summed[ends - lengths]
+
+
+class Pieces:
+    """A batch of texts cut at single spaces: distinct pieces, and which of them each text has.
+
+    ``distinct`` are the pieces with the space before them, then those at the start of a
+    text. Valuing them one by one is exact as long as no white space touches a cut;
+    ``apart`` marks the texts where it does, and those with an added token's string.
+    """
 
-    def encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces in a row and the number of ids of each; pieces are encoded apart from each other."""
-        # Letters are one word and letters before punctuation two; only other pieces need the split pattern.
-        letters = pc.match_substring_regex(pieces, r"^ ?\p{L}+$")
-        before = pc.extract_regex(pc.filter(pieces, pc.invert(letters)), r"^(?P<head> ?\p{L}+)(?P<tail>[!-/:-@\[-`{-~]+)$")
-        two = pc.is_valid(before)
-        single = letters.to_numpy(zero_copy_only=False)
-        paired = np.zeros(len(pieces), bool)
-        paired[~single] = two.to_numpy(zero_copy_only=False)
-        heads, tails = (pc.struct_field(before.drop_null(), part) for part in ("head", "tail"))
-        other = np.flatnonzero(~single & ~paired)
-        split = [split_words(piece) for piece in pieces.take(pa.array(other)).to_pylist()]
-        words = pa.concat_arrays([
-            tails.cast(pa.large_string()), pa.array([word for own in split for word in own], pa.large_string())
-        ]).dictionary_encode()
-        simple = pc.filter(pieces, letters)
-        both = pa.concat_arrays([array.cast(pa.large_string()) for array in (simple, heads, words.dictionary)])
-        offsets = np.frombuffer(both.buffers()[1], np.int64)[both.offset: both.offset + len(both) + 1]
-        raw = np.frombuffer(both.buffers()[2] or b"", np.uint8)[offsets[0]: offsets[-1]] if len(both) else np.empty(0, np.uint8)
-        ids, counts = merge_words(raw, np.diff(offsets), self._vocab)
-        starts = np.cumsum(counts) - counts
-        # Ids of pieces of several words are put together behind those of all words.
-        coded = len(simple) + len(heads) + words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        number = np.concatenate([
-            np.column_stack([len(simple) + np.arange(len(heads)), coded[: len(heads)]]).ravel(), coded[len(heads):]
-        ])
-        own_counts = counts[number]
-        tail = ids[_ranges(starts[number], own_counts)]
-        words_in = np.concatenate([np.full(len(heads), 2), np.fromiter(map(len, split), np.int64, len(split))])
-        summed, ends = np.concatenate([[0], np.cumsum(own_counts)]), np.cumsum(words_in)
-        lengths, at = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
-        lengths[single], at[single] = counts[: len(simple)], starts[: len(simple)]
-        several = np.concatenate([np.flatnonzero(paired), other])
-        lengths[several] = summed[ends] - summed[ends - words_in]
-        at[several] = len(ids) + summed[ends - words_in]
-        return np.concatenate([ids, tail])[_ranges(at, lengths)], lengths
+    def __init__(self, texts: pa.Array, vocab: Vocabulary):
+        cut = pc.split_pattern(texts, " ")
+        offsets = cut.offsets.to_numpy().astype(np.int64)
+        pieces = cut.flatten().dictionary_encode()
+        self.codes = pieces.indices.to_numpy().astype(np.int64)
+        self.per_text = np.diff(offsets)
+        plain = pieces.dictionary.cast(pa.large_string())
+        space = r"[\s\p{Z}\x{1c}-\x{1f}\x{85}]"
+        edge = pc.match_substring_regex(plain, f"^$|^{space}|{space}$").to_numpy(zero_copy_only=False)
+        self.apart = np.logical_or.reduceat(edge[self.codes], offsets[:-1])
+        for content in vocab.added:
+            self.apart |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        firsts = plain.take(pa.array(self.codes[offsets[:-1]])).dictionary_encode()
+        self.codes[offsets[:-1]] = len(plain) + firsts.indices.to_numpy().astype(np.int64)
+        self.distinct = pa.concat_arrays([_after_space(plain), firsts.dictionary.cast(pa.large_string())])
 
 
 class PairIndexCoder:
@@ -144,40 +169,27 @@ class PairIndexCoder:
 
     def __init__(self, vocab: Vocabulary):
         self._vocab = vocab
-        self._words = _Words(vocab)
 
-    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and the number of ids of each.
+    def _encode_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row and the number of ids of each; pieces are encoded apart from each other."""
+        words, number, per_piece = piece_words(pieces)
+        ids, counts = merge_words(*raw_words(words), self._vocab)
+        starts = np.cumsum(counts) - counts
+        return ids[_ranges(starts[number], counts[number])], segment_sums(counts[number], per_piece)
 
-        A text is cut at its single spaces, and each distinct piece is encoded once, with
-        the space before it. That is exact as long as no white space touches a cut; texts
-        where it does, and texts with an added token's string, are split as a whole.
-        """
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and the number of ids of each."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not len(texts):
             return np.empty(0, np.uint32), np.empty(0, np.int64)
-        cut = pc.split_pattern(texts, " ")
-        offsets = cut.offsets.to_numpy().astype(np.int64)
-        pieces = cut.flatten().dictionary_encode()
-        codes = pieces.indices.to_numpy().astype(np.int64)
-        distinct = pieces.dictionary.cast(pa.large_string())
-        edge = pc.match_substring_regex(distinct, r"^$|^[\s\p{Z}\x{1c}-\x{1f}\x{85}]|[\s\p{Z}\x{1c}-\x{1f}\x{85}]$").to_numpy(zero_copy_only=False)
-        ids, lengths = self._words.encode(_after_space(distinct))
-        firsts = distinct.take(pa.array(codes[offsets[:-1]])).dictionary_encode()
-        first_ids, first_lengths = self._words.encode(firsts.dictionary)
-        starts = np.concatenate([np.cumsum(lengths) - lengths, len(ids) + np.cumsum(first_lengths) - first_lengths])
-        whole = edge[codes]
-        codes[offsets[:-1]] = len(distinct) + firsts.indices.to_numpy().astype(np.int64)
-        lengths = np.concatenate([lengths, first_lengths])[codes]
-        ids = np.concatenate([ids, first_ids])[_ranges(starts[codes], lengths)]
-        counts = np.add.reduceat(lengths, offsets[:-1])
-
-        apart = np.logical_or.reduceat(whole, offsets[:-1])
-        for content in self._vocab.added:
-            apart |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
-        if not apart.any():
+        batch = Pieces(texts, self._vocab)
+        ids, lengths = self._encode_pieces(batch.distinct)
+        starts = np.cumsum(lengths) - lengths
+        counts = segment_sums(lengths[batch.codes], batch.per_text)
+        ids = ids[_ranges(starts[batch.codes], lengths[batch.codes])]
+        if not batch.apart.any():
             return ids, counts
-        numbers = np.flatnonzero(apart)
+        numbers = np.flatnonzero(batch.apart)
         own_ids, own_counts = self._split_whole([texts[int(n)].as_py() for n in numbers])
         starts = np.cumsum(counts) - counts
         counts[numbers] = own_counts
@@ -185,10 +197,10 @@ class PairIndexCoder:
         return np.concatenate([ids, own_ids])[_ranges(starts, counts)], counts
 
     def _split_whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [part for text in texts for part in [between_added(text, self._vocab)]]
+        parts = [between_added(text, self._vocab) for text in texts]
         words = [word for own in parts for text, _ in own for word in split_words(text)]
         coded = pa.array(words, pa.large_string()).dictionary_encode()
-        ids, counts = self._words.encode(coded.dictionary)
+        ids, counts = self._encode_pieces(coded.dictionary)
         starts, codes = np.cumsum(counts) - counts, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         out, lengths, at = [], [], 0
         for own in parts:
@@ -219,20 +231,25 @@ def pair_index_coder(path: str) -> PairIndexCoder:
     return _coders[path]
 
 
-def encoded_chunks(batches: Iterable[pa.RecordBatch], text: str, path: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Row chunks of bounded text size, with all their ids in a row and the number of ids of each row."""
-    coder = pair_index_coder(path)
+def row_chunks(batches: Iterable[pa.RecordBatch], text: str, size_of_chunk: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in chunks of bounded text size."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False)
         filled, start = 0, 0
         for row, size in enumerate(sizes.tolist()):
             filled += size
-            if filled >= CHUNK_BYTES or row == len(sizes) - 1:
-                part = batch.slice(start, row + 1 - start)
-                yield part, *coder.encode_all(part[text])
+            if filled >= size_of_chunk or row == len(sizes) - 1:
+                yield batch.slice(start, row + 1 - start)
                 filled, start = 0, row + 1
 
 
+def encoded_chunks(batches: Iterable[pa.RecordBatch], text: str, path: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Row chunks, with all their ids in a row and the number of ids of each row."""
+    coder = pair_index_coder(path)
+    for part in row_chunks(batches, text):
+        yield part, *coder.encode_all(part[text])
+
+
 def encode_texts(docs: DataFrame, path: str, *, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` plus the token ids of ``text`` as packed little-endian unsigned 32-bit integers.
 
