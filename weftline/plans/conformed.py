@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.contracts import older_trips, trips
+from weftline.contracts import TRIP_COLUMNS, older_trips, trips
 from weftline.operators.crosstab import reconcile
 from weftline.plans.tables import table
 from weftline.sinks.csv import write_parts
@@ -240,7 +240,8 @@ def _all_columns(sql: str) -> str:
         "dropoff_datetime", "pickup_location_id", "passenger_count", "trip_type", "payment_type", "rate_code",
         "trip_distance", "fare_amount", "mta_tax", "tip_amount", "total_amount", "driver_pay",
     }
-    others = [f.name for f in trips().schema.fields if f.name not in given | {"filename"}]
+    names = [line.split()[0] for line in TRIP_COLUMNS.strip().splitlines()]
+    others = [name for name in names if name not in given | {"filename"}]
     empty = "".join(f", CAST(NULL AS VARCHAR) AS {name}" for name in others)
     return f"SELECT *, taxi_type AS filename{empty} FROM ({sql})"
 
