@@ -60,7 +60,6 @@ class Vocabulary:
         order = np.argsort(keys)
         self.pair_ranks = order.astype(np.int32)
         self.pair_keys = keys[order]
-        self.longest = max(map(len, self.id_of))
 
 
 @lru_cache(maxsize=4)
@@ -111,7 +110,6 @@ class Vocabulary:
         order = np.argsort(keys)
         self.pair_ranks = order.astype(np.int32)
         self.pair_keys = keys[order]
-        self.longest = max(map(len, self.id_of))
 
 
 @lru_cache(maxsize=4)
