@@ -40,10 +40,20 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The row with the smallest id of each group of similar documents, and all rows linked with none."""
+    """The row with the smallest id of each group of similar documents, and all rows linked with none.
+
+    Of rows that repeat both id and text one stays. Rows without an id stay, since nothing
+    tells them from the row that represents their group.
+    """
     groups = jaccard_groups(docs, width=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
     gone = groups.where("doc_id != component_id").select("doc_id").distinct()
-    return _docs_columns(docs.join(gone, "doc_id", "left_anti"), docs)
+    left = docs.join(gone, "doc_id", "left_anti")
+    ids = docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    repeated = materialize(ids, "repeated-ids")
+    if repeated.limit(1).count():
+        once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        left = left.join(repeated, "doc_id", "left_anti").unionByName(once)
+    return _docs_columns(left, docs)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -43,7 +43,7 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
         labels.append((i, 1, int(toxic)))
     near = rows[601 - 10][1].split(" ")
     near[-1] = "changed"
-    rows += [(1000, " ".join(near), "en", "s9", 0), (1001, rows[592][1], "en", "s0", 0), (1002, None, None, None, None), (1003, "", "en", "s0", 0)]
+    rows += [(1000, " ".join(near), "en", "s9", 0), (1001, rows[592][1], "en", "s0", 0), (1002, None, None, None, None), (1003, "", "en", "s0", 0), rows[593], rows[593]]
     schema = T.StructType.fromDDL("doc_id bigint, text string, lang string, source string, n_chars bigint")
     folder = str(tmp_path)
     spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
@@ -65,6 +65,7 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
             assert docs.where("n_chars != length(text)").count() == 0
         else:
             assert before - after == {1000, 1001}
+            assert docs.where(F.col("doc_id") == rows[593][0]).count() == 1
     packed = corpus_pipeline.pack_documents(spark, docs, folder)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == after
     assert corpus_pipeline.run(spark, folder).agg(F.sum("length")).first()[0] == packed.agg(F.sum("length")).first()[0]
