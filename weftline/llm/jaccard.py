@@ -30,16 +30,15 @@ from weftline.llm.vocabulary import Memo
 from weftline.workspace import materialize, scratch
 
 GROUPS = 128
-TREE_GROUPS = 32
 SAMPLE_DOCUMENTS = 20_000
 FREQUENT_IN_SAMPLE = 4
 FREQUENT_TOKENS = 200_000
 BLOCK_ROWS = 2_048
 LEAF_POINTS = 32
-STAR_ROUNDS = 1
+STAR_ROUNDS = 2
 
 #: Sets above this size are not pruned by counts but verified.
-_COUNTED = 60_000
+_COUNTED = 16_000
 _LOW_HASHES = np.uint64(1 << 62)
 
 _word_hash = Memo(xxhash.xxh3_64_intdigest)
@@ -87,9 +86,10 @@ def _prefix(tokens: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarra
 
 
 def _counts(tokens: np.ndarray) -> np.ndarray:
-    """Tokens per group, of 16 bits; sets in which a group could pass that get full counts everywhere."""
+    """Tokens per group, of 8 bits; sets that are too large for that get full counts everywhere."""
     counts = np.bincount((tokens >> np.uint64(7)) % np.uint64(GROUPS), minlength=GROUPS)
-    return np.full(GROUPS, 65_535, np.uint16) if len(tokens) > _COUNTED else counts.astype(np.uint16)
+    too_large = len(tokens) > _COUNTED or counts.max(initial=0) > 255
+    return np.full(GROUPS, 255, np.uint8) if too_large else counts.astype(np.uint8)
 
 
 def _sketch(width: int, percent: int, frequent: np.ndarray):
@@ -166,14 +166,8 @@ class CountTree:
                 out.append((hits, np.full(len(hits), row)))
 
 
-def _points(counts: pd.Series, groups: int = GROUPS) -> np.ndarray:
-    return np.frombuffer(b"".join(counts), np.uint16).reshape(-1, groups)
-
-
-def _folded(counts: pd.Series) -> pd.Series:
-    """Points of fewer groups, each the sum of several: what travels to the trees."""
-    summed = _points(counts).reshape(len(counts), TREE_GROUPS, -1).sum(2, dtype=np.int64)
-    return pd.Series([row.tobytes() for row in np.minimum(summed, 65_535).astype(np.uint16)], dtype=object)
+def _points(counts: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(counts), np.uint8).reshape(-1, GROUPS)
 
 
 def jaccard_groups(
@@ -299,8 +293,8 @@ def _tree_pairs(members: DataFrame, points: DataFrame, percent: int, block_rows:
         "token", "band", "block", "node", "component", "n",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"),
     ).withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
-    coarse = materialize(points.select("node", F.pandas_udf(_folded, "binary")("counts").alias("counts")), "coarse")
-    dealt = dealt.join(hint_small(coarse, 4 * TREE_GROUPS), "node")
+    counts = materialize(points.select("node", "counts"), "counts")
+    dealt = dealt.join(hint_small(counts, 2 * GROUPS), "node")
     groups = ["token", "band", "x", "y"]
     # Many buckets are tiny: they are taken from sorted partitions instead of one call each.
     sorted_rows = dealt.repartition(*groups).sortWithinPartitions(*groups)
@@ -312,7 +306,7 @@ def _tree_pairs(members: DataFrame, points: DataFrame, percent: int, block_rows:
 def _search_blocks(percent: int) -> Callable:
     def search(group: pd.DataFrame) -> pd.DataFrame:
         nodes, components = group["node"].to_numpy(), group["component"].to_numpy()
-        points, sizes, block = _points(group["counts"], TREE_GROUPS), group["n"].to_numpy(), group["block"].to_numpy()
+        points, sizes, block = _points(group["counts"]), group["n"].to_numpy(), group["block"].to_numpy()
         first = np.flatnonzero(block == group["x"].iloc[0])
         second = np.flatnonzero(block == group["y"].iloc[0])
         if not len(first) or not len(second):
@@ -327,7 +321,7 @@ def _search_blocks(percent: int) -> Callable:
     def within_leaves(batch: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
         """All groups of a batch that fit into one leaf: their points are compared without a tree."""
         nodes, components = batch["node"].to_numpy(), batch["component"].to_numpy()
-        sizes, points = batch["n"].to_numpy(), _points(batch["counts"], TREE_GROUPS)
+        sizes, points = batch["n"].to_numpy(), _points(batch["counts"])
         firsts, seconds = [], []
         for step in range(1, LEAF_POINTS):
             at = np.flatnonzero(group[step:] == group[:-step])
