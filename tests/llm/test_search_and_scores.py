@@ -129,6 +129,15 @@ def test_automata_equal_edit_distance():
             assert not any(word[:1] == t[0] and prefix_distance(t[1:], word[1:]) <= allowed_edits(t) for t in terms)
 
 
+def test_first_letters_can_be_misspelled():
+    lexicon = Lexicon({"idiot": (3.0, 1.0), "pathetic": (3.0, 1.5), "worthless": (4.0, 2.0), "bad": (1.0, 0.5)})
+    found = {"1diot": "idiot", "diot": "idiot", "xidiots": "idiot", "xathetic": "pathetic", "xpathetic": "pathetic",
+             "orthless": "worthless", "vvorthless": "worthless", "rthless": "worthless", "xxworthless": "worthless"}
+    assert {word: lexicon.match(word) for word in found} == {word: (term, False) for word, term in found.items()}
+    for word in ("xad", "ad", "iot", "xxdiot", "xxpathetic", "thless", "xxxworthless"):
+        assert lexicon.match(word) == (None, False)
+
+
 def labelled(make_docs, spark, count=900):
     rng = random.Random(8)
     clean = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrt"]

@@ -36,6 +36,8 @@ QUOTED_FACTOR = 0.3
 THRESHOLD = 0.7
 
 _STATES = 100_000
+#: Trie nodes in all states together, 4 bytes each.
+_STATE_NODES = 10_000_000
 _words = re.compile(r"[^\W_]+").findall
 _quotes = re.compile(r"[\"“”„«»]")
 _quoted = re.compile(
@@ -58,6 +60,7 @@ class Lexicon:
         self._edits_below = [0]
         for term in sorted(terms):
             node = 0
+            self._edits_below[0] = max(self._edits_below[0], allowed_edits(term))
             for letter in term:
                 if letter not in self._children[node]:
                     self._children[node][letter] = len(self._children)
@@ -74,8 +77,9 @@ class Lexicon:
         return Lexicon, (self.terms,)
 
     def _reset(self) -> None:
-        self._number: dict[frozenset, int] = {}
-        self._sets: list[frozenset] = []
+        self._number: dict[bytes, int] = {}
+        self._sets: list[bytes] = []
+        self._nodes = 0
         self._steps: list[dict[str, int]] = []
         self._accepts: list[tuple[str | None, str | None]] = []
         self._start = self._state({0: 0})
@@ -85,24 +89,24 @@ class Lexicon:
         todo = list(edits)
         while todo:
             node = todo.pop()
-            if node == 0:
-                continue  # the first letter of a term has to be there
             for child in self._children[node].values():
                 used = edits[node] + 1
                 if used <= self._edits_below[child] and used < edits.get(child, 9):
                     edits[child] = used
                     todo.append(child)
-        items = frozenset(edits.items())
-        if items not in self._number:
-            self._number[items] = len(self._sets)
-            self._sets.append(items)
+        items = sorted(edits.items())
+        packed = np.array([4 * node + used for node, used in items], np.uint32).tobytes()
+        if packed not in self._number:
+            self._number[packed] = len(self._sets)
+            self._sets.append(packed)
+            self._nodes += len(items)
             self._steps.append({})
             self._accepts.append(self._accepted(items))
-        return self._number[items]
+        return self._number[packed]
 
-    def _accepted(self, items: frozenset) -> tuple[str | None, str | None]:
+    def _accepted(self, items: list[tuple[int, int]]) -> tuple[str | None, str | None]:
         exact = near = None
-        for node, used in sorted(items):
+        for node, used in items:
             term = self._term_at[node]
             if term is None or used > allowed_edits(term):
                 continue
@@ -119,19 +123,16 @@ class Lexicon:
             if used <= self._edits_below[node] and used < edits.get(node, 9):
                 edits[node] = used
 
-        for node, used in self._sets[state]:
+        for item in np.frombuffer(self._sets[state], np.uint32).tolist():
+            node, used = item >> 2, item & 3
             for own, child in self._children[node].items():
-                if own == letter:
-                    reach(child, used)
-                elif node:
-                    reach(child, used + 1)
-            if node:
-                reach(node, used + 1)
+                reach(child, used if own == letter else used + 1)
+            reach(node, used + 1)
         return self._state(edits) if edits else -1
 
     def match(self, word: str) -> tuple[str | None, bool]:
         """The longest term that ``word`` begins with, else the best misspelled one; whether it is exact."""
-        if len(self._sets) > _STATES:
+        if len(self._sets) > _STATES or self._nodes > _STATE_NODES:
             self._reset()
         state, exact, near = self._start, None, None
         for letter in word:
