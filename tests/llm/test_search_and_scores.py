@@ -186,6 +186,19 @@ def test_quoted_terms_weigh_less():
     assert used[0] > quoted[0] > 0 and used[3] == quoted[3] == 1
 
 
+def test_long_quotations_are_paired_over_the_whole_text():
+    lexicon, calm = Lexicon({"idiot": (3.0, 1.0)}), "calm words\n" * 80
+    weighed = {name: lexicon.features(text)[0] for name, text in {
+        "used": "idiot", "quoted": 'say "idiot" now', "long": f'say "{calm}idiot" now', "paragraphs": f'say "{calm}\n\n"idiot" now',
+        "typographic": f"say “{calm}idiot” now", "german": f"sag „{calm}idiot“ nun", "french": f"dit «{calm}idiot» ici",
+        "between": f'"{calm}" idiot "{calm}"', "lone": f'a 5" pipe, idiot, "{calm}"', "open": f'"{calm} idiot', "stray": f'"{calm} "a" idiot "b"',
+    }.items()}
+    full, less = weighed["used"], weighed["quoted"]
+    assert full > less > 0
+    assert {name for name, value in weighed.items() if value == less} == {"quoted", "long", "paragraphs", "typographic", "german", "french"}
+    assert {name for name, value in weighed.items() if value == full} == {"used", "between", "lone", "open", "stray"}
+
+
 def test_without_labels_of_both_kinds(spark, make_docs):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert [r.predicted for r in classify(make_docs([(1, "a"), (2, None)]), none).collect()] == [0, 0]

@@ -4,9 +4,9 @@ The lexicon holds word beginnings that set toxic texts apart from clean ones in
 rows; it is a trie. A word of a text is read by the product of the trie and the
 Levenshtein automata of its entries: a state is the set of (trie node, edits so far) that
 the letters read can have led to, and is worked out when first needed. Hits are then
-weighed in windows of neighbouring words; hits between quotation marks count less, so
-that reporting a term is not taken for using it. A logistic regression on window,
-density and sum gives the score.
+weighed in windows of neighbouring words; hits between quotation marks, however far
+apart, count less, so that reporting a term is not taken for using it. A logistic
+regression on window, density and sum gives the score.
 """
 
 from __future__ import annotations
@@ -40,9 +40,7 @@ _STATES = 100_000
 _STATE_NODES = 10_000_000
 _words = re.compile(r"[^\W_]+").findall
 _quotes = re.compile(r"[\"“”„«»]")
-_quoted = re.compile(
-    r"\"[^\"\n]{1,400}\"|“[^”\n]{1,400}”|„[^“”\n]{1,400}[“”]|«[^»\n]{1,400}»"
-)
+_before_opening = re.compile(r"[\s(\[{<\-–—/“„«]").match
 
 
 def allowed_edits(term: str) -> int:
@@ -50,6 +48,52 @@ def allowed_edits(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
+def _starts_paragraph(text: str, at: int) -> bool:
+    start = at
+    while start and text[start - 1].isspace():
+        start -= 1
+    return text.count("\n", start, at) > 1
+
+
+def quotations(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the outermost quotations, of any length, in one pass over the whole text.
+
+    Each kind of mark is paired by itself; a mark without a partner quotes nothing. A
+    straight mark opens after a blank and before a word, closes after a word and before a
+    blank, and otherwise does what it can. A mark that opens a new paragraph inside a
+    quotation of its kind goes on with it, as long quotations are written.
+    """
+    open_at: dict[str, list[int]] = {kind: [] for kind in "\"“„«"}
+    pairs: list[tuple[int, int]] = []
+    for match in _quotes.finditer(text):
+        mark, at = match[0], match.start()
+        kind, opens = mark, mark in "“„«"
+        before, after = text[max(0, at - 1):at] or " ", text[at + 1:at + 2] or " "
+        may_open = bool(_before_opening(before)) and not after.isspace()
+        may_close = not before.isspace() and not after.isalnum()
+        if mark == '"':
+            opens = may_open if may_open != may_close else not open_at[mark]
+        elif mark == "“" and open_at["„"] and (may_close or not may_open):
+            kind, opens = "„", False
+        elif mark == "”":
+            kind = max("“„", key=lambda k: open_at[k][-1:])
+        elif mark == "»":
+            kind = "«"
+        waiting = open_at[kind]
+        if not opens:
+            if waiting:
+                pairs.append((waiting.pop(), at + 1))
+        elif not (waiting and _starts_paragraph(text, at)):
+            waiting.append(at)
+    outer: list[tuple[int, int]] = []
+    for start, end in sorted(pairs):
+        if outer and start < outer[-1][1]:
+            outer[-1] = outer[-1][0], max(end, outer[-1][1])
+        else:
+            outer.append((start, end))
+    return outer
+
+
 class Lexicon:
     """Terms with the weight of an exact and of a misspelled hit; a term matches words that begin with it."""
 
@@ -170,11 +214,11 @@ class Lexicon:
     @staticmethod
     def _in_quotes(text: str, words: int) -> np.ndarray:
         factor, at, done = np.ones(words), 0, 0
-        for match in _quoted.finditer(text):
-            start = done + len(_words(text[at:match.start()]))
-            end = start + len(_words(match[0]))
+        for left, right in quotations(text):
+            start = done + len(_words(text[at:left]))
+            end = start + len(_words(text[left:right]))
             factor[start:end] = QUOTED_FACTOR
-            at, done = match.end(), end
+            at, done = right, end
         return factor
 
 
