@@ -40,20 +40,29 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The row with the smallest id of each group of similar documents, and all rows linked with none.
+    """One row of each group of similar documents, the first in (doc_id nulls last, row key), and all rows linked with none.
 
-    Of rows that repeat both id and text one stays. Rows without an id stay, since nothing
-    tells them from the row that represents their group.
+    Rows are told apart by keys of their own, so repeated and null ids neither lose nor keep
+    other texts. Texts without words are linked with nothing; of those that repeat both id
+    and text one stays.
     """
-    groups = jaccard_groups(docs, width=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
-    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    ids = docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
-    repeated = materialize(ids, "repeated-ids")
-    if repeated.limit(1).count():
-        once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        left = left.join(repeated, "doc_id", "left_anti").unionByName(once)
-    return _docs_columns(left, docs)
+    key = free_name(docs.columns, "row_key")
+    keyed = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    groups = jaccard_groups(keyed, doc_id=key, width=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
+    groups = groups.select(F.col("doc_id").alias("row"), "n_shingles", "component_id")
+    rows = keyed.select(
+        column(key).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h1"),
+        F.xxhash64(F.lit(1), "text").alias("h2"), F.col("text").isNull().alias("no_text"),
+    )
+    repeats = (F.col("n_shingles") == 0) & F.col("id").isNotNull()
+    placed = materialize(groups.join(rows, "row").select(
+        "row", "id", F.when(~repeats, F.col("component_id")).alias("component"),
+        F.when(repeats, F.struct("id", "h1", "h2", "no_text")).alias("same"),
+    ), "placed-rows")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))
+    kept = placed.groupBy("component", "same").agg(first.alias("first")).select("first.row")
+    gone = materialize(placed.select("row").join(kept, "row", "left_anti").withColumnRenamed("row", key), "gone")
+    return _docs_columns(keyed.join(gone, key, "left_anti"), docs)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """The registered queries on the smallest tables, and the pipeline against brute force."""
 
 import random
+from collections import Counter
 
 import __spark_entry__ as entry
 import corpus_pipeline
 import pytest
 from check import connect, difference
+from docs_fixture import make_docs  # noqa: F401
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,3 +71,21 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     packed = corpus_pipeline.pack_documents(spark, docs, folder)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == after
     assert corpus_pipeline.run(spark, folder).agg(F.sum("length")).first()[0] == packed.agg(F.sum("length")).first()[0]
+
+
+def test_near_copies_go_by_row_and_not_by_id(spark, make_docs):
+    rng = random.Random(5)
+    one, two, three, four = [" ".join(f"{rng.choice('bdfgk')}{rng.randrange(10_000)}" for _ in range(60)) for _ in range(4)]
+    near = {text: text + " more" for text in (one, two, three, four)}
+    docs = make_docs([
+        (3, one), (5, near[one]), (5, two),  # only one text of id 5 is a copy
+        (None, three), (None, near[three]), (7, near[four]), (None, four), (8, one[::-1]), (8, one[::-1] + " more"),
+        (9, ""), (9, ""), (9, None), (10, ""), (None, ""), (None, ""),
+    ], row_key="clash")
+    out = corpus_pipeline.drop_near_copies(spark, docs, "")
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    thirds = {(None, three), (None, near[three])} & set(got)
+    assert out.columns == docs.columns and len(thirds) == 1
+    eights = {(8, one[::-1]), (8, one[::-1] + " more")} & set(got)
+    assert len(eights) == 1
+    assert got == Counter([(3, one), (5, two), (7, near[four]), *thirds, *eights, (9, ""), (9, None), (10, ""), (None, ""), (None, "")])
