@@ -1,9 +1,10 @@
-"""BPE encoding of many words at once by an index from pairs to all their positions.
+"""BPE encoding of many words at once by an array of pair ranks by position.
 
-The symbols of all words of a batch lie in one array. The index holds the positions of
-all pairs that can merge, with the rank of each. Every word's lowest active rank is
-applied at all its positions there, for all words at once, and only the entries next to
-a merge change. A merge's result can only merge at a higher rank, so each word sees its
+The symbols of all words of a batch lie in one array. In place of a map from pairs to
+positions there are the rank of the pair at each position and a sorted list of the
+positions that can merge, scanned and sorted anew in every sweep. Every word's lowest
+active rank is applied at all its positions there, for all words at once, and only the
+entries next to a merge change. A merge's result can only merge at a higher rank, so each word sees its
 ranks in ascending order, and sweeps go on until no rank is active.
 """
 
