@@ -15,6 +15,7 @@ from weftline.llm.common import smallest_labels
 from weftline.llm.exact_dedup import deduplicate, first_seen
 from weftline.llm.jaccard import jaccard_groups
 from weftline.llm.line_dedup import drop_boilerplate_lines, host_of
+from weftline.llm.minhash import least_agreements, near_duplicate_groups
 from weftline.llm.sharding import assign_shards, longest_walk, permuted, shard_digest, sides
 from weftline.workspace import new_folder
 
@@ -62,23 +63,61 @@ def corpus(seed, groups=12, copies=8):
     return rows + [(5001, None), (5002, ""), (5003, " \n "), (None, rows[0][1]), (5004, "one"), (5005, "One"), (5004, "one")]
 
 
-@pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
-def test_groups_equal_a_full_comparison(spark, make_docs, width, percent):
+@pytest.mark.parametrize("groups,width,percent", [(jaccard_groups, 3, 90), (jaccard_groups, 5, 80), (near_duplicate_groups, 4, 80)])
+def test_groups_equal_a_full_comparison(spark, make_docs, groups, width, percent):
     rows = corpus(width)
     docs = make_docs(rows, component_id="clash", n_shingles="clash")
-    got = jaccard_groups(docs.repartition(5), width=width, percent=percent, block_rows=7).collect()
+    got = groups(docs.repartition(5), width=width, percent=percent, block_rows=7).collect()
     assert sorted((tuple(r) for r in got), key=str) == similar_groups(rows, width, percent)
 
 
-def test_trees_find_what_stars_would(spark, make_docs):
+@pytest.mark.parametrize("groups", [jaccard_groups, near_duplicate_groups])
+def test_full_round_finds_all_links_alone(spark, make_docs, groups):
     rows = corpus(99, groups=5)
-    got = jaccard_groups(make_docs(rows), width=2, percent=70, star_rounds=0, block_rows=9).collect()
-    assert sorted((tuple(r) for r in got), key=str) == similar_groups(rows, 2, 70)
+    got = groups(make_docs(rows), width=2, percent=80, first_round=False, block_rows=9).collect()
+    assert sorted((tuple(r) for r in got), key=str) == similar_groups(rows, 2, 80)
 
 
-def test_no_documents_no_groups(spark, make_docs):
-    assert jaccard_groups(make_docs([])).count() == 0
-    assert [tuple(r) for r in jaccard_groups(make_docs([(1, "a b c d")])).collect()] == [(1, 2, 1)]
+@pytest.mark.parametrize("groups", [jaccard_groups, near_duplicate_groups])
+def test_large_groups_that_are_not_linked(spark, make_docs, groups):
+    """Copies of one text, each far enough from the others: all stand in common buckets, few are linked."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(150):
+        own = list(base)
+        for at in rng.sample(range(300), rng.choice([2, 9, 14])):
+            own[at] = f"x{rng.randrange(10_000)}"
+        rows.append((i, " ".join(own)))
+    got = groups(make_docs(rows), width=3, percent=90, block_rows=64).collect()
+    assert sorted((tuple(r) for r in got), key=str) == similar_groups(rows, 3, 90)
+
+
+@pytest.mark.parametrize("groups", [jaccard_groups, near_duplicate_groups])
+def test_no_documents_no_groups(spark, make_docs, groups):
+    assert groups(make_docs([]), width=3).count() == 0
+    assert [tuple(r) for r in groups(make_docs([(1, "a b c d")]), width=3).collect()] == [(1, 2, 1)]
+
+
+def test_very_long_texts_are_read_whole(spark, make_docs):
+    rng = random.Random(8)
+    text = " ".join(f"w{rng.randrange(5000)}" for _ in range(260_000))
+    rows = [(1, text), (2, text + " and more"), (3, text[:len(text) // 2]), (4, "y" * 3_000_000), (5, "y" * 3_000_000 + "z")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicate_groups(make_docs(rows), width=4).collect()}
+    whole = len({tuple(text.split()[i:i + 4]) for i in range(260_000 - 3)})
+    assert got[1] == (whole, 1) and got[2][1] == 1 and got[3][1] == 3 and got[4] == (1, 4) and got[5] == (1, 5)
+
+
+@pytest.mark.parametrize("places", [1, 32, 64, 160])
+def test_posterior_bound_is_that_of_the_beta_law(places):
+    """P(similarity >= t) by numeric integration of the posterior, just above and below the bound."""
+    def posterior(m):
+        grid = [i / 20_000 for i in range(20_001)]
+        weight = [s**m * (1 - s) ** (places - m) for s in grid]
+        return sum(w for s, w in zip(grid, weight) if s >= 0.8) / sum(weight)
+
+    least = least_agreements(places, 80, 1e-4)
+    assert posterior(least) >= 0.9e-4 and (least == 0 or posterior(least - 1) < 1.1e-4)
 
 
 def test_labels_follow_long_chains(spark):

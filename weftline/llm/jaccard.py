@@ -8,68 +8,37 @@ pairs that may reach the threshold. Those are verified on their whole sets.
 The points are dealt to the trees by shared tokens. Of a set of a tokens any
 a - ceil(t*a) + 1 must meet those of every partner, if all sets are ordered alike; here
 by hash, with tokens that are frequent in a sample at the end, so few documents meet in
-one bucket. Only connections matter, so most buckets need no tree: each document is
-first compared with one leader of its bucket, and buckets that lie within one component
-are done. What is left goes to trees over blocks of bounded size. Equal sets are one
-point from the start.
+one bucket. How buckets are cut and their links gathered is that of ``linking``. Larger
+sets have more groups, halved where they meet smaller ones, so the bound stays sharp.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import column, empty_as_text, hint_small, smallest_labels
-from weftline.llm.vocabulary import Memo
-from weftline.workspace import materialize, scratch
+from weftline.llm.linking import BLOCK_ROWS, Screen, linked_groups
+from weftline.llm.shingles import shingle_hashes
 
 GROUPS = 128
+#: Groups are doubled until a group holds no more tokens than this on average.
+GROUP_TOKENS = 6
 SAMPLE_DOCUMENTS = 20_000
 FREQUENT_IN_SAMPLE = 4
 FREQUENT_TOKENS = 200_000
-BLOCK_ROWS = 2_048
 LEAF_POINTS = 32
-STAR_ROUNDS = 2
 
-#: Sets above this size are not pruned by counts but verified.
-_COUNTED = 16_000
 _LOW_HASHES = np.uint64(1 << 62)
-
-_word_hash = Memo(xxhash.xxh3_64_intdigest)
-
-
-def shingle_hashes(text: str, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word n-grams of a whole text; of fewer words, that of all."""
-    words = text.encode().lower().split()  # bytes: only A-Z change, only ASCII white space parts
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_word_hash.__getitem__, words), np.uint64, len(words))
-    grams = max(1, len(words) - width + 1)
-    span = min(width, len(words))
-    mixed = np.full(grams, span, np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(span):
-            mixed = (mixed ^ hashes[i:i + grams]) * np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(29)
-            mixed *= np.uint64(0xBF58476D1CE4E5B9)
-            mixed ^= mixed >> np.uint64(32)
-    mixed.sort()
-    return mixed[np.concatenate([[True], mixed[1:] != mixed[:-1]])]
+_NO_BUCKET = np.iinfo(np.int64).max
 
 
 def least_overlap(a: int | np.ndarray, b: int | np.ndarray, percent: int):
-    """Shared tokens below which two sets of a and b tokens are ruled out.
-
-    Just as many as they need to be ``percent`` similar, or as sets that are not counted
-    are sure to show.
-    """
-    return np.minimum(-(-percent * (a + b) // (100 + percent)), _COUNTED)
+    """Shared tokens that two sets of a and b tokens need to be ``percent`` similar."""
+    return -(-percent * (a + b) // (100 + percent))
 
 
 def _prefix(tokens: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
@@ -86,45 +55,73 @@ def _prefix(tokens: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarra
 
 
 def _counts(tokens: np.ndarray) -> np.ndarray:
-    """Tokens per group, of 8 bits; sets that are too large for that get full counts everywhere."""
-    counts = np.bincount((tokens >> np.uint64(7)) % np.uint64(GROUPS), minlength=GROUPS)
-    too_large = len(tokens) > _COUNTED or counts.max(initial=0) > 255
-    return np.full(GROUPS, 255, np.uint8) if too_large else counts.astype(np.uint8)
-
-
-def _sketch(width: int, percent: int, frequent: np.ndarray):
-    def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for text in batch:
-                tokens = shingle_hashes(text, width)
-                digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
-                prefix = _prefix(tokens, percent, frequent).view(np.int64) if len(tokens) else []
-                rows.append((len(tokens), digest, _counts(tokens).tobytes(), prefix))
-            yield pd.DataFrame(rows, columns=["n", "digest", "counts", "prefix"])
+    """Tokens per group, of 8 bits; a set with more in one group gets full counts everywhere."""
+    groups = GROUPS
+    while len(tokens) > groups * GROUP_TOKENS:
+        groups *= 2
+    counts = np.bincount(((tokens >> np.uint64(7)) % np.uint64(groups)).astype(np.int64), minlength=groups)
+    return np.full(groups, 255, np.uint8) if counts.max(initial=0) > 255 else counts.astype(np.uint8)
 
-    return F.pandas_udf(sketch, "n bigint, digest binary, counts binary, prefix array<bigint>")
-
-
-def _frequent_tokens(docs: DataFrame, width: int, total: int) -> np.ndarray:
-    """The most frequent low tokens of a bounded sample of documents.
-
-    They only decide the order of tokens, so any list gives the same result. Only low
-    hashes can come into a prefix; the list is bounded.
-    """
-    share = min(1.0, SAMPLE_DOCUMENTS / max(total, 1))
-    sample = docs.where(F.pmod(F.xxhash64("h1"), F.lit(1 << 20)) <= int(share * (1 << 20))).select("text")
 
-    def low(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [shingle_hashes(text, width) for text in batch["text"]]
-            found = [tokens[tokens < _LOW_HASHES] for tokens in found]
-            values, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
-            yield pd.DataFrame({"token": values.view(np.int64), "docs": counts})
-
-    counted = sample.mapInPandas(low, "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
-    top = counted.where(F.col("docs") >= FREQUENT_IN_SAMPLE).orderBy(F.desc("docs"), "token").limit(FREQUENT_TOKENS)
-    return np.sort(top.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+def _buckets(prefix: np.ndarray) -> np.ndarray:
+    """Sorted distinct 32-bit bucket keys of prefix tokens; tokens that share one meet a little more often."""
+    with np.errstate(over="ignore"):
+        return np.unique((prefix * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64)
+
+
+class _Points:
+    """Sketches of a batch: counts, folded to any number of groups, and bucket keys."""
+
+    def __init__(self, sketches: pd.Series):
+        self.counts, self.keys = [], []
+        for sketch in sketches:
+            groups = int.from_bytes(sketch[:4], "little")
+            self.counts.append(np.frombuffer(sketch, np.uint8, groups, 4))
+            self.keys.append(np.frombuffer(sketch, np.uint32, offset=4 + groups))
+        self.groups = np.array([len(c) for c in self.counts], np.int64)
+
+    def folded(self, rows: np.ndarray, groups: int) -> np.ndarray:
+        """Counts of ``rows`` as a matrix of that many groups; a fold adds the two halves."""
+        out = np.empty((len(rows), groups), np.int32)
+        for size in np.unique(self.groups[rows]):
+            at = np.flatnonzero(self.groups[rows] == size)
+            stacked = np.stack([self.counts[i] for i in rows[at]])
+            out[at] = stacked.reshape(len(at), size // groups, groups).sum(1, dtype=np.int32)
+        return out
+
+
+def _near(percent: int):
+    def near(points: _Points, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        groups = np.minimum(points.groups[a], points.groups[b])
+        out = np.zeros(len(a), bool)
+        for size in np.unique(groups):
+            at = np.flatnonzero(groups == size)
+            own, place = np.unique(np.concatenate([a[at], b[at]]), return_inverse=True)
+            folded = points.folded(own, int(size))
+            step = max(1, (1 << 21) // int(size))
+            for low in range(0, len(at), step):
+                part = at[low:low + step]
+                left, right = folded[place[low:low + len(part)]], folded[place[len(at) + low:len(at) + low + len(part)]]
+                out[part] = np.minimum(left, right).sum(1) >= least_overlap(sizes[a[part]], sizes[b[part]], percent)
+        return out
+
+    return near
+
+
+def _owner(points: _Points, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest bucket key that both rows of each pair have."""
+    longest = max(len(k) for k in points.keys)
+    out = np.full(len(a), _NO_BUCKET)
+    step = max(1, (1 << 20) // max(1, longest))
+    for low in range(0, len(a), step):
+        x, y = a[low:low + step], b[low:low + step]
+        both = [np.concatenate([points.keys[i] for i in rows]).astype(np.uint64) for rows in (x, y)]
+        pair = [np.repeat(np.arange(len(x), dtype=np.uint64), [len(points.keys[i]) for i in rows]) for rows in (x, y)]
+        tagged = [(p << np.uint64(32)) | k for p, k in zip(pair, both, strict=True)]
+        common = np.intersect1d(*tagged, assume_unique=True)
+        which, first = np.unique(common >> np.uint64(32), return_index=True)
+        out[low + which.astype(np.int64)] = (common[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return out
 
 
 class CountTree:
@@ -136,43 +133,78 @@ class CountTree:
         self.rows, self.below = rows, []
         if len(rows) > LEAF_POINTS:
             own = points[rows]
-            widest = int(np.argmax(own.max(0).astype(np.int64) - own.min(0)))
+            widest = int(np.argmax(own.max(0) - own.min(0)))
             order = rows[np.argsort(own[:, widest], kind="stable")]
             self.below = [CountTree(points, sizes, half) for half in np.array_split(order, 2)]
 
-    def search(self, points: np.ndarray, sizes: np.ndarray, probes: np.ndarray, probe_sizes: np.ndarray, percent: int):
-        """(probe, row) pairs whose summed coordinate minima reach the overlap they need."""
+    def search(self, points: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of the tree's own rows whose summed coordinate minima reach the overlap they need, each once."""
         out: list[tuple[np.ndarray, np.ndarray]] = []
-        self._search(points, sizes, probes, probe_sizes, np.arange(len(probes)), percent, out)
+        self._search(points, sizes, np.arange(len(points)), percent, out)
         if not out:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         return np.concatenate([p for p, _ in out]), np.concatenate([r for _, r in out])
 
-    def _search(self, points, sizes, probes, probe_sizes, asking, percent, out) -> None:
-        bound = np.minimum(probes[asking], self.high).sum(1, dtype=np.int64)
-        asking = asking[bound >= least_overlap(probe_sizes[asking], self.least, percent)]
+    def _search(self, points, sizes, asking, percent, out) -> None:
+        bound = np.minimum(points[asking], self.high).sum(1, dtype=np.int64)
+        asking = asking[bound >= least_overlap(sizes[asking], self.least, percent)]
         if not len(asking):
             return
+        for child in self.below:
+            child._search(points, sizes, asking, percent, out)
         if self.below:
-            for child in self.below:
-                child._search(points, sizes, probes, probe_sizes, asking, percent, out)
             return
         for row in self.rows:
-            shared = np.minimum(probes[asking], points[row]).sum(1, dtype=np.int64)
-            a, b = probe_sizes[asking], sizes[row]
-            near = (shared >= least_overlap(a, b, percent)) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
-            if near.any():
-                hits = asking[near]
+            others = asking[asking < row]
+            shared = np.minimum(points[others], points[row]).sum(1, dtype=np.int64)
+            hits = others[shared >= least_overlap(sizes[others], sizes[row], percent)]
+            if len(hits):
                 out.append((hits, np.full(len(hits), row)))
 
 
-def _points(counts: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(counts), np.uint8).reshape(-1, GROUPS)
+def _search(percent: int):
+    def search(points: _Points, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        counts, own = points.folded(rows, int(points.groups[rows].min())), sizes[rows]
+        a, b = CountTree(counts, own).search(counts, own, percent)
+        return rows[a], rows[b]
+
+    return search
+
+
+def count_screen(percent: int, frequent: np.ndarray) -> Screen:
+    """Sketches of group counts and bucket keys: what the summed minima of counts rule out is no candidate."""
+
+    def sketch(tokens: np.ndarray) -> tuple[bytes, np.ndarray]:
+        counts, keys = _counts(tokens), _buckets(_prefix(tokens, percent, frequent))
+        return len(counts).to_bytes(4, "little") + counts.tobytes() + keys.astype(np.uint32).tobytes(), keys
+
+    return Screen(sketch, _Points, _near(percent), _owner, _search(percent))
+
+
+def frequent_tokens(docs: DataFrame, width: int) -> np.ndarray:
+    """The most frequent low tokens of a bounded sample of documents.
+
+    They only decide the order of tokens, so any list gives the same result. Only low
+    hashes can come into a prefix; the list is bounded.
+    """
+    share = min(1.0, SAMPLE_DOCUMENTS / max(docs.count(), 1))
+    sample = docs.where(F.pmod(F.xxhash64("h1"), F.lit(1 << 20)) <= int(share * (1 << 20))).select("text")
+
+    def low(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [shingle_hashes(text, width) for text in batch["text"]]
+            found = [tokens[tokens < _LOW_HASHES] for tokens in found]
+            values, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
+            yield pd.DataFrame({"token": values.view(np.int64), "docs": counts})
+
+    counted = sample.mapInPandas(low, "token bigint, docs bigint").groupBy("token").agg(F.sum("docs").alias("docs"))
+    top = counted.where(F.col("docs") >= FREQUENT_IN_SAMPLE).orderBy(F.desc("docs"), "token").limit(FREQUENT_TOKENS)
+    return np.sort(top.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
 
 
 def jaccard_groups(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90,
-    block_rows: int = BLOCK_ROWS, star_rounds: int = STAR_ROUNDS,
+    block_rows: int = BLOCK_ROWS, first_round: bool = True,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row per row of ``docs``.
 
@@ -185,215 +217,8 @@ def jaccard_groups(
     empty table gives no rows; other columns are not read. Shingles are told apart by
     64-bit hashes.
     """
-    with scratch(docs.sparkSession) as keep:
-        rows = _grouped(docs, doc_id, text, width, percent, block_rows, star_rounds)
-        return keep(rows, "groups")
-
-
-def _grouped(
-    docs: DataFrame, doc_id: str, text: str, width: int, percent: int, block_rows: int, star_rounds: int
-) -> DataFrame:
-    value = empty_as_text(text)
-    read = docs.select(
-        column(doc_id).cast("bigint").alias("doc_id"), value.alias("text"),
-        F.xxhash64(value).alias("h1"), F.xxhash64(F.lit(1), value).alias("h2"),
-    )
-    frequent = _frequent_tokens(read, width, docs.count())
-    sketch = _sketch(width, percent, frequent)
-    sketches = materialize(
-        read.select("doc_id", "h1", "h2", sketch("text").alias("s")).select("doc_id", "h1", "h2", "s.*")
-        .withColumn("key", F.monotonically_increasing_id()), "sketches",
-    )
-    nodes = materialize(
-        sketches.where("n > 0").groupBy("digest").agg(F.min("key").alias("node"), F.min("doc_id").alias("low_id")), "nodes"
-    )
-    heads = hint_small(nodes.select(F.col("node").alias("key")), 16)
-    points = sketches.join(heads, "key").withColumnRenamed("key", "node")
-    points = materialize(points.select("node", "n", "h1", "h2", "counts", "prefix"), "points")
-    tokens = points.select("node", F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1").select("token")
-    buckets = materialize(tokens.join(shared, "token"), "buckets")
-
-    edges = None
-    labels = None
-    for number in range(star_rounds + 1):
-        members = buckets.withColumn("component", F.col("node")) if labels is None else (
-            buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        )
-        spans = members.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-        open_tokens = spans.where("a < b").select("token")
-        members = materialize(members.join(open_tokens, "token"), "members")
-        if not members.limit(1).count():
-            break
-        if number < star_rounds:
-            pairs = _star_pairs(members, number)
-        else:
-            pairs = _tree_pairs(members, points, percent, block_rows)
-        pairs = _within_bounds(pairs, points, percent)
-        found = materialize(_verified(pairs, points, read, width, percent), "links")
-        edges = found if edges is None else edges.union(found)
-        labels = materialize(smallest_labels(edges, docs.sparkSession), "labels")
-        buckets = members.select("node", "token")
-
-    if labels is None:
-        placed = nodes.select("digest", F.col("low_id").alias("component_id"))
-    else:
-        joined = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        lowest = joined.groupBy("component").agg(F.min("low_id").alias("component_id"))
-        placed = joined.join(lowest, "component").select("digest", "component_id")
-    # One row per distinct set, so copies meet it on one key: the small side is spread by hint or by skew handling.
-    placed = hint_small(materialize(placed, "placed"), 48)
-    return sketches.select("doc_id", "n", "digest").join(placed, "digest", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
-
-
-def _star_pairs(members: DataFrame, number: int) -> DataFrame:
-    """Each document with the leader of each of its buckets; other rounds have other leaders."""
-    order = F.struct(F.xxhash64("node", F.lit(number)).alias("order"), F.col("node").alias("lead"), F.col("component").alias("lead_component"))
-    leads = members.groupBy("token").agg(F.min(order).alias("first"))
-    led = members.join(leads, "token").where("component != first.lead_component")
-    return led.select(F.least("node", "first.lead").alias("a"), F.greatest("node", "first.lead").alias("b")).distinct()
-
-
-def _within_bounds(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes and summed count minima allow the threshold."""
-    small = points.select("node", "n", "counts")
-    first = small.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("counts_a"))
-    second = small.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("counts_b"))
-    sized = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    joined = pairs.join(first, "a").join(second, "b").where(sized)
-
-    def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                most = np.minimum(_points(batch["counts_a"]), _points(batch["counts_b"])).sum(1, dtype=np.int64)
-                need = least_overlap(batch["n_a"].to_numpy(), batch["n_b"].to_numpy(), percent)
-                yield batch.loc[most >= need, ["a", "b"]]
-
-    return materialize(joined.mapInPandas(bound, "a bigint, b bigint"), "candidates")
-
-
-def _tree_pairs(members: DataFrame, points: DataFrame, percent: int, block_rows: int) -> DataFrame:
-    """Pairs of different components that a count-vector R-tree cannot rule out, in all buckets.
-
-    A bucket is cut by size bands, so that partners share one, and then into blocks; each
-    pair of blocks is one tree and its probes. A pair is found in several buckets; only
-    distinct pairs go on.
-    """
-    sized = members.join(points.select("node", "n"), "node")
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent))))
-    banded = sized.withColumn("band", F.explode(F.array(band, band + 1)))
-    loads = banded.groupBy("token", "band").agg(
-        F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low < high").select("token", "band", F.ceil(F.col("size") / block_rows).alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    dealt = banded.join(loads, ["token", "band"]).withColumn("block", own).select(
-        "token", "band", "block", "node", "component", "n",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"),
-    ).withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
-    counts = materialize(points.select("node", "counts"), "counts")
-    dealt = dealt.join(hint_small(counts, 2 * GROUPS), "node")
-    groups = ["token", "band", "x", "y"]
-    # Many buckets are tiny: they are taken from sorted partitions instead of one call each.
-    sorted_rows = dealt.repartition(*groups).sortWithinPartitions(*groups)
-    return sorted_rows.select(*groups, "block", "node", "component", "n", "counts").mapInPandas(
-        _search_blocks(percent), "a bigint, b bigint"
-    ).distinct()
-
-
-def _search_blocks(percent: int) -> Callable:
-    def search(group: pd.DataFrame) -> pd.DataFrame:
-        nodes, components = group["node"].to_numpy(), group["component"].to_numpy()
-        points, sizes, block = _points(group["counts"]), group["n"].to_numpy(), group["block"].to_numpy()
-        first = np.flatnonzero(block == group["x"].iloc[0])
-        second = np.flatnonzero(block == group["y"].iloc[0])
-        if not len(first) or not len(second):
-            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-        tree = CountTree(points[first], sizes[first])
-        probe, row = tree.search(points[first], sizes[first], points[second], sizes[second], percent)
-        a, b = second[probe], first[row]
-        differ = components[a] != components[b]
-        a, b = nodes[a[differ]], nodes[b[differ]]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
-    def within_leaves(batch: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
-        """All groups of a batch that fit into one leaf: their points are compared without a tree."""
-        nodes, components = batch["node"].to_numpy(), batch["component"].to_numpy()
-        sizes, points = batch["n"].to_numpy(), _points(batch["counts"])
-        firsts, seconds = [], []
-        for step in range(1, LEAF_POINTS):
-            at = np.flatnonzero(group[step:] == group[:-step])
-            if not len(at):
-                break
-            a, b = sizes[at], sizes[at + step]
-            fits = (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (components[at] != components[at + step])
-            firsts.append(at[fits])
-            seconds.append(at[fits] + step)
-        if not firsts:
-            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-        first, second = np.concatenate(firsts), np.concatenate(seconds)
-        low, high = np.minimum(nodes[first], nodes[second]), np.maximum(nodes[first], nodes[second])
-        _, once = np.unique(np.column_stack([low, high]), axis=0, return_index=True)
-        first, second = first[once], second[once]
-        near = np.zeros(len(first), bool)
-        for at in range(0, len(first), 50_000):
-            part = slice(at, at + 50_000)
-            most = np.minimum(points[first[part]], points[second[part]]).sum(1, dtype=np.int64)
-            near[part] = most >= least_overlap(sizes[first[part]], sizes[second[part]], percent)
-        return pd.DataFrame({"a": low[once][near], "b": high[once][near]})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: pd.DataFrame | None = None  # the last group so far, which the next batch may go on with
-        for batch in batches:
-            if rest is not None:
-                batch = pd.concat([rest, batch], ignore_index=True)
-            if not len(batch):
-                continue
-            keys = batch[["token", "band", "x", "y"]].to_numpy()
-            starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1])
-            rest = batch.iloc[starts[-1]:]
-            yield from groups(batch.iloc[: starts[-1]], starts)
-        if rest is not None and len(rest):
-            yield from groups(rest, np.array([0, len(rest)]))
-
-    def groups(rows: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
-        lengths = np.diff(starts)
-        number = np.repeat(np.arange(len(lengths)), lengths)
-        small = lengths[number] <= LEAF_POINTS
-        if small.any():
-            yield within_leaves(rows[small], number[small])
-        for i in np.flatnonzero(lengths > LEAF_POINTS):
-            yield search(rows.iloc[starts[i]: starts[i + 1]].reset_index(drop=True))
-
-    return run
-
-
-def _verified(pairs: DataFrame, points: DataFrame, read: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough.
-
-    Only texts of nodes in some pair are read again, found by two hashes of the text.
-    """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = hint_small(materialize(wanted.join(points.select("node", "h1", "h2"), "node"), "wanted"), 64)
-    texts = read.join(wanted, ["h1", "h2"]).select("node", "text").distinct()
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"node": batch["node"], "tokens": [shingle_hashes(t, width).tobytes() for t in batch["text"]]})
 
-    whole = materialize(texts.mapInPandas(sets, "node bigint, tokens binary"), "sets")
-    first = whole.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a"))
-    second = whole.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b"))
+    def screen(read: DataFrame) -> Screen:
+        return count_screen(percent, frequent_tokens(read, width))
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            linked = []
-            for left, right in zip(batch["tokens_a"], batch["tokens_b"], strict=True):
-                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.loc[np.array(linked, bool), ["a", "b"]]
-
-    return pairs.join(first, "a").join(second, "b").mapInPandas(check, "a bigint, b bigint")
+    return linked_groups(docs, doc_id, text, width, percent, screen, block_rows, first_round)
