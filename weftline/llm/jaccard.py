@@ -33,7 +33,6 @@ FREQUENT_TOKENS = 200_000
 LEAF_POINTS = 32
 
 _LOW_HASHES = np.uint64(1 << 62)
-_NO_BUCKET = np.iinfo(np.int64).max
 
 
 def least_overlap(a: int | np.ndarray, b: int | np.ndarray, percent: int):
@@ -63,21 +62,11 @@ def _counts(tokens: np.ndarray) -> np.ndarray:
     return np.full(groups, 255, np.uint8) if counts.max(initial=0) > 255 else counts.astype(np.uint8)
 
 
-def _buckets(prefix: np.ndarray) -> np.ndarray:
-    """Sorted distinct 32-bit bucket keys of prefix tokens; tokens that share one meet a little more often."""
-    with np.errstate(over="ignore"):
-        return np.unique((prefix * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64)
-
-
 class _Points:
-    """Sketches of a batch: counts, folded to any number of groups, and bucket keys."""
+    """Counts of a batch, which can be folded to fewer groups."""
 
     def __init__(self, sketches: pd.Series):
-        self.counts, self.keys = [], []
-        for sketch in sketches:
-            groups = int.from_bytes(sketch[:4], "little")
-            self.counts.append(np.frombuffer(sketch, np.uint8, groups, 4))
-            self.keys.append(np.frombuffer(sketch, np.uint32, offset=4 + groups))
+        self.counts = [np.frombuffer(sketch, np.uint8) for sketch in sketches]
         self.groups = np.array([len(c) for c in self.counts], np.int64)
 
     def folded(self, rows: np.ndarray, groups: int) -> np.ndarray:
@@ -108,22 +97,6 @@ def _near(percent: int):
     return near
 
 
-def _owner(points: _Points, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest bucket key that both rows of each pair have."""
-    longest = max(len(k) for k in points.keys)
-    out = np.full(len(a), _NO_BUCKET)
-    step = max(1, (1 << 20) // max(1, longest))
-    for low in range(0, len(a), step):
-        x, y = a[low:low + step], b[low:low + step]
-        both = [np.concatenate([points.keys[i] for i in rows]).astype(np.uint64) for rows in (x, y)]
-        pair = [np.repeat(np.arange(len(x), dtype=np.uint64), [len(points.keys[i]) for i in rows]) for rows in (x, y)]
-        tagged = [(p << np.uint64(32)) | k for p, k in zip(pair, both, strict=True)]
-        common = np.intersect1d(*tagged, assume_unique=True)
-        which, first = np.unique(common >> np.uint64(32), return_index=True)
-        out[low + which.astype(np.int64)] = (common[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    return out
-
-
 class CountTree:
     """An R-tree over count vectors, packed from the top along the widest coordinate."""
 
@@ -172,13 +145,12 @@ def _search(percent: int):
 
 
 def count_screen(percent: int, frequent: np.ndarray) -> Screen:
-    """Sketches of group counts and bucket keys: what the summed minima of counts rule out is no candidate."""
+    """Sketches are group counts; what their summed minima rule out is no candidate. Buckets are prefix tokens."""
 
     def sketch(tokens: np.ndarray) -> tuple[bytes, np.ndarray]:
-        counts, keys = _counts(tokens), _buckets(_prefix(tokens, percent, frequent))
-        return len(counts).to_bytes(4, "little") + counts.tobytes() + keys.astype(np.uint32).tobytes(), keys
+        return _counts(tokens).tobytes(), _prefix(tokens, percent, frequent).view(np.int64)
 
-    return Screen(sketch, _Points, _near(percent), _owner, _search(percent))
+    return Screen(sketch, _Points, _near(percent), _search(percent))
 
 
 def frequent_tokens(docs: DataFrame, width: int) -> np.ndarray:

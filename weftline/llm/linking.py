@@ -5,13 +5,15 @@ and which pairs of a bucket may be linked. Links are then looked for in two pass
 
 1. Buckets, cut into blocks of bounded size, are screened where their sketches lie. What
    leaves a task is not pairs but the rows that have some partner left in that bucket. A
-   pair belongs to the bucket of its smallest common key, so no other bucket reports it.
+   pair belongs to the first bucket that both rows stand in; each row brings along the
+   first of its buckets, so that nearly no other bucket looks at the pair again.
 2. Whole sets are sent to those rows only. The task screens them again, compares what is
    left on whole sets, and gives out a spanning set of links: fewer than it has rows.
 
 Only connections matter. So each document is first sent to its smallest bucket alone;
 that links nearly all near copies at the price of one row a document. Then all buckets
-that still hold several components are searched in full. In a bucket that is too large
+that still hold several components are searched in full; of those with the same rows one
+is enough. In a bucket that is too large
 for one block, rows of its largest component need not meet each other.
 """
 
@@ -39,6 +41,9 @@ BLOCK_TOKENS = 2 << 20
 BATCH_ROWS = 500
 BATCH_BYTES = 8 << 20
 
+#: Buckets a row brings along to tell whether it has met a partner before.
+FIRST_BUCKETS = 16
+
 #: Pairs of one comparison of sketches.
 _PAIRS_AT_ONCE = 20_000
 #: Groups up to this size are compared side by side.
@@ -67,15 +72,14 @@ class Screen:
     """What a method knows of a set, and which pairs it cannot rule out.
 
     ``sketch(tokens)`` gives (bytes, bucket keys as int64); ``load(sketches)`` makes of a
-    column of such bytes what ``near(loaded, sizes, a, b)`` (a mask over row pairs),
-    ``owner(loaded, a, b)`` (their smallest common bucket key) and, for groups above
-    ``SMALL_GROUP`` rows, ``search(loaded, sizes, rows)`` (pairs of rows) take.
+    column of such bytes what ``near(loaded, sizes, a, b)`` (a mask over row pairs) and,
+    for groups above ``SMALL_GROUP`` rows, ``search(loaded, sizes, rows)`` (pairs of rows)
+    take.
     """
 
     sketch: Callable
     load: Callable
     near: Callable
-    owner: Callable
     search: Callable | None = None
 
 
@@ -131,7 +135,7 @@ def _grouped(docs, doc_id, text, width, percent, make_screen, block_rows, first_
 
     edges = labels = None
     if first_round and not places.isEmpty():
-        edges = found(_dealt_once(places, block_rows))
+        edges = found(_dealt_once(places, block_rows).withColumn("before", F.array().cast("array<bigint>")))
         labels = materialize(smallest_labels(edges, docs.sparkSession), "labels")
     dealt = _dealt_in_full(places, labels, block_rows)
     if not dealt.isEmpty():
@@ -179,11 +183,16 @@ def _dealt_in_full(places: DataFrame, labels: DataFrame | None, block_rows: int)
         placed = places.withColumn("component", F.col("node"))
     else:
         placed = places.join(hint_small(labels, 48), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    per_component = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens"))
+    own_bits, other_bits = F.xxhash64("node"), F.xxhash64(F.lit(1), "node")
+    per_component = placed.groupBy("bucket", "component").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens"), F.bit_xor(own_bits).alias("bits"), F.bit_xor(other_bits).alias("more_bits")
+    )
     loads = per_component.groupBy("bucket").agg(
         F.sum("rows").alias("rows"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("components"),
-        F.max(F.struct("rows", "tokens", "component")).alias("most"),
-    ).where("components > 1").withColumns({
+        F.max(F.struct("rows", "tokens", "component")).alias("most"), F.bit_xor("bits").alias("bits"), F.bit_xor("more_bits").alias("more_bits"),
+    ).where("components > 1")
+    # Buckets of the same rows: the first stands for all.
+    loads = loads.groupBy("rows", "bits", "more_bits").agg(F.min(F.struct("bucket", "tokens", "most")).alias("first")).select("rows", "first.*").withColumns({
         "most_rows": F.col("most.rows"), "most_tokens": F.col("most.tokens"),
         "rest_rows": F.col("rows") - F.col("most.rows"), "rest_tokens": F.col("tokens") - F.col("most.tokens"),
     }).select(
@@ -191,6 +200,7 @@ def _dealt_in_full(places: DataFrame, labels: DataFrame | None, block_rows: int)
         _blocks("most_rows", "most_tokens", block_rows).alias("parts"), _blocks("rest_rows", "rest_tokens", block_rows).alias("rests"),
     )
     joined = placed.join(materialize(loads, "loads"), "bucket")
+    firsts = joined.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("bucket")), 1, FIRST_BUCKETS).alias("firsts"))
     mine = F.pmod(F.xxhash64("node"), F.when(F.col("component") == F.col("largest"), F.col("parts")).otherwise(F.col("rests"))).cast("int")
     block = F.expr("""
         CASE WHEN fits THEN array(0)
@@ -198,17 +208,19 @@ def _dealt_in_full(places: DataFrame, labels: DataFrame | None, block_rows: int)
              ELSE concat(transform(sequence(0, parts - 1), i -> i * rests + mine),
                          transform(sequence(0, rests - 1), j -> parts * rests + least(j, mine) * rests + greatest(j, mine)))
         END""")
-    return joined.withColumn("mine", mine).select("bucket", F.explode(block).alias("block"), "node", "component")
+    dealt = joined.withColumn("mine", mine).select("bucket", F.explode(block).alias("block"), "node", "component")
+    return dealt.join(firsts, "node").select("bucket", "block", "node", "component", F.filter("firsts", lambda b: b < F.col("bucket")).alias("before"))
 
 
 def _links(dealt: DataFrame, points: DataFrame, read: DataFrame, width: int, percent: int, screen: Screen) -> DataFrame:
     """Links (a, b) that span what is similar enough in each block of ``dealt``."""
     group = ["bucket", "block"]
-    dealt = materialize(dealt, "dealt")
     sketched = dealt.join(points.select("node", "n", "sketch"), "node")
     # Many blocks are tiny: they are taken from sorted partitions instead of one call each.
-    screened = sketched.repartition(*group).sortWithinPartitions(*group).select(*group, "node", "component", "n", "sketch")
-    kept = materialize(screened.mapInPandas(_screening(screen, percent), "bucket bigint, block int, node bigint, component bigint"), "kept")
+    screened = sketched.repartition(*group).sortWithinPartitions(*group).select(*group, "node", "component", "before", "n", "sketch")
+    kept = materialize(screened.mapInPandas(
+        _screening(screen, percent), "bucket bigint, block int, node bigint, component bigint, before array<bigint>"
+    ), "kept")
 
     wanted = kept.select("node").distinct().join(points.select("node", "h1", "h2"), "node")
     wanted = hint_small(materialize(wanted, "wanted"), 72)
@@ -220,7 +232,7 @@ def _links(dealt: DataFrame, points: DataFrame, read: DataFrame, width: int, per
 
     whole = materialize(texts.mapInPandas(sets, "node bigint, tokens binary"), "sets")
     rows = kept.join(whole, "node").join(points.select("node", "n", "sketch"), "node")
-    ordered = rows.repartition(*group).sortWithinPartitions(*group).select(*group, "node", "component", "n", "sketch", "tokens")
+    ordered = rows.repartition(*group).sortWithinPartitions(*group).select(*group, "node", "component", "before", "n", "sketch", "tokens")
     return ordered.mapInPandas(_verifying(screen, percent), "a bigint, b bigint")
 
 
@@ -244,9 +256,25 @@ def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFram
         yield rows, np.array([0, len(rows)])
 
 
+def _met(before: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of rows have an earlier bucket in common."""
+    own, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    bucket, number = np.unique(np.concatenate([np.empty(0, np.int64), *[before[i] for i in own]]), return_inverse=True)
+    out = np.zeros(len(a), bool)
+    if not len(bucket):
+        return out
+    lengths = np.array([len(before[i]) for i in own])
+    ranks = np.full((len(own), int(lengths.max())), -1, np.int64)
+    ranks[np.arange(ranks.shape[1]) < lengths[:, None]] = number
+    left, right = ranks[place[: len(a)]], ranks[place[len(a):]]
+    for column_of in right.T:
+        out |= ((left == column_of[:, None]) & (left >= 0)).any(1)
+    return out
+
+
 def _candidates(rows: pd.DataFrame, starts: np.ndarray, screen: Screen, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of one group that have different components, may be linked, and belong to the group's bucket."""
-    sizes, components, buckets = rows["n"].to_numpy(), rows["component"].to_numpy(), rows["bucket"].to_numpy()
+    """Pairs of rows of one group that have different components, may be linked, and have not met in an earlier bucket."""
+    sizes, components, before = rows["n"].to_numpy(), rows["component"].to_numpy(), rows["before"].tolist()
     loaded = screen.load(rows["sketch"])
     lengths = np.diff(starts)
     number = np.repeat(np.arange(len(lengths)), lengths)
@@ -262,8 +290,8 @@ def _candidates(rows: pd.DataFrame, starts: np.ndarray, screen: Screen, percent:
                 near = screen.near(loaded, sizes, x, y)
                 x, y = x[near], y[near]
             if len(x):
-                own = screen.owner(loaded, x, y) == buckets[x]
-                out.append((x[own], y[own]))
+                new = ~_met(before, x, y)
+                out.append((x[new], y[new]))
 
     searched = large if screen.search else large[:0]
     by_tree = np.isin(number, searched)
@@ -284,7 +312,7 @@ def _screening(screen: Screen, percent: int) -> Callable:
         for rows, starts in _whole_groups(batches):
             a, b = _candidates(rows, starts, screen, percent)
             at = np.unique(np.concatenate([a, b]))
-            yield rows.iloc[at][["bucket", "block", "node", "component"]]
+            yield rows.iloc[at][["bucket", "block", "node", "component", "before"]]
 
     return run
 

@@ -29,8 +29,7 @@ MISS_PROBABILITY = 1e-6
 
 _PLACES = BANDS * BAND_PLACES
 #: Tokens hashed by all functions at a time.
-_TOKENS_AT_ONCE = 2_048
-_NO_BUCKET = np.iinfo(np.int64).max
+_TOKENS_AT_ONCE = 512
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -77,10 +76,8 @@ def least_agreements(places: int, percent: int, miss: float) -> int:
     return places
 
 
-class _Signatures:
-    def __init__(self, sketches: pd.Series):
-        self.rows = np.frombuffer(b"".join(sketches), np.uint16).reshape(-1, _PLACES)
-        self.keys = band_keys(self.rows)
+def _signatures(sketches: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint16).reshape(-1, _PLACES)
 
 
 def bayes_screen(percent: int, miss: float) -> Screen:
@@ -94,22 +91,18 @@ def bayes_screen(percent: int, miss: float) -> Screen:
         own = signature(tokens)
         return own.tobytes(), np.unique(band_keys(own[None, :])[0])
 
-    def near(loaded: _Signatures, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def near(rows: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         left = np.arange(len(a))
         agreed = np.zeros(len(a), np.int64)
         for first, last, least in looks:
-            agreed += (loaded.rows[a[left], first:last] == loaded.rows[b[left], first:last]).sum(1)
+            agreed += (rows[a[left], first:last] == rows[b[left], first:last]).sum(1)
             likely = agreed >= least
             left, agreed = left[likely], agreed[likely]
         out = np.zeros(len(a), bool)
         out[left] = True
         return out
 
-    def owner(loaded: _Signatures, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        first, second = loaded.keys[a], loaded.keys[b]
-        return np.where(first == second, first, _NO_BUCKET).min(1)
-
-    return Screen(sketch, _Signatures, near, owner)
+    return Screen(sketch, _signatures, near)
 
 
 def near_duplicate_groups(
