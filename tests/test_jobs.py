@@ -24,4 +24,4 @@ def test_entry_points(spark):
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert entry.entry(spark).columns == ["year", "F", "O", "P", "total", "sort_key"]
+    assert entry.entry(spark).columns == ["year", "F", "O", "P", "other", "missing", "total", "sort_key"]

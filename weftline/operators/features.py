@@ -36,6 +36,78 @@ def index_strings(df: DataFrame, columns: list[str] | None = None, keep: bool =
     return out.select(*kept, *[f"{c}_index" for c in columns])
 
 
+#: Indexes of labels that were not there when the index was learned.
+UNSEEN = ("keep", "null", "error")
+
+
+class LabelIndex:
+    """Label indexes learned once, for use on other rows.
+
+    ``labels`` has (column_name, label, label_index): per column, labels by falling
+    frequency in the rows learned from, ties alphabetical, from 0.0. NULL is no label and
+    stays NULL. A label that was not there gets, as ``unseen`` says, the number after the
+    last one ("keep"), NULL ("null"), or ends the job with an error ("error").
+    """
+
+    def __init__(self, labels: DataFrame, sizes: dict[str, int]):
+        self.labels, self.sizes = labels, sizes
+
+    @classmethod
+    def fit(cls, df: DataFrame, columns: list[str] | None = None) -> LabelIndex:
+        columns = text_columns(df) if columns is None else columns
+        parts = [
+            label_index(df, c).select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("label"), F.col(f"{c}_index").alias("label_index"))
+            for c in columns
+        ]
+        if not parts:
+            raise ValueError("no column to index")
+        labels = parts[0]
+        for part in parts[1:]:
+            labels = labels.unionByName(part)
+        return cls._counted(materialize(labels, "label-index"), columns)
+
+    @classmethod
+    def _counted(cls, labels: DataFrame, columns: list[str] | None = None) -> LabelIndex:
+        counts = {r["column_name"]: r["count"] for r in labels.groupBy("column_name").count().collect()}  # a line per column
+        return cls(labels, {c: counts.get(c, 0) for c in columns or counts})
+
+    def save(self, path: str) -> None:
+        """Write the index below ``path``, which must not exist."""
+        self.labels.write.partitionBy("column_name").parquet(f"{path}/labels")
+        spark = self.labels.sparkSession
+        spark.createDataFrame(list(self.sizes.items()), "column_name string, labels bigint").coalesce(1).write.parquet(f"{path}/columns")
+
+    @classmethod
+    def load(cls, spark, path: str) -> LabelIndex:
+        sizes = {r["column_name"]: r["labels"] for r in spark.read.parquet(f"{path}/columns").collect()}
+        schema = "label string, label_index double, column_name string"
+        empty = spark.createDataFrame([], schema)
+        labels = spark.read.schema(schema).parquet(f"{path}/labels") if any(sizes.values()) else empty
+        return cls(labels, sizes)
+
+    def transform(self, df: DataFrame, unseen: str = "keep", keep: bool = False) -> DataFrame:
+        """``df`` with ``<column>_index`` in place of each indexed column, or beside it."""
+        if unseen not in UNSEEN:
+            raise ValueError(f"unseen is one of {UNSEEN}, not {unseen!r}")
+        out = df
+        for column, size in self.sizes.items():
+            own = self.labels.where(F.col("column_name") == column).select(
+                F.col("label").alias("_label"), F.col("label_index").alias(f"{column}_index")
+            )
+            out = out.join(own, F.col(column).cast("string") == F.col("_label"), "left").drop("_label")
+            strange = F.col(column).isNotNull() & F.col(f"{column}_index").isNull()
+            if unseen == "keep":
+                found = F.when(strange, F.lit(float(size))).otherwise(F.col(f"{column}_index"))
+            elif unseen == "error":
+                message = F.concat(F.lit(f"label of {column} was not there when the index was learned: "), F.col(column).cast("string"))
+                found = F.when(strange, F.raise_error(message).cast("double")).otherwise(F.col(f"{column}_index"))
+            else:
+                found = F.col(f"{column}_index")
+            out = out.withColumn(f"{column}_index", found)
+        kept = df.columns if keep else [c for c in df.columns if c not in self.sizes]
+        return out.select(*kept, *[f"{c}_index" for c in self.sizes])
+
+
 # Escapes of the row text: no field holds a bare comma, and a field that is just the marker is told from NULL.
 _ESCAPES = (("\\", "\\\\"), ("\0", "\\0"), (",", "\\c"))
 

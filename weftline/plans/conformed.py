@@ -14,6 +14,7 @@ from weftline.plans.tables import table
 from weftline.sinks.csv import write_parts
 from weftline.sinks.table import create_table, load_table
 from weftline.sources.files import read_conformed, read_drift_report
+from weftline.sources.incremental import ledger, load_new, loaded_rows, rows_aside
 from weftline.sources.text import parse_timestamps
 from weftline.workspace import new_folder
 
@@ -127,6 +128,33 @@ def table_conform_csv(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def load_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Three loads over growing folders, one more cut off before its commit, and one that finds nothing new."""
+    root, location, contract = new_folder(spark, "raw-trips"), new_folder(spark, "trips"), trips()
+
+    def cut() -> None:
+        raise InterruptedError
+
+    for category, feed in _feeds(spark, folder).items():
+        feed.write.parquet(f"{root}/{category}")
+        if category == "green":
+            try:
+                load_new(spark, root, location, contract, before_commit=cut)
+            except InterruptedError:
+                pass
+        load_new(spark, root, location, contract)
+    if load_new(spark, root, location, contract) is not None:
+        raise AssertionError("files were loaded twice")
+    batches = ledger(spark, location).groupBy(F.col("category").alias("taxi_type")).agg(F.max("batch").alias("batch"))
+    loaded = loaded_rows(spark, location, contract).groupBy("taxi_type", "year").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("fare_amount").cast("double").alias("fares"),
+    )
+    rejected = rows_aside(spark, location, contract).where("NOT _loaded").groupBy("taxi_type", "year").agg(
+        F.count(F.lit(1)).alias("row_count"), F.lit(None).cast("double").alias("fares"),
+    )
+    return loaded.unionByName(rejected).join(batches, "taxi_type")
+
+
 def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
     root, loaded, aside, _ = load_trips(spark, folder)
     return reconcile({
@@ -266,6 +294,21 @@ JOBS = {
         FROM events GROUP BY 2
         """,
     ),
+    "load_incremental": (
+        load_incremental,
+        """
+        SELECT 'yellow' AS taxi_type, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS row_count,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(8,2))) AS DOUBLE) AS fares, 1 AS batch
+        FROM orders WHERE o_orderstatus <> 'P' GROUP BY 2
+        UNION ALL SELECT 'yellow', NULL, count(*), NULL, 1 FROM orders WHERE o_orderstatus = 'P'
+        UNION ALL
+        SELECT 'green', CAST(year(l_shipdate) AS INTEGER), count(*),
+               CAST(sum(CAST(l_extendedprice AS DECIMAL(8,2))) AS DOUBLE), 2 FROM lineitem GROUP BY 2
+        UNION ALL
+        SELECT 'fhvhv', CAST(year(ts) AS INTEGER), count(*), CAST(sum(CAST(value AS DECIMAL(8,2))) AS DOUBLE), 3
+        FROM events GROUP BY 2
+        """,
+    ),
     "reconcile_counts": (
         reconcile_counts,
         f"SELECT 'source' AS side, {_ALL_ROWS} AS row_count "

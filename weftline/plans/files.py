@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from weftline.functions.strings import ALPHANUMERIC, pad_number, random_text
 from weftline.operators.numbering import number_rows
 from weftline.plans.tables import table
+from weftline.sinks.clustering import compact_curve
 from weftline.sinks.csv import write_indexed, write_named_parts, write_parts
 from weftline.sinks.files import move_files, write_file_per_row
+from weftline.sinks.manifest import compact_small, read_current
 from weftline.sinks.table import compact
 from weftline.sources.files import file_name, list_files, parent_name
 from weftline.sources.text import read_csv
@@ -197,6 +199,40 @@ def compact_cluster(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _box_counts(rows: DataFrame) -> DataFrame:
+    """Rows and keys per flag, in all and in a box of each clustering column."""
+    late, dear = F.col("l_shipdate") >= F.lit("1999-01-01").cast("timestamp_ntz"), F.col("l_extendedprice") > 50_000
+    return rows.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("l_orderkey").alias("key_sum"),
+        F.count_if(late).alias("late_count"), F.count_if(dear).alias("dear_count"),
+    )
+
+
+_BOX_SQL = """
+    SELECT l_returnflag, count(*) AS row_count, CAST(sum(l_orderkey) AS BIGINT) AS key_sum,
+           count(*) FILTER (l_shipdate >= '1999-01-01') AS late_count, count(*) FILTER (l_extendedprice > 50000) AS dear_count
+    FROM lineitem GROUP BY 1"""
+
+
+def cluster_curve(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items clustered on ship date and price at once, per flag."""
+    source, target = new_folder(spark, "scattered"), new_folder(spark, "curve")
+    table(spark, folder, "lineitem").write.partitionBy("l_returnflag").parquet(source)
+    return _box_counts(compact_curve(spark, source, target, ["l_returnflag"], ["l_shipdate", "l_extendedprice"], file_bytes=1 << 20))
+
+
+def compact_small_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items in a few large and many small files, of which only the small ones are rewritten, twice over."""
+    location, items = new_folder(spark, "mixed-sizes"), table(spark, folder, "lineitem")
+    old = F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")
+    items.where(old).coalesce(2).write.partitionBy("l_returnflag").parquet(location)
+    rest = items.where(F.coalesce(~old, F.lit(True)))
+    rest.write.mode("append").option("maxRecordsPerFile", 2_000).partitionBy("l_returnflag").parquet(location)
+    for file_bytes in (1 << 19, 1 << 20):
+        compact_small(spark, location, ["l_returnflag"], items.schema, file_bytes)
+    return _box_counts(read_current(spark, location, items.schema))
+
+
 _ORDER_SQL = "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders"
 
 JOBS = {
@@ -259,6 +295,8 @@ JOBS = {
         files_move,
         "SELECT TRUE AS move_result, count(*) AS file_count, count(*) AS arrived_count FROM documents",
     ),
+    "cluster_curve": (cluster_curve, _BOX_SQL),
+    "compact_small_files": (compact_small_files, _BOX_SQL),
     "compact_cluster": (
         compact_cluster,
         "SELECT l_returnflag, l_linestatus, count(*) AS row_count, "

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.operators.features import (
-    compare_imputed, decode_array, encode_row, index_strings, label_index, null_flag_counts,
+    LabelIndex, compare_imputed, decode_array, encode_row, index_strings, label_index, null_flag_counts,
 )
 from weftline.operators.knn import hvdm_features, impute
 from weftline.operators.sampling import key_below, mask_column
 from weftline.plans.tables import table
+from weftline.workspace import new_folder
 
 _SHARE = 0.2
 _TEXT = ["c_custkey", "c_nationkey", "c_mktsegment"]
@@ -26,6 +27,16 @@ def string_index(spark: SparkSession, folder: str) -> DataFrame:
     return indexed.select("c_custkey", "c_nationkey", "c_mktsegment_index")
 
 
+def index_fitted(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers' nations and segments by an index learned from every second nation, saved and read again."""
+    customers = table(spark, folder, "customer").join(
+        table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey", "left"
+    ).select("c_custkey", "c_nationkey", "n_name", "c_mktsegment")
+    path = new_folder(spark, "learned-index")
+    LabelIndex.fit(customers.where(F.col("c_nationkey") % 2 == 0), ["n_name", "c_mktsegment"]).save(path)
+    return LabelIndex.load(spark, path).transform(customers.drop("c_nationkey"))
+
+
 def label_order(spark: SparkSession, folder: str) -> DataFrame:
     return label_index(table(spark, folder, "part"), "p_name")
 
@@ -165,7 +176,18 @@ _FILLED = (
     "FROM base LEFT JOIN found ON c_custkey = probe"
 )
 
+_INDEX_FITTED_SQL = """
+    WITH learned AS (SELECT c_mktsegment, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey % 2 = 0),
+    segments AS (SELECT c_mktsegment, row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1 AS place
+                 FROM learned WHERE c_mktsegment IS NOT NULL GROUP BY 1),
+    nations AS (SELECT n_name, row_number() OVER (ORDER BY count(*) DESC, n_name) - 1 AS place FROM learned WHERE n_name IS NOT NULL GROUP BY 1)
+    SELECT c_custkey,
+           CASE WHEN n_name IS NOT NULL THEN CAST(coalesce(n.place, (SELECT count(*) FROM nations)) AS DOUBLE) END AS n_name_index,
+           CASE WHEN c_mktsegment IS NOT NULL THEN CAST(coalesce(s.place, (SELECT count(*) FROM segments)) AS DOUBLE) END AS c_mktsegment_index
+    FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN nations n USING (n_name) LEFT JOIN segments s USING (c_mktsegment)"""
+
 JOBS = {
+    "index_fitted": (index_fitted, _INDEX_FITTED_SQL),
     "string_index": (
         string_index,
         f"WITH {_INDEX_SQL} SELECT c_custkey, c_nationkey, idx AS c_mktsegment_index "

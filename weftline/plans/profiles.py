@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.operators.profile import histogram, kernel_density, profile
+from weftline.operators.profile import density_curves, histogram, kernel_density, profile
 from weftline.operators.sampling import key_sample, key_sample_with_replacement, split_by_key
 from weftline.plans.tables import table
 from weftline.sinks.header import header_lines
@@ -13,6 +13,7 @@ from weftline.sinks.header import header_lines
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _BINS = 20
 _GRID = 21
+_CURVE_GRID = 41
 _BANDWIDTH = 2.0
 
 
@@ -41,6 +42,15 @@ def kernel_density_binned(spark: SparkSession, folder: str) -> DataFrame:
     return curve.select("point", F.round("grid_x", 2).alias("grid_x"), F.round("density", 10).alias("density"))
 
 
+def density_curves_job(spark: SparkSession, folder: str) -> DataFrame:
+    """Densities of all numeric columns of the line items, scaled to the columns' ranges."""
+    curves = density_curves(table(spark, folder, "lineitem"), grid_points=_CURVE_GRID)
+    span = F.max("grid_x").over(Window.partitionBy("column_name")) - F.min("grid_x").over(Window.partitionBy("column_name"))
+    return curves.select(
+        "column_name", "point", F.round("grid_x", 4).alias("grid_x"), F.round(F.col("density") * span, 6).alias("scaled_density")
+    )
+
+
 def dataset_header(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part").select("p_partkey", "p_name", "p_size")
     return header_lines(part, "part", "p_size")
@@ -90,7 +100,28 @@ def _histogram_sql(column: str) -> str:
     GROUP BY bin"""
 
 
+def _curve_sql(column: str) -> str:
+    last = _CURVE_GRID - 1
+    return f"""
+    SELECT '{column}' AS column_name, point, round(lo + point * step, 4) AS grid_x,
+           round(sum(weight * exp(-0.5 * pow((point - node) * step / h, 2))) * (hi - lo) / (n * h * sqrt(2 * pi())), 6) AS scaled_density
+    FROM (SELECT unnest([cell, cell + 1]) AS node, unnest([1 - (place - cell), place - cell]) AS weight, lo, hi, n, h, step
+          FROM (SELECT *, least(floor(place), {last - 1}) AS cell
+                FROM (SELECT least((CAST({column} AS DOUBLE) - lo) / ((hi - lo) / {last}), {last}) AS place, (hi - lo) / {last} AS step,
+                             lo, hi, n, std * pow(n, -0.2) AS h
+                      FROM lineitem, (SELECT CAST(min({column}) AS DOUBLE) AS lo, CAST(max({column}) AS DOUBLE) AS hi,
+                                             count({column}) AS n, stddev_samp(CAST({column} AS DOUBLE)) AS std FROM lineitem)))),
+         (SELECT CAST(unnest(range({_CURVE_GRID})) AS INTEGER) AS point)
+    GROUP BY point, lo, hi, n, h, step"""
+
+
 JOBS = {
+    "density_curves": (
+        density_curves_job,
+        "\nUNION ALL\n".join(
+            _curve_sql(c) for c in ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *_MEASURES]
+        ),
+    ),
     "profile_numeric": (
         profile_numeric,
         "\nUNION ALL\n".join(

@@ -105,15 +105,17 @@ def _csv_signature(path: str) -> str:
 _SIGNATURES = {"parquet": _parquet_signature, "csv": _csv_signature}
 
 
-def file_signatures(spark: SparkSession, root: str, kind: str, tasks: int | None = None) -> DataFrame:
-    """``(path, category, signature)`` per file: footers or header lines are read by the executors."""
+def file_signatures(
+    spark: SparkSession, root: str, kind: str, tasks: int | None = None, only: DataFrame | None = None
+) -> DataFrame:
+    """``(path, category, signature)`` per file, or of the files ``only``: footers or header lines are read by the executors."""
     signature = _SIGNATURES[kind]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield batch.assign(signature=[signature(p) for p in batch["path"]])
 
-    files = list_files(spark, root).where("length > 0").select("path", "category")
+    files = list_files(spark, root).where("length > 0").select("path", "category") if only is None else only
     spread = files.repartition(tasks or spark.sparkContext.defaultParallelism)
     return spread.mapInPandas(read, "path string, category string, signature string")
 
@@ -122,22 +124,24 @@ def file_signatures(spark: SparkSession, root: str, kind: str, tasks: int | None
 SCAN_PATHS = 10_000
 
 
-def schema_groups(spark: SparkSession, root: str, kind: str) -> list[tuple[str, str, list[str]]]:
+def schema_groups(
+    spark: SparkSession, root: str, kind: str, only: DataFrame | None = None
+) -> list[tuple[str, str, list[str]]]:
     """Scans that together cover all files: ``(signature, one of its files, paths to scan)``.
 
     Files are reduced to distinct (folder, schema) before anything reaches the driver. A
     folder of one schema is scanned as a whole; only where a folder mixes schemas are its
-    files named, in scans of bounded length.
+    files named, in scans of bounded length, as they are where ``only`` some are wanted.
     """
     files = materialize(
-        file_signatures(spark, root, kind).withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1)), "signatures"
+        file_signatures(spark, root, kind, only=only).withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1)), "signatures"
     )
     found = files.groupBy("folder", "signature").agg(F.min("path").alias("example"))
     found = found.withColumn("kinds", F.count(F.lit(1)).over(Window.partitionBy("folder"))).collect()
     scans: list[tuple[str, str, list[str]]] = []
     whole: dict[str, tuple[str, list[str]]] = {}
     for row in sorted(found, key=lambda r: (r["signature"], r["folder"])):
-        if row["kinds"] == 1:
+        if row["kinds"] == 1 and only is None:
             whole.setdefault(row["signature"], (row["example"], []))[1].append(row["folder"])
             continue
         named = files.where((F.col("folder") == row["folder"]) & (F.col("signature") == row["signature"])).select("path")
@@ -160,16 +164,17 @@ def _read_group(spark: SparkSession, kind: str, signature: str, example: str, pa
 
 
 def read_conformed(
-    spark: SparkSession, root: str, contract: Contract, kind: str = "parquet", category: str = "taxi_type"
+    spark: SparkSession, root: str, contract: Contract, kind: str = "parquet", category: str = "taxi_type",
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """Every file below ``root/<category>/`` in the contract's schema, as one plan.
+    """Every file below ``root/<category>/``, or those ``only`` (path, category), in the contract's schema, as one plan.
 
     One scan per distinct schema, not per file. The category is the parent folder's name.
     """
     path = F.col("_metadata.file_path")
     parts = [
         conform(_read_group(spark, kind, *group), contract, {"filename": path, category: parent_name(path)})
-        for group in schema_groups(spark, root, kind)
+        for group in schema_groups(spark, root, kind, only)
     ]
     if not parts:
         raise ValueError(f"no {kind} files below {root}")

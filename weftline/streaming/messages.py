@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weftline.functions.strings import keyed_json
 from weftline.operators.product import combination, product_size
+from weftline.workspace import exact_path
 
 # The sales dimensions; their product has 23,040 rows.
 SALES_DIMENSIONS = {
@@ -67,7 +68,7 @@ def sales_stream(spark: SparkSession, rows_per_second: float = BATCH_ROWS / BATC
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, name: str | None = None) -> DataFrame:
     """A stream over the Parquet files of ``folder``, or of ``name`` in it, be that a file or a folder of parts."""
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}*" if name else folder)
+    return spark.readStream.schema(schema).parquet(exact_path(f"{folder}/{name}") if name else folder)
 
 
 def kafka_options(servers: str, topic: str, jaas: str | None = None) -> dict[str, str]:

@@ -73,6 +73,12 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
         Storage(spark).remove(path)
 
 
+def exact_path(path: str) -> str:
+    """A pattern that only ``path`` itself matches, be it a file or a folder; streams take single files as patterns only."""
+    path = path.rstrip("/")
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage and survives executor loss."""
     spark = df.sparkSession
@@ -95,6 +101,7 @@ class Storage:
     """The few Hadoop ``FileSystem`` calls the sinks need, for any configured scheme."""
 
     def __init__(self, spark: SparkSession):
+        self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsc.hadoopConfiguration()
 
@@ -124,6 +131,15 @@ class Storage:
         if not fs.rename(src, dst):
             raise OSError(f"could not move {source} to {target}")
 
+    def publish(self, source: str, target: str) -> None:
+        """Move a finished folder to ``target`` in one step, or fail if that exists."""
+        fs, src = self._at(source)
+        dst = self._path(target)
+        fs.mkdirs(dst.getParent())
+        gateway, hadoop = self._gateway, self._jvm.org.apache.hadoop.fs
+        options = gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        hadoop.FileContext.getFileContext(fs.getUri(), self._conf).rename(fs.makeQualified(src), fs.makeQualified(dst), options)
+
     def remove(self, location: str) -> None:
         fs, path = self._at(location)
         fs.delete(path, True)
