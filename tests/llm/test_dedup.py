@@ -172,6 +172,18 @@ def test_state_knows_what_earlier_runs_saw(spark):
     assert seen == {2: 5, 1: 2, 0: 1}
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_neighbouring_tables_are_not_read(spark, files):
+    import shutil
+
+    path = stored(spark, COPIES, files)
+    shutil.copytree(path, f"{path}_old")
+    if files == 1:
+        path = f"{path}/0.parquet"
+        shutil.copy(path, f"{path}.bak.parquet")
+    assert sorted((tuple(r) for r in deduplicate(spark, path).collect()), key=str) == same_texts(COPIES)
+
+
 def test_equal_digests_of_unequal_texts_are_parted(spark, monkeypatch):
     monkeypatch.setattr(exact_dedup, "digest_of", lambda text: F.lit("same").substr(1, 4))
     got = deduplicate(spark, stored(spark, COPIES)).drop("text_sha256").collect()

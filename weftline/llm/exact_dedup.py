@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm.common import column, hint_small
-from weftline.workspace import materialize, new_folder
+from weftline.workspace import exact_path, materialize, new_folder
 
 #: State on disk; files are not allocated ahead, as that takes megabytes for each of many small stores.
 STATE_SETTINGS = {
@@ -63,7 +63,7 @@ def first_seen(
     reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes)
     if files_per_batch:
         reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-    updates = _located(reader.parquet(f"{path}*"), doc_id, text).groupBy("digest").agg(
+    updates = _located(reader.parquet(exact_path(path)), doc_id, text).groupBy("digest").agg(
         F.min("locator").alias("keep"), F.count(F.lit(1)).alias("group_size")
     )
 
