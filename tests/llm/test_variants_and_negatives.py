@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm import spelling
 from weftline.llm.shared_lists import centres_of, hard_negatives, inner_products
-from weftline.llm.spelling import CountTrie, group_variants, one_edit, spelling_variants, vectors
+from weftline.llm.spelling import CountTrie, group_variants, one_edit, one_edit_apart, spelling_variants
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -96,12 +96,15 @@ def test_no_documents_no_words(spark, make_docs):
 def test_trie_finds_exactly_the_words_one_edit_away():
     rng = random.Random(4)
     words = sorted({"".join(rng.choice("abcqé") for _ in range(rng.randint(5, 7))) for _ in range(700)})
-    trie, rows = CountTrie(words), vectors(words).tolist()
-    for word, row in list(zip(words, rows))[::17]:
-        want = {w for w in words if len(w) in (len(word), len(word) + 1) and edits(w, word) == 1}
-        assert {words[i] for i in trie.near(word, row)} == want
+    trie, probes = CountTrie(words), words[::7]
+    got = {(probes[i], trie.words[j]) for i, j in zip(*trie.near(probes))}
+    assert got == {(p, w) for p in probes for w in words if (len(p) < len(w) or (len(p) == len(w) and p < w)) and edits(p, w) == 1}
     for a, b in [("abc", "abc"), ("abc", "abcd"), ("abc", "xabc"), ("abc", "axc"), ("abc", "axcd"), ("ab", "abcd"), ("aab", "ab")]:
         assert one_edit(a, b) == (edits(a, b) == 1)
+    long = "x" * 80
+    pairs = [("abc", "abc"), ("abc", "abcd"), ("abc", "xabc"), ("abc", "axc"), ("abc", "adcb"), ("aab", "aaab"), (long, long + "y"), (long, "y" + long[1:]), (long, "yy" + long[1:])]
+    mask = one_edit_apart([a for a, _ in pairs], [b for _, b in pairs], np.arange(len(pairs)), np.arange(len(pairs)))
+    assert mask.tolist() == [edits(a, b) == 1 for a, b in pairs]
 
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, rank string, row string"

@@ -32,17 +32,25 @@ FACTOR = 2
 #: One of so many occurrences loses a letter, by a hash of document and word.
 DAMAGED = 97
 
-#: Letter groups: letters by their code modulo this, so each is a level of the trie.
+#: Letter groups, each a level of the trie: letters by their code modulo this, in an order that puts frequent ones first.
 LEVELS = 16
 #: Levels of a branch, and of a branch that is cut again.
-BRANCH_LEVELS, DEEP_LEVELS = 3, 7
+BRANCH_LEVELS, DEEP_LEVELS = 2, 5
 #: Words of a branch, and of a block of one.
-BRANCH_WORDS = 4_096
+BRANCH_WORDS = 16_384
+#: Words searched for at a time.
+PROBES_AT_ONCE = 4_096
+PAIRS_AT_ONCE = 100_000
+#: Letters up to which words are verified side by side; longer ones are one by one.
+LONG_LETTERS = 64
 
 # The letters of a word.
 LETTERS = r"[A-Za-zÀ-ÿ]+"
 # End of fixed values.
 
+_FIRST_LETTERS = [ord(c) % LEVELS for c in "eainrsto"]
+_LEVEL_ORDER = [*dict.fromkeys(_FIRST_LETTERS), *sorted(set(range(LEVELS)) - set(_FIRST_LETTERS))]
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -69,7 +77,7 @@ def vectors(words: list[str]) -> np.ndarray:
     letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
     owner = np.repeat(np.arange(len(words)), lengths)
     counts = np.bincount(owner * LEVELS + letters % LEVELS, minlength=len(words) * LEVELS).reshape(-1, LEVELS)
-    return np.column_stack([lengths, counts])
+    return np.column_stack([lengths, counts[:, _LEVEL_ORDER]])
 
 
 def _moves(levels: int) -> np.ndarray:
@@ -126,55 +134,117 @@ def one_edit(short: str, long: str) -> bool:
 
 
 class CountTrie:
-    """Words by length and letter-group counts; nodes are dicts by count, leaves lists of word numbers."""
+    """Words by length and letter-group counts.
+
+    Nodes of a level are numbers in the order of their path; a level is the sorted array
+    of (node above, count), so one search finds the child of many nodes at once.
+    """
 
     def __init__(self, words: list[str]):
-        self.words = words
-        self.rows = vectors(words) if words else np.empty((0, LEVELS + 1), np.int64)
-        self.top: dict = {}
-        for number, row in enumerate(self.rows.tolist()):
-            node = self.top
-            for level in row[:-1]:
-                node = node.setdefault(level, {})
-            node.setdefault(row[-1], []).append(number)
-
-    def near(self, word: str, row: list[int]) -> list[int]:
-        """Numbers of the words as long as ``word`` or longer by one that are one edit away."""
-        found: list[int] = []
-
-        def visit(node, level: int, surplus: int, deficit: int) -> None:
-            if level == len(row):
-                found.extend(n for n in node if one_edit(word, self.words[n]))
-                return
-            for change in (0, 1, -1):
-                below = node.get(row[level] + change)
-                if below is None:
-                    continue
-                if change == 1 and surplus:
-                    visit(below, level + 1, 0, deficit)
-                elif change == -1 and deficit:
-                    visit(below, level + 1, surplus, 0)
-                elif change == 0:
-                    visit(below, level + 1, surplus, deficit)
-
-        for longer in (0, 1):
-            node = self.top.get(row[0] + longer)
-            if node is not None:
-                visit(node, 1, 1, 1 - longer)
-        return found
+        rows = vectors(words)
+        order = np.lexsort(rows.T[::-1])
+        self.words, rows = [words[i] for i in order], rows[order]
+        self.base = int(rows.max(initial=0)) + 3
+        above = np.zeros(len(rows), np.int64)
+        new = np.zeros(len(rows), bool)
+        new[:1] = True
+        self.levels = []
+        for column_of in rows.T:
+            new[1:] |= column_of[1:] != column_of[:-1]
+            self.levels.append((above * self.base + column_of)[new])
+            above = np.cumsum(new) - 1
+        self.leaves = np.concatenate([np.flatnonzero(new), [len(rows)]])
+        self.lengths = rows[:, 0]
+        self.in_order = np.array(sorted(self.words), dtype=object)
+        self.ranks = np.searchsorted(self.in_order, np.array(self.words, dtype=object), "right")
+
+    def reached(self, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(probe, word) numbers for all leaves that a surplus and a deficit of one reach, words as long or longer by one."""
+        at = np.arange(len(probes))
+        state = [(at, np.zeros(len(probes), np.int64), np.ones(len(probes), bool), np.ones(len(probes), bool))]
+        for level, keys in enumerate(self.levels):
+            probe, node, surplus, deficit = (np.concatenate(x) for x in zip(*state))
+            state = []
+            for change in (0, 1, -1) if level else (0, 1):
+                fits = slice(None) if change == 0 or not level else surplus if change == 1 else deficit
+                own, below = probe[fits], node[fits]
+                key = below * self.base + probes[own, level] + change
+                place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                found = (keys[place] == key) & (probes[own, level] + change >= 0)
+                plus, minus = surplus[fits][found], deficit[fits][found]
+                if level and change:
+                    plus, minus = (np.zeros_like(plus), minus) if change == 1 else (plus, np.zeros_like(minus))
+                elif change:
+                    minus = np.zeros_like(minus)  # a longer word only adds
+                state.append((own[found], place[found], plus, minus))
+        probe, leaf = (np.concatenate(x) for x in list(zip(*state))[:2])
+        sizes = self.leaves[leaf + 1] - self.leaves[leaf]
+        first = np.repeat(self.leaves[leaf] - (np.cumsum(sizes) - sizes), sizes)
+        return np.repeat(probe, sizes), first + np.arange(len(first))
+
+    def near(self, probes: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(probe, word) numbers of all words one edit away that are longer by one, or as long and later in order."""
+        out: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        for low in range(0, len(probes), PROBES_AT_ONCE):
+            part = probes[low:low + PROBES_AT_ONCE]
+            asked, reached = self.reached(vectors(part))
+            ranks = np.searchsorted(self.in_order, np.array(part, dtype=object))
+            later = (np.array([len(w) for w in part], np.int64)[asked] < self.lengths[reached]) | (ranks[asked] < self.ranks[reached])
+            asked, reached = asked[later], reached[later]
+            for at in range(0, len(asked), PAIRS_AT_ONCE):
+                i, j = asked[at:at + PAIRS_AT_ONCE], reached[at:at + PAIRS_AT_ONCE]
+                near = one_edit_apart(part, self.words, i, j)
+                out.append((low + i[near], j[near]))
+        return np.concatenate([i for i, _ in out]), np.concatenate([j for _, j in out])
+
+
+def _letters(words: list[str], rows: np.ndarray, width: int) -> np.ndarray:
+    return np.array([words[i] for i in rows], dtype=f"U{width}").view(np.uint32).reshape(len(rows), width)
+
+
+def one_edit_apart(short: list[str], long: list[str], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of a word and one as long or longer by one are one edit apart: a mask over the pairs (i, j)."""
+    own, i = np.unique(i, return_inverse=True)
+    other, j = np.unique(j, return_inverse=True)
+    lengths = np.array([len(short[n]) for n in own], np.int64)[i]
+    longer = np.array([len(long[n]) for n in other], np.int64)[j] > lengths
+    out = np.zeros(len(i), bool)
+    if lengths.max(initial=0) > LONG_LETTERS:
+        for n in np.flatnonzero(lengths > LONG_LETTERS):
+            out[n] = one_edit(short[own[i[n]]], long[other[j[n]]])
+    fits = np.flatnonzero(lengths <= LONG_LETTERS)
+    if not len(fits):
+        return out
+    width = int(lengths[fits].max()) + 1
+    a = _letters([w[:width] for w in short], own, width)[i[fits]]
+    b = _letters([w[:width] for w in long], other, width)[j[fits]]
+    differ = a != b
+    replaced = ~longer[fits] & (differ.sum(1) == 1)
+    # One letter more: what the words share at the start and, moved by one, at the end covers the shorter word.
+    place = np.arange(width)
+    inside = place[None, :] < lengths[fits][:, None]
+    start = np.logical_and.accumulate(~differ & inside, axis=1).sum(1)
+    moved = np.zeros_like(differ)
+    moved[:, :-1] = a[:, :-1] == b[:, 1:]
+    end = np.logical_and.accumulate((moved | ~inside)[:, ::-1], axis=1).sum(1) - (width - lengths[fits])
+    out[fits] = replaced | (longer[fits] & (start + end >= lengths[fits]))
+    return out
 
 
 def _search(stored: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-    out = []
+    i = j = np.empty(0, np.int64)
+    words: list[str] = []
+    probes = list(asking["probe"])
     if len(stored) and len(asking):
-        trie, probes = CountTrie(list(stored["word"])), list(asking["probe"])
-        counts, stored_n, asking_n = vectors(probes).tolist(), stored["n"].to_numpy(), asking["probe_n"].to_numpy()
-        for i, (word, row) in enumerate(zip(probes, counts, strict=True)):
-            for j in trie.near(word, row):
-                # Words of equal length find each other; a longer one does not look for shorter ones.
-                if len(word) < len(trie.words[j]) or word < trie.words[j]:
-                    out.append((word, asking_n[i], trie.words[j], stored_n[j]))
-    return pd.DataFrame(out, columns=["a", "a_n", "b", "b_n"])
+        trie = CountTrie(list(stored["word"]))
+        i, j = trie.near(probes)
+        words = trie.words
+    count_of = dict(zip(stored["word"], stored["n"], strict=True))
+    found = [words[n] for n in j]
+    return pd.DataFrame({
+        "a": pd.Series([probes[n] for n in i], dtype=object), "a_n": asking["probe_n"].to_numpy()[i],
+        "b": pd.Series(found, dtype=object), "b_n": np.array([count_of[w] for w in found], np.int64),
+    })
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
