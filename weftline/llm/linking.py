@@ -137,7 +137,7 @@ def _grouped(docs, doc_id, text, width, percent, make_screen, block_rows, first_
     if first_round and not places.isEmpty():
         edges = found(_dealt_once(places, block_rows).withColumn("before", F.array().cast("array<bigint>")))
         labels = materialize(smallest_labels(edges, docs.sparkSession), "labels")
-    dealt = _dealt_in_full(places, labels, block_rows)
+    dealt = _dealt_in_full(places, labels, percent, block_rows)
     if not dealt.isEmpty():
         more = found(dealt)
         labels = materialize(smallest_labels(more if edges is None else edges.union(more), docs.sparkSession), "labels")
@@ -172,7 +172,7 @@ def _dealt_once(places: DataFrame, block_rows: int) -> DataFrame:
     return joined.select("bucket", F.explode(block).alias("block"), "node", F.col("node").alias("component"))
 
 
-def _dealt_in_full(places: DataFrame, labels: DataFrame | None, block_rows: int) -> DataFrame:
+def _dealt_in_full(places: DataFrame, labels: DataFrame | None, percent: int, block_rows: int) -> DataFrame:
     """All buckets that hold several components, so that any two rows of different ones meet in some block.
 
     A bucket that fits is one block. Else the rows of its largest component and the others
@@ -183,6 +183,12 @@ def _dealt_in_full(places: DataFrame, labels: DataFrame | None, block_rows: int)
         placed = places.withColumn("component", F.col("node"))
     else:
         placed = places.join(hint_small(labels, 48), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # Partners stand in the same or the next band of sizes; a row without any in its bucket need not be sent.
+    width = 1.0001 * float(np.log(100 / percent))
+    placed = placed.withColumn("band", F.floor(F.log("n") / width).cast("int"))
+    bands = placed.groupBy("bucket", "band").agg(F.count(F.lit(1)).alias("rows")).groupBy("bucket").agg(
+        F.map_from_entries(F.collect_list(F.struct("band", "rows"))).alias("bands")
+    )
     own_bits, other_bits = F.xxhash64("node"), F.xxhash64(F.lit(1), "node")
     per_component = placed.groupBy("bucket", "component").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens"), F.bit_xor(own_bits).alias("bits"), F.bit_xor(other_bits).alias("more_bits")
@@ -199,7 +205,9 @@ def _dealt_in_full(places: DataFrame, labels: DataFrame | None, block_rows: int)
         "bucket", F.col("most.component").alias("largest"), (_blocks("rows", "tokens", block_rows) == 1).alias("fits"),
         _blocks("most_rows", "most_tokens", block_rows).alias("parts"), _blocks("rest_rows", "rest_tokens", block_rows).alias("rests"),
     )
-    joined = placed.join(materialize(loads, "loads"), "bucket")
+    loads = materialize(loads.join(bands, "bucket"), "loads")
+    partners = sum((F.coalesce(F.try_element_at("bands", F.col("band") + step), F.lit(0)) for step in (-1, 0, 1)), F.lit(0))
+    joined = placed.join(loads, "bucket").where(partners > 1)
     firsts = joined.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("bucket")), 1, FIRST_BUCKETS).alias("firsts"))
     mine = F.pmod(F.xxhash64("node"), F.when(F.col("component") == F.col("largest"), F.col("parts")).otherwise(F.col("rests"))).cast("int")
     block = F.expr("""
