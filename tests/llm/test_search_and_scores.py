@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm.kmeans_tree import Tree, nearest
 from weftline.llm.licenses import TEMPLATES, scan_licenses, template_bigrams
-from weftline.llm.toxicity import Lexicon, allowed_edits, classify, held_out
+from weftline.llm.toxicity import Lexicon, allowed_edits, classify, held_out, quotations
 
 
 def vectors(spark, rows):
@@ -199,6 +199,25 @@ def test_long_quotations_are_paired_over_the_whole_text():
     assert {name for name, value in weighed.items() if value == full} == {"used", "between", "lone", "open", "stray"}
 
 
+def test_quotations_in_four_languages_and_stray_marks():
+    """Each text names by [ ] what its marks quote; the brackets are not part of it."""
+    for marked in (
+        "Er sagte [»du Idiot«] … du Idiot … [»Halt«]", "Il dit [«mon idiot»] … idiot … [« non »], puis", "Han sa [”din idiot”] och idiot och [”nej”].",
+        "She said [‘you idiot’], it's the dogs’ idiot [‘no’].", "[‹oui›] idiot [›nein‹]", "Sie rief [„du Idiot“], Idiot, [‚nein‘].",
+        "l’idiot n’est pas l’ami", "[“one ‘two’ three”] four", 'a 5" pipe, idiot, ["b"]', "no “end idiot\n\nidiot ”here", 'say ["a\n\n"b\n\n"c"] d',
+        'say "a\n\nb" c\n\nd ["e"]', "“open idiot", "idiot”", "", "»", '["a"]["b"]',
+    ):
+        text, spans, start = "", [], None
+        for letter in marked:
+            if letter == "[":
+                start = len(text)
+            elif letter == "]":
+                spans.append((start, len(text)))
+            else:
+                text += letter
+        assert quotations(text) == spans, marked
+
+
 def test_without_labels_of_both_kinds(spark, make_docs):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert [r.predicted for r in classify(make_docs([(1, "a"), (2, None)]), none).collect()] == [0, 0]

@@ -100,10 +100,13 @@ def pack(
     credit = weight * F.lit(window / max(all_tokens, 1))
     per_source = per_source.select("source", "queue_start", "queue_tokens", credit.alias("credit"))
 
-    quanta = per_source.select(
-        "source", "queue_tokens", "credit",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(queue_tokens - 1) div {quantum}"))).alias("quantum"),
-    )
+    # Quanta come from the documents in which they begin, so that as many tasks make them as hold documents.
+    small = per_source.select("source", "queue_start", "queue_tokens", "credit")
+    small = F.broadcast(small) if small.count() * 256 <= BROADCAST_BYTES else small
+    placed_docs = queues.join(small, "source").withColumn("at", F.col("at") - F.col("queue_start"))
+    first, behind = F.expr(f"(at + {quantum - 1}) div {quantum}"), F.expr(f"(at + tokens + {quantum - 1}) div {quantum}")
+    begun = F.when(behind > first, F.sequence(first, behind - 1))
+    quanta = placed_docs.select("source", "queue_tokens", "credit", F.explode(begun).alias("quantum"))
     ends = F.least((F.col("quantum") + 1) * quantum, F.col("queue_tokens"))
     quanta = quanta.select(
         "source", "quantum", (ends - F.col("quantum") * quantum).alias("size"), F.ceil(ends / F.col("credit")).alias("round")
@@ -111,10 +114,7 @@ def pack(
     placed = running_total(quanta, ["round", "source", "quantum"], "size", "position", "quanta")
 
     # A document's stretch of its queue, cut at the quanta.
-    small = per_source.select("source", "queue_start")
-    small = F.broadcast(small) if small.count() * 256 <= BROADCAST_BYTES else small
-    stretches = queues.join(small, "source").withColumn("at", F.col("at") - F.col("queue_start"))
-    stretches = stretches.withColumn("quantum", F.explode(F.sequence(
+    stretches = placed_docs.select("key", "source", "at", "tokens").withColumn("quantum", F.explode(F.sequence(
         F.expr(f"at div {quantum}"), F.expr(f"(at + tokens - 1) div {quantum}")
     )))
     cuts = stretches.join(placed.select("source", "quantum", "position"), ["source", "quantum"])

@@ -39,8 +39,13 @@ _STATES = 100_000
 #: Trie nodes in all states together, 4 bytes each.
 _STATE_NODES = 10_000_000
 _words = re.compile(r"[^\W_]+").findall
-_quotes = re.compile(r"[\"“”„«»]")
-_before_opening = re.compile(r"[\s(\[{<\-–—/“„«]").match
+_quotes = re.compile(r"[\"“”„‘’‚«»‹›]")
+_before_opening = re.compile(r"[\s(\[{<\-–—/“„‘‚«»‹›]").match
+_blank_line = re.compile(r"\n[^\S\n]*\n\s*")
+#: Marks that are paired with one another, and the marks that open by their shape.
+_FAMILY = {mark: family for family in ("\"", "“”„", "‘’‚", "«»", "‹›") for mark in family}
+_OPENING, _ALWAYS_OPENING = frozenset("“„‘‚«‹"), frozenset("„‚")
+_STOPS = frozenset(".,;:!?…)]}")
 
 
 def allowed_edits(term: str) -> int:
@@ -48,43 +53,60 @@ def allowed_edits(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
-def _starts_paragraph(text: str, at: int) -> bool:
-    start = at
-    while start and text[start - 1].isspace():
-        start -= 1
-    return text.count("\n", start, at) > 1
+def _opens(mark: str, before: str, after: str, opener: str | None) -> bool:
+    """Whether a mark opens a quotation, by what stands around it and the mark of its family that waits for its end."""
+    if mark in _ALWAYS_OPENING:
+        return True
+    may_open = bool(_before_opening(before)) and not after.isspace() and after not in _STOPS
+    may_close = not before.isspace() and not after.isalnum()
+    if opener in _ALWAYS_OPENING or mark == "”" and opener == "“" or mark == "’" and opener == "‘":
+        return may_open and not may_close and mark in _OPENING
+    if may_open != may_close:
+        return may_open
+    # Blanks or words on both sides: by shape, unless the quotation was opened by the other shape.
+    return opener is None if mark == "\"" else mark in _OPENING and opener not in ("»", "›")
+
+
+def _is_apostrophe(mark: str, before: str, after: str, opener: str | None) -> bool:
+    return mark in "‘’" and (before.isalnum() and after.isalnum() or mark == "’" and opener is None and before.isalnum())
 
 
 def quotations(text: str) -> list[tuple[int, int]]:
     """(start, end) of the outermost quotations, of any length, in one pass over the whole text.
 
-    Each kind of mark is paired by itself; a mark without a partner quotes nothing. A
-    straight mark opens after a blank and before a word, closes after a word and before a
-    blank, and otherwise does what it can. A mark that opens a new paragraph inside a
-    quotation of its kind goes on with it, as long quotations are written.
+    Marks of a family are paired: straight, “ ” „, ‘ ’ ‚, « » and ‹ ›; a mark without a
+    partner quotes nothing. A mark opens after a blank and before a word and closes after a
+    word and before a blank, whatever its shape, so »so«, «so», ”so” and „so“ are all read;
+    where that decides nothing its shape does, and a straight mark does what it can. A
+    quotation that is open at a blank line ends there unquoted, unless the next paragraph
+    begins with a mark of its family, as long quotations are written.
     """
-    open_at: dict[str, list[int]] = {kind: [] for kind in "\"“„«"}
+    open_at: dict[str, list[tuple[int, str]]] = {family: [] for family in _FAMILY.values()}
     pairs: list[tuple[int, int]] = []
+    breaks = [(match.start(), match.end()) for match in _blank_line.finditer(text)]
+    passed = 0
     for match in _quotes.finditer(text):
         mark, at = match[0], match.start()
-        kind, opens = mark, mark in "“„«"
+        family, goes_on = _FAMILY[mark], False
+        while passed < len(breaks) and breaks[passed][0] < at:
+            first = breaks[passed][1]
+            begins = _FAMILY.get(text[first:first + 1])
+            for other, left in open_at.items():
+                if other != begins:
+                    left.clear()
+            goes_on = first == at and bool(open_at[family])
+            passed += 1
+        if goes_on:
+            continue
+        waiting = open_at[family]
         before, after = text[max(0, at - 1):at] or " ", text[at + 1:at + 2] or " "
-        may_open = bool(_before_opening(before)) and not after.isspace()
-        may_close = not before.isspace() and not after.isalnum()
-        if mark == '"':
-            opens = may_open if may_open != may_close else not open_at[mark]
-        elif mark == "“" and open_at["„"] and (may_close or not may_open):
-            kind, opens = "„", False
-        elif mark == "”":
-            kind = max("“„", key=lambda k: open_at[k][-1:])
-        elif mark == "»":
-            kind = "«"
-        waiting = open_at[kind]
-        if not opens:
-            if waiting:
-                pairs.append((waiting.pop(), at + 1))
-        elif not (waiting and _starts_paragraph(text, at)):
-            waiting.append(at)
+        opener = waiting[-1][1] if waiting else None
+        if _is_apostrophe(mark, before, after, opener):
+            continue
+        if _opens(mark, before, after, opener):
+            waiting.append((at, mark))
+        elif waiting:
+            pairs.append((waiting.pop()[0], at + 1))
     outer: list[tuple[int, int]] = []
     for start, end in sorted(pairs):
         if outer and start < outer[-1][1]:
