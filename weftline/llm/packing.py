@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import BROADCAST_BYTES, column, running_total
+from weftline.llm.linking import small_batches
 from weftline.llm.pair_index import encoded_chunks
 from weftline.workspace import materialize
 
@@ -80,7 +81,8 @@ def pack(
     keys of their own. An empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
-    encoded = materialize(_encoded(docs, path, end_id, doc_id, text, source), "encoded")
+    with small_batches(spark):
+        encoded = materialize(_encoded(docs, path, end_id, doc_id, text, source), "encoded")
     queues = running_total(encoded.select("key", "source", "tokens"), ["source", "key"], "tokens", "at", "queues")
     queues = materialize(queues, "queued")
     per_source = materialize(

@@ -26,7 +26,7 @@ from weftline.llm.vocabulary import Vocabulary, between_added, split_words, voca
 NO_RANK = np.int32(1 << 30)
 
 #: Bytes of text whose words are merged together.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def pair_ranks(left: np.ndarray, right: np.ndarray, vocab: Vocabulary) -> np.ndarray:

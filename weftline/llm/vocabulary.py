@@ -21,7 +21,7 @@ SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+
 _pattern = regex.compile(SPLIT_PATTERN)
 
 #: Entries a memo table may hold before it starts anew; frequent words refill it at once.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 
 
 def _byte_characters() -> dict[str, int]:
