@@ -45,7 +45,7 @@ PAIRS_AT_ONCE = 100_000
 LONG_LETTERS = 64
 
 # The letters of a word.
-LETTERS = r"[A-Za-zÀ-ÿ]+"
+LETTERS = "[A-Za-zÀ-ÿ]"
 # End of fixed values.
 
 _FIRST_LETTERS = [ord(c) % LEVELS for c in "eainrsto"]
@@ -64,11 +64,12 @@ def damaged(word: Column, doc_id: Column) -> Column:
 
 def count_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(word, n): distinct words of at least five letters that occur at least three times in all."""
-    runs = F.regexp_extract_all(column(text), F.lit(LETTERS), F.lit(0))
+    runs = F.regexp_extract_all(F.translate(column(text), _UPPER, _LOWER), F.lit(f"{LETTERS}{{{LEAST_LETTERS},}}"), F.lit(0))
     words = docs.select(column(doc_id).alias("doc_id"), F.explode(runs).alias("run"))
-    word = damaged(F.translate("run", _UPPER, _LOWER), F.col("doc_id"))
-    long_enough = words.where(F.length("run") >= LEAST_LETTERS).select(word.alias("word")).where(F.length("word") >= LEAST_LETTERS)
-    return long_enough.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_COUNT)
+    words = words.select(damaged(F.col("run"), F.col("doc_id")).alias("word"))
+    # The length is an aggregate, as a filter on the word would be pushed down and hash every occurrence again.
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.min(F.length("word")).alias("letters"))
+    return counted.where((F.col("n") >= LEAST_COUNT) & (F.col("letters") >= LEAST_LETTERS)).select("word", "n")
 
 
 def vectors(words: list[str]) -> np.ndarray:
