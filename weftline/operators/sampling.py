@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Mean number of copies per row up to which the law is written out, one comparison per number of copies.
+LARGEST_MEAN = 100
 _HASH_DIGITS = 8
 
 
@@ -23,19 +25,22 @@ def key_sample(df: DataFrame, key: Column, fraction: float, salt: str = "") -> D
 
 
 def key_sample_with_replacement(
-    df: DataFrame, key: Column, fraction: float, copy: str = "copy", salt: str = "", draws: int = 12
+    df: DataFrame, key: Column, fraction: float, copy: str = "copy", salt: str = ""
 ) -> DataFrame:
     """A repeatable sample in which a row may come several times, numbered from 1 in ``copy``.
 
     The number of copies of a row follows a Poisson law with mean ``fraction``, as drawing
     with replacement from many rows does; it is read from the MD5 of the key against the
-    law's cumulative shares, of which ``draws`` are told apart.
+    law's cumulative shares, up to a rest of less than 2^-32 of the rows. Means of more than
+    ``LARGEST_MEAN`` are refused.
     """
+    if not 0 <= fraction <= LARGEST_MEAN:
+        raise ValueError(f"the mean number of copies must be from 0 to {LARGEST_MEAN}")
     share, below, bounds = math.exp(-fraction), 0.0, []
-    for n in range(draws):
+    while below < 1 - 2**-32:
         below += share
         bounds.append(below)
-        share *= fraction / (n + 1)
+        share *= fraction / len(bounds)
     copies = sum((~key_below(key, bound, salt)).cast("int") for bound in bounds)
     drawn = df.withColumn(copy, F.explode(F.sequence(F.lit(0), F.coalesce(copies, F.lit(0)))))
     return drawn.where(F.col(copy) > 0)

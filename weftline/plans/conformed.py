@@ -10,13 +10,14 @@ from pyspark.sql import types as T
 
 from weftline.contracts import TRIP_COLUMNS, older_trips, trips
 from weftline.operators.crosstab import reconcile
+from weftline.operators.reconcile import differing_keys
 from weftline.plans.tables import table
 from weftline.sinks.csv import write_parts
 from weftline.sinks.table import create_table, load_table
 from weftline.sources.files import read_conformed, read_drift_report
 from weftline.sources.incremental import ledger, load_new, loaded_rows, rows_aside
 from weftline.sources.text import parse_timestamps
-from weftline.workspace import new_folder
+from weftline.workspace import materialize, new_folder
 
 _FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -164,6 +165,18 @@ def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
     })
 
 
+def reconcile_content(spark: SparkSession, folder: str) -> DataFrame:
+    """``orders`` against a copy that lost its first order, has its last one twice and other prices for one customer."""
+    orders = table(spark, folder, "orders")
+    ends = orders.agg(F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"), F.max("o_custkey").alias("customer"))
+    raised = F.when(F.col("o_custkey") == F.col("customer"), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    times = F.when(F.col("o_orderkey") == F.col("first"), 0).when(F.col("o_orderkey") == F.col("last"), 2).otherwise(1)
+    copied = orders.crossJoin(F.broadcast(ends)).withColumn("o_totalprice", raised)
+    copied = copied.withColumn("copy", F.explode(F.array_repeat(F.lit(1), times))).select(*orders.columns)
+    found = differing_keys(orders, materialize(copied, "copied-orders"), ["o_orderkey"])
+    return found.withColumn("differing_columns", F.array_join("differing_columns", ","))
+
+
 def load_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Counts observed while loading: rows and values that could not be converted."""
     *_, counts = load_trips(spark, folder)
@@ -314,6 +327,18 @@ JOBS = {
         f"SELECT 'source' AS side, {_ALL_ROWS} AS row_count "
         f"UNION ALL SELECT 'rejected', {_BAD_ROWS} UNION ALL SELECT 'loaded', {_ALL_ROWS} - {_BAD_ROWS}",
     ),
+    "reconcile_content": (
+        reconcile_content,
+        """
+        WITH ends AS (SELECT min(o_orderkey) AS f, max(o_orderkey) AS l, max(o_custkey) AS c FROM orders)
+        SELECT o_orderkey, count(*) AS left_rows,
+               count(*) * CASE WHEN o_orderkey = any_value(f) THEN 0 WHEN o_orderkey = any_value(l) THEN 2 ELSE 1 END AS right_rows,
+               CASE WHEN o_orderkey <> any_value(f) AND o_orderkey <> any_value(l) THEN 'o_totalprice' END AS differing_columns
+        FROM orders, ends GROUP BY o_orderkey
+        HAVING o_orderkey = any_value(f) OR o_orderkey = any_value(l)
+            OR count(*) FILTER (o_custkey = c AND o_totalprice IS NOT NULL) > 0
+        """,
+    ),
     "load_counts": (
         load_counts,
         f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -16,43 +17,52 @@ from weftline.workspace import materialize
 
 
 _LISTED = "path string, length bigint, modificationTime timestamp"
+#: Folders that one task lists in a round.
+FOLDERS_PER_TASK = 1_000
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """All files below ``root`` as rows; contents are never read.
 
-    The entries of ``root`` are taken as they are; folders among them are listed by the
-    tasks, each with all that lies below it. Names that start with "." or "_" are left out,
-    as in Spark's own listings.
+    Folders are listed level by level: the tasks of a round list one folder at a time, each
+    without what lies below it, and the folders they find are dealt out anew for the next
+    round. So one deep or wide folder does not become one task. The driver sees only the
+    number of folders per round. Names that start with "." or "_" are left out, as in
+    Spark's own listings.
     """
     base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     base = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(base).toString()
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow.fs import FileSelector, FileType
-
-        for batch in batches:
-            for folder, deep in zip(batch["folder"], batch["deep"]):
-                store, inner = open_store(folder)
-                rows = []
-                for entry in store.get_file_info(FileSelector(inner, recursive=bool(deep))):
-                    below = entry.path[len(inner):].lstrip("/")
-                    if any(part[:1] in "._" for part in below.split("/")):
-                        continue
-                    if entry.type == FileType.File or not deep:
-                        is_folder = entry.type != FileType.File
-                        rows.append((f"{folder}/{below}", -1 if is_folder else entry.size, entry.mtime))
-                yield pd.DataFrame(rows, columns=["path", "length", "modificationTime"])
-
-    start = spark.createDataFrame([(base, False)], "folder string, deep boolean")
-    top = materialize(start.mapInPandas(walk, _LISTED), "listed")
-    folders = top.where("length < 0").select(F.col("path").alias("folder"), F.lit(True).alias("deep"))
-    below = folders.repartition(spark.sparkContext.defaultParallelism, "folder").mapInPandas(walk, _LISTED)
-    return top.where("length >= 0").unionByName(below).select(
+    frontier, rounds = spark.createDataFrame([(base,)], "folder string"), []
+    while True:
+        listed = materialize(frontier.mapInPandas(_list_level, _LISTED), "listed")
+        rounds.append(listed.where("length >= 0"))
+        folders = listed.where("length < 0").select(F.col("path").alias("folder"))
+        found = folders.count()
+        if not found:
+            break
+        tasks = max(spark.sparkContext.defaultParallelism, math.ceil(found / FOLDERS_PER_TASK))
+        frontier = folders.repartition(tasks, "folder")
+    return reduce(DataFrame.unionByName, rounds).select(
         "path", parent_name(F.col("path")).alias("category"), file_name(F.col("path")).alias("name"), "length", "modificationTime"
     )
 
 
+def _list_level(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The entries of each folder; folders among them have a negative length."""
+    from pyarrow.fs import FileSelector, FileType
+
+    for batch in batches:
+        for folder in batch["folder"]:
+            store, inner = open_store(folder)
+            rows = []
+            for entry in store.get_file_info(FileSelector(inner)):
+                name = entry.path[len(inner):].lstrip("/")
+                if name[:1] not in ("", ".", "_"):
+                    length = entry.size if entry.type == FileType.File else -1
+                    rows.append((f"{folder.rstrip('/')}/{name}", length, entry.mtime))
+            yield pd.DataFrame(rows, columns=["path", "length", "modificationTime"])
+
+
 def parent_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -2)
 

@@ -1,8 +1,8 @@
 """Shared working folders and Hadoop file-system calls.
 
 Intermediate tables must be readable by every executor, so they go below
-``spark.checkpoint.dir``. Where that is unset they go below the warehouse, which driver
-and executors share as well; never into a machine's own temporary folder.
+``spark.checkpoint.dir``. Where that is unset they go below the warehouse, if that is a
+shared store or all runs on one machine; never into a machine's own temporary folder.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import atexit
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +20,16 @@ _scopes: list[set[str]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The folder all executors can reach.
+
+    On several machines a warehouse on the driver's own disk is not one, so that is an error.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = spark.conf.get("spark.sql.warehouse.dir")
+        scheme = urlsplit(configured).scheme
+        if scheme in ("", "file") and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return configured.rstrip("/")
 
 
