@@ -17,6 +17,9 @@ from weftline.sources.files import file_name, list_files, parent_name
 from weftline.sources.text import read_csv
 from weftline.workspace import Storage, materialize, new_folder
 
+#: Files of one folder, about: a folder is listed by one task.
+FILES_PER_FOLDER = 10_000
+
 _CUSTOMER = "c_custkey, c_name, c_nationkey, c_mktsegment"
 _PART_SCHEMA = (
     "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
@@ -131,13 +134,17 @@ def range_generate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def files_generate(spark: SparkSession, folder: str) -> DataFrame:
-    """One file per part: padded number and random letters as its name, random content of random length."""
+    """One file per part: padded number and random letters as its name, random content of random length.
+
+    Files lie in folders of ``FILES_PER_FOLDER``, so that listing them is no one task's work.
+    """
     root = new_folder(spark, "generated")
     numbers = spark.range(table(spark, folder, "part").count())
     suffix = random_text(F.lit(30), seed=3)
     length = (F.lit(250) + F.floor(F.rand(5) * 1_001)).cast("int")
+    folder_number = F.floor(F.col("id") / FILES_PER_FOLDER)
     named = numbers.select(
-        F.concat(F.lit(f"{root}/"), pad_number(F.col("id")), F.lit("_"), suffix).alias("path"),
+        F.concat(F.lit(f"{root}/"), folder_number.cast("string"), F.lit("/"), pad_number(F.col("id")), F.lit("_"), suffix).alias("path"),
         random_text(length, seed=4).alias("content"),
     )
     written = write_file_per_row(materialize(named, "to-write"), "path", "content")
@@ -152,9 +159,14 @@ def files_generate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _document_files(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
-    root = new_folder(spark, "document-files")
-    named = table(spark, folder, "documents").select(
-        F.concat(F.lit(f"{root}/"), "lang", F.lit("/"), pad_number(F.col("doc_id")), F.lit(".txt")).alias("path"),
+    """One file per document in folders by language, of which there are as many as keep each of bounded size."""
+    root, documents = new_folder(spark, "document-files"), table(spark, folder, "documents")
+    folders = F.lit(1 + documents.count() // FILES_PER_FOLDER)
+    named = documents.select(
+        F.concat(
+            F.lit(f"{root}/"), F.pmod(F.xxhash64("doc_id"), folders).cast("string"), F.lit("/"),
+            "lang", F.lit("/"), pad_number(F.col("doc_id")), F.lit(".txt"),
+        ).alias("path"),
         "text",
     )
     return root, write_file_per_row(named, "path", "text")
@@ -176,7 +188,7 @@ def files_move(spark: SparkSession, folder: str) -> DataFrame:
     root, _ = _document_files(spark, folder)
     target = new_folder(spark, "moved-files")
     moves = list_files(spark, root).select(
-        "path", F.concat(F.lit(f"{target}/"), "category", F.lit("/"), "name").alias("destination")
+        "path", F.concat(F.lit(f"{target}/"), F.substring_index("path", "/", -3)).alias("destination")
     )
     results = move_files(moves).groupBy("move_result").agg(F.count(F.lit(1)).alias("file_count"))
     left = list_files(spark, target).agg(F.count(F.lit(1)).alias("arrived_count"))

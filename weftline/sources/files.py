@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import json
 import math
+import os
+import stat
 from collections.abc import Iterator
+from datetime import UTC, datetime
 from functools import reduce
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,6 +23,8 @@ from weftline.workspace import materialize
 _LISTED = "path string, length bigint, modificationTime timestamp"
 #: Folders that one task lists in a round.
 FOLDERS_PER_TASK = 1_000
+#: Entries of a folder that a task holds at a time.
+ENTRIES_AT_ONCE = 10_000
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -47,20 +53,35 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _list_level(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The entries of each folder; folders among them have a negative length."""
-    from pyarrow.fs import FileSelector, FileType
+def _entries(folder: str) -> Iterator[tuple[str, int, datetime]]:
+    """(name, length, time) of a folder's entries; folders have a negative length.
+
+    A disk is read entry by entry. Other stores have no such call in Arrow, and give the
+    folder's list as a whole.
+    """
+    from pyarrow.fs import FileSelector, FileType, LocalFileSystem
+
+    store, inner = open_store(folder)
+    if isinstance(store, LocalFileSystem):
+        with os.scandir(inner) as found:
+            for entry in found:
+                try:
+                    status = entry.stat()
+                except FileNotFoundError:  # it went meanwhile, or is a link to nothing
+                    continue
+                yield entry.name, -1 if stat.S_ISDIR(status.st_mode) else status.st_size, datetime.fromtimestamp(status.st_mtime_ns / 1e9, UTC)
+        return
+    for entry in store.get_file_info(FileSelector(inner)):
+        yield entry.path[len(inner):].lstrip("/"), entry.size if entry.type == FileType.File else -1, entry.mtime
 
+
+def _list_level(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The entries of each folder, some at a time; folders among them have a negative length."""
     for batch in batches:
         for folder in batch["folder"]:
-            store, inner = open_store(folder)
-            rows = []
-            for entry in store.get_file_info(FileSelector(inner)):
-                name = entry.path[len(inner):].lstrip("/")
-                if name[:1] not in ("", ".", "_"):
-                    length = entry.size if entry.type == FileType.File else -1
-                    rows.append((f"{folder.rstrip('/')}/{name}", length, entry.mtime))
-            yield pd.DataFrame(rows, columns=["path", "length", "modificationTime"])
+            shown = (e for e in _entries(folder) if e[0][:1] not in ("", ".", "_"))
+            while rows := [(f"{folder.rstrip('/')}/{name}", length, time) for name, length, time in islice(shown, ENTRIES_AT_ONCE)]:
+                yield pd.DataFrame(rows, columns=["path", "length", "modificationTime"])
 
 
 def parent_name(path: Column) -> Column:

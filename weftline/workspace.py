@@ -106,6 +106,32 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def batch_bytes(spark: SparkSession, most: int):
+    """Python tasks that start in the block are handed batches of about ``most`` bytes; one row at least."""
+    return _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
+def open_partitions(spark: SparkSession, most: int):
+    """Tasks that write partitioned files in the block keep up to ``most`` of them open at a time.
+
+    Up to that number rows go out as they come; without it each task first sorts all of its rows by partition.
+    """
+    return _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(most))
+
+
 class Storage:
     """The few Hadoop ``FileSystem`` calls the sinks need, for any configured scheme."""
 
