@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,37 +80,59 @@ def conform(df: DataFrame, contract: Contract, constants: dict[str, Column] | No
     constants = constants or {}
     kinds = {f.name: f.dataType for f in df.schema.fields}
     feeding = sources_by_target(df.columns, contract)
+    # Each value is converted once, in a projection of its own; all that follows refers to the outcome.
+    raw: dict[str, Column] = {}
+    tried: dict[tuple[str, str], Column] = {}
+    for target in contract.schema.fields:
+        if target.name in constants:
+            continue
+        for c in feeding.get(target.name, []):
+            raw[c] = F.col(f"__raw_{len(raw)}")
+            tried[target.name, c] = raw[c] if kinds[c] == target.dataType else F.col(f"__tried_{len(tried)}")
+    first = [quoted(c).alias(f"__raw_{i}") for i, c in enumerate(raw)]
+    wanted = {f.name: f.dataType for f in contract.schema.fields}
+    first += [
+        typed(quoted(c), kinds[c], wanted[name], contract.datetime_format).alias(f"__tried_{i}")
+        for i, (name, c) in enumerate(tried) if kinds[c] != wanted[name]
+    ]
+    first += [value.cast(wanted[name]).alias(f"__constant_{name}") for name, value in constants.items() if name in wanted]
+    read = df.select(*first) if first else df
     converted: dict[str, Column] = {}
     doubtful: list[Column] = []
     left_out: list[Column] = []
+    leaves: list[Column] = []
     entry = "struct<key: string, value: string>"
     for target in contract.schema.fields:
         if target.name in constants:
-            converted[target.name] = constants[target.name].cast(target.dataType)
+            converted[target.name] = F.col(f"__constant_{target.name}")
             continue
         inputs = feeding.get(target.name, [])
         if not inputs:
             converted[target.name] = F.lit(None).cast(target.dataType)
             continue
-        tries = [typed(quoted(c), kinds[c], target.dataType, contract.datetime_format) for c in inputs]
+        tries = [tried[target.name, c] for c in inputs]
         taken = F.coalesce(*tries) if len(tries) > 1 else tries[0]
         converted[target.name] = taken
-        for c, tried in zip(inputs, tries):
-            lost = quoted(c).isNotNull() & tried.isNull()
+        for c, value in zip(inputs, tries):
+            lost = raw[c].isNotNull() & value.isNull()
             if kinds[c] != target.dataType and not isinstance(target.dataType, T.StringType):
                 doubtful.append(F.when(lost, F.lit(target.name)))
             if kinds[c] != target.dataType or len(inputs) > 1:
-                differs = lost | (tried.isNotNull() & (tried != taken))
-                pair = F.struct(F.lit(c).alias("key"), quoted(c).cast("string").alias("value"))
+                # The first value that is there is the one taken, so it does not differ.
+                differs = lost | (value.isNotNull() & (value != taken)) if len(inputs) > 1 else lost
+                leaves.append(differs)
+                pair = F.struct(F.lit(c).alias("key"), raw[c].cast("string").alias("value"))
                 left_out.append(F.when(differs, pair).otherwise(F.lit(None).cast(entry)))
     if contract.year_of:
         year, stamp = contract.year_of
         converted[year] = F.year(converted[stamp]).cast(contract.schema[year].dataType)
     invalid = F.concat_ws(",", *doubtful) if doubtful else F.lit("")
-    entries = F.array_compact(F.array(*left_out)) if left_out else F.array().cast(f"array<{entry}>")
-    return df.select(
-        *[converted[f.name].alias(f.name) for f in contract.schema.fields],
-        invalid.alias(INVALID), F.map_from_entries(entries).alias(LEFT_OUT),
+    kept = F.map_from_entries(F.array().cast(f"array<{entry}>"))
+    if left_out:
+        # Most rows leave nothing out, and need no map made.
+        kept = F.when(reduce(or_, leaves), F.map_from_entries(F.array_compact(F.array(*left_out)))).otherwise(kept)
+    return read.select(
+        *[converted[f.name].alias(f.name) for f in contract.schema.fields], invalid.alias(INVALID), kept.alias(LEFT_OUT)
     )
 
 

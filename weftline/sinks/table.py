@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.operators.conform import INVALID, LEFT_OUT, Contract, complete, loadable, set_aside
-from weftline.workspace import Storage, materialize
+from weftline.workspace import Storage, materialize, open_partitions
+
+#: Partitions that a task writes to side by side; with more, the rest of its rows is sorted.
+OPEN_PARTITIONS = 32
 
 
 def create_table(spark: SparkSession, name: str, contract: Contract, location: str) -> None:
@@ -48,7 +51,8 @@ def load_table(conformed: DataFrame, name: str, contract: Contract, aside: str)
     )
     staged = materialize(watched, "conformed")
     order = conformed.sparkSession.table(name).columns
-    loadable(staged, contract).select(*order).write.insertInto(name, overwrite=False)
+    with open_partitions(conformed.sparkSession, OPEN_PARTITIONS):
+        loadable(staged, contract).select(*order).write.insertInto(name, overwrite=False)
     set_aside(staged, contract).write.parquet(aside)
     counts = seen.get
     if counts["source"] != counts["loaded"] + counts["rejected"]:

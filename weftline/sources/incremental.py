@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.operators.conform import INVALID, LEFT_OUT, Contract, complete
+from weftline.sinks.table import OPEN_PARTITIONS
 from weftline.sources.files import list_files, read_conformed
-from weftline.workspace import Storage, materialize, new_folder
+from weftline.workspace import Storage, materialize, new_folder, open_partitions
 
 LOADED = "_loaded"
 _LEDGER = "path string, category string, length bigint, modificationTime timestamp"
@@ -70,7 +71,8 @@ def load_new(
         seen, F.count(F.lit(1)).alias("source"), F.count_if(LOADED).alias("loaded"), F.count_if(~F.col(LOADED)).alias("rejected"),
         F.count_if(F.size(LEFT_OUT) > 0).alias("with_values_left_out"),
     )
-    watched.write.partitionBy(LOADED, *contract.partition_by).parquet(f"{staged}/kind=rows")
+    with open_partitions(spark, OPEN_PARTITIONS):
+        watched.write.partitionBy(LOADED, *contract.partition_by).parquet(f"{staged}/kind=rows")
     files.coalesce(1 + files.count() // 100_000).write.parquet(f"{staged}/kind=files")
     if before_commit:
         before_commit()
