@@ -12,10 +12,10 @@ from weftline.sinks.clustering import compact_curve
 from weftline.sinks.csv import write_indexed, write_named_parts, write_parts
 from weftline.sinks.files import move_files, write_file_per_row
 from weftline.sinks.manifest import compact_small, read_current
-from weftline.sinks.table import compact
+from weftline.sinks.table import OPEN_PARTITIONS, compact
 from weftline.sources.files import file_name, list_files, parent_name
 from weftline.sources.text import read_csv
-from weftline.workspace import Storage, materialize, new_folder
+from weftline.workspace import Storage, materialize, new_folder, open_partitions
 
 #: Files of one folder, about: a folder is listed by one task.
 FILES_PER_FOLDER = 10_000
@@ -233,13 +233,20 @@ def cluster_curve(spark: SparkSession, folder: str) -> DataFrame:
     return _box_counts(compact_curve(spark, source, target, ["l_returnflag"], ["l_shipdate", "l_extendedprice"], file_bytes=1 << 20))
 
 
+def _write_mixed_sizes(items: DataFrame, location: str) -> None:
+    """Older line items in one file per task and flag, the others in files of at most 2,000 rows."""
+    old = F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")
+    rest = items.where(F.coalesce(~old, F.lit(True)))
+    # As many tasks as the table has parts, and none sorts its rows: their memory does not grow with the table.
+    with open_partitions(items.sparkSession, OPEN_PARTITIONS):
+        items.where(old).write.partitionBy("l_returnflag").parquet(location)
+        rest.write.mode("append").option("maxRecordsPerFile", 2_000).partitionBy("l_returnflag").parquet(location)
+
+
 def compact_small_files(spark: SparkSession, folder: str) -> DataFrame:
     """Line items in a few large and many small files, of which only the small ones are rewritten, twice over."""
     location, items = new_folder(spark, "mixed-sizes"), table(spark, folder, "lineitem")
-    old = F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")
-    items.where(old).coalesce(2).write.partitionBy("l_returnflag").parquet(location)
-    rest = items.where(F.coalesce(~old, F.lit(True)))
-    rest.write.mode("append").option("maxRecordsPerFile", 2_000).partitionBy("l_returnflag").parquet(location)
+    _write_mixed_sizes(items, location)
     for file_bytes in (1 << 19, 1 << 20):
         compact_small(spark, location, ["l_returnflag"], items.schema, file_bytes)
     return _box_counts(read_current(spark, location, items.schema))
