@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from weftline.llm.common import column, free_name
 from weftline.llm.jaccard import jaccard_groups
 from weftline.llm.line_dedup import drop_boilerplate_lines
+from weftline.llm.linking import small_batches
 from weftline.llm.packing import pack
 from weftline.llm.queries import BYTE_BPE
 from weftline.llm.toxicity import THRESHOLD, learn, score_toxicity
@@ -30,7 +31,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     model = learn(docs, spark.read.parquet(f"{folder}/labels.parquet"))
     score = free_name(docs.columns, "score")
     scored = score_toxicity(docs, model, score=score, hits=free_name(docs.columns, "hits"))
-    return _docs_columns(scored.where(column(score) < THRESHOLD), docs)
+    with small_batches(spark):
+        return materialize(_docs_columns(scored.where(column(score) < THRESHOLD), docs), "calm")
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -61,7 +63,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     ), "placed-rows")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))
     kept = placed.groupBy("component", "same").agg(first.alias("first")).select("first.row")
-    gone = materialize(placed.select("row").join(kept, "row", "left_anti").withColumnRenamed("row", key), "gone")
+    gone = materialize(placed.select("row").join(kept, "row", "left_anti").withColumnRenamed("row", key), "gone", rows=keyed.count())
     return _docs_columns(keyed.join(gone, key, "left_anti"), docs)
 
 

@@ -17,7 +17,7 @@ from weftline.llm.jaccard import jaccard_groups
 from weftline.llm.line_dedup import drop_boilerplate_lines, host_of
 from weftline.llm.minhash import least_agreements, near_duplicate_groups
 from weftline.llm.sharding import assign_shards, longest_walk, permuted, shard_digest, sides
-from weftline.workspace import new_folder
+from weftline.workspace import ROWS_A_TASK, materialize, new_folder
 
 
 def similar_groups(rows, width, percent):
@@ -267,3 +267,11 @@ def test_shards_are_even_and_reproducible(spark, make_docs):
     assert shard_digest(docs.limit(0), 8).count() == 0
     wide = assign_shards(docs.select("doc_id", "n_chars", "shard"), ["doc_id", "n_chars"], 3)
     assert wide.columns == ["doc_id", "n_chars", "shard", "slot"] and wide.count() == len(rows)
+
+
+def test_tables_of_known_size_are_written_by_few_tasks(spark):
+    rows = spark.range(3_000).repartition(8, "id")
+    for given, tasks in ((None, 8), (0, 1), (3_000, 1), (ROWS_A_TASK + 1, 2), (100 * ROWS_A_TASK, 8)):
+        written = materialize(rows, "sized", rows=given)
+        assert len(written.inputFiles()) == tasks
+        assert sorted(r.id for r in written.collect()) == list(range(3_000))

@@ -1,7 +1,9 @@
 """Nearest neighbours, licenses and toxicity against brute force and held-out rows."""
 
+import gc
 import random
 import re
+import weakref
 
 import numpy as np
 import pytest
@@ -180,6 +182,20 @@ def test_labels_of_held_out_rows_do_not_matter(spark, make_docs):
     assert one == two
 
 
+def test_a_lexicon_goes_with_its_last_user():
+    gc.disable()  # each task has a lexicon of its own, and a process runs many tasks between two collections
+    try:
+        lexicon = Lexicon({"idiot": (3.0, 1.0)})
+        before = lexicon.features("you idiot and idiots")
+        lexicon.forget()
+        assert lexicon.features("you idiot and idiots") == before and before[3] == 2
+        left = weakref.ref(lexicon)
+        del lexicon
+        assert left() is None
+    finally:
+        gc.enable()
+
+
 def test_quoted_terms_weigh_less():
     lexicon = Lexicon({"idiot": (3.0, 1.0)})
     used, quoted = lexicon.features("you idiot go away now"), lexicon.features('you "idiot" go away now')

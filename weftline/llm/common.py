@@ -78,7 +78,8 @@ def smallest_labels(edges: DataFrame, spark: SparkSession) -> DataFrame:
     each shuffle, and each round is a written table, so neither lineage nor driver grow.
     """
     pairs = materialize(
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "edges"
+        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "edges",
+        rows=edges.count(),
     )
     print_of = _fingerprint(pairs)
     while True:
@@ -89,7 +90,7 @@ def smallest_labels(edges: DataFrame, spark: SparkSession) -> DataFrame:
         # Small step: a node and its neighbours below it go to the smallest of these.
         lows = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(lows, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b"))
-        pairs = materialize(small.where("a > b").distinct(), "small")
+        pairs = materialize(small.where("a > b").distinct(), "small", rows=2 * print_of[0])
         before, print_of = print_of, _fingerprint(pairs)
         if print_of == before:
             break

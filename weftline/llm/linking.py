@@ -121,7 +121,8 @@ def _grouped(docs, doc_id, text, width, percent, make_screen, block_rows, first_
     sketches = materialize(_sketches(read, width, screen).withColumn("key", F.monotonically_increasing_id()), "sketches")
     # Equal sets are one node from the start.
     nodes = materialize(
-        sketches.where("n > 0").groupBy("digest").agg(F.min("key").alias("node"), F.min("doc_id").alias("low_id")), "nodes"
+        sketches.where("n > 0").groupBy("digest").agg(F.min("key").alias("node"), F.min("doc_id").alias("low_id")), "nodes",
+        rows=sketches.count(),
     )
     heads = hint_small(nodes.select(F.col("node").alias("key")), 48)
     points = sketches.join(heads, "key").withColumnRenamed("key", "node")
@@ -130,17 +131,20 @@ def _grouped(docs, doc_id, text, width, percent, make_screen, block_rows, first_
     shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("bucket")
     places = materialize(places.join(shared, "bucket").select("node", "n", "bucket"), "places")
 
+    def labelled(edges: DataFrame) -> DataFrame:
+        return materialize(smallest_labels(edges, docs.sparkSession), "labels", rows=2 * edges.count())
+
     def found(dealt: DataFrame) -> DataFrame:
         return materialize(_links(dealt, points, read, width, percent, screen), "links")
 
     edges = labels = None
     if first_round and not places.isEmpty():
         edges = found(_dealt_once(places, block_rows).withColumn("before", F.array().cast("array<bigint>")))
-        labels = materialize(smallest_labels(edges, docs.sparkSession), "labels")
+        labels = labelled(edges)
     dealt = _dealt_in_full(places, labels, percent, block_rows)
     if not dealt.isEmpty():
         more = found(dealt)
-        labels = materialize(smallest_labels(more if edges is None else edges.union(more), docs.sparkSession), "labels")
+        labels = labelled(more if edges is None else edges.union(more))
 
     placed = nodes.select("digest", F.col("low_id").alias("component_id"))
     if labels is not None:
@@ -148,7 +152,7 @@ def _grouped(docs, doc_id, text, width, percent, make_screen, block_rows, first_
         lowest = joined.groupBy("component").agg(F.min("low_id").alias("component_id"))
         placed = joined.join(lowest, "component").select("digest", "component_id")
     # One row per distinct set, so copies meet it on one key: the small side is spread by hint or by skew handling.
-    placed = hint_small(materialize(placed, "placed"), 96)
+    placed = hint_small(materialize(placed, "placed", rows=nodes.count()), 96)
     return sketches.select("doc_id", "n", "digest").join(placed, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -161,7 +165,7 @@ def _blocks(rows: str, tokens: str, block_rows: int):
 
 def _dealt_once(places: DataFrame, block_rows: int) -> DataFrame:
     """Each node in one block of its smallest shared bucket, and the bucket's first node in all of them."""
-    first = materialize(places.groupBy("node").agg(F.min("bucket").alias("bucket"), F.first("n").alias("n")), "first")
+    first = materialize(places.groupBy("node").agg(F.min("bucket").alias("bucket"), F.first("n").alias("n")), "first", rows=places.count())
     loads = first.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens"), F.min("node").alias("lead")
     ).where("rows > 1").select("bucket", "lead", _blocks("rows", "tokens", block_rows).alias("blocks"))
@@ -205,7 +209,7 @@ def _dealt_in_full(places: DataFrame, labels: DataFrame | None, percent: int, bl
         "bucket", F.col("most.component").alias("largest"), (_blocks("rows", "tokens", block_rows) == 1).alias("fits"),
         _blocks("most_rows", "most_tokens", block_rows).alias("parts"), _blocks("rest_rows", "rest_tokens", block_rows).alias("rests"),
     )
-    loads = materialize(loads.join(bands, "bucket"), "loads")
+    loads = materialize(loads.join(bands, "bucket"), "loads", rows=places.count() // 2)
     partners = sum((F.coalesce(F.try_element_at("bands", F.col("band") + step), F.lit(0)) for step in (-1, 0, 1)), F.lit(0))
     joined = placed.join(loads, "bucket").where(partners > 1)
     firsts = joined.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("bucket")), 1, FIRST_BUCKETS).alias("firsts"))
@@ -231,7 +235,7 @@ def _links(dealt: DataFrame, points: DataFrame, read: DataFrame, width: int, per
     ), "kept")
 
     wanted = kept.select("node").distinct().join(points.select("node", "h1", "h2"), "node")
-    wanted = hint_small(materialize(wanted, "wanted"), 72)
+    wanted = hint_small(materialize(wanted, "wanted", rows=kept.count()), 72)
     texts = read.join(wanted, ["h1", "h2"]).select("node", "text").dropDuplicates(["node"])
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -129,9 +129,9 @@ def pack(
     # One list per document, as long as the document has quanta.
     plan = cuts.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "length", "position"))).alias("cuts"))
     plan = plan.select("key", *[F.col(f"cuts.{part}").alias(part) for part in ("start", "length", "position")])
-    return encoded.join(plan, "key").select("doc_id", "tokens", "source", "ids", "start", "length", "position").mapInPandas(
-        _pieces(window, all_tokens), _PIECE_FIELDS
-    )
+    cut = encoded.join(plan, "key").select("doc_id", "tokens", "source", "ids", "start", "length", "position")
+    with small_batches(spark):
+        return materialize(cut.mapInPandas(_pieces(window, all_tokens), _PIECE_FIELDS), "pieces")
 
 
 def _pieces(window: int, all_tokens: int):

@@ -249,6 +249,7 @@ def encoded_chunks(batches: Iterable[pa.RecordBatch], text: str, path: str) -> I
     coder = pair_index_coder(path)
     for part in row_chunks(batches, text):
         yield part, *coder.encode_all(part[text])
+    pa.default_memory_pool().release_unused()  # the process waits for other tasks, which may need none of it
 
 
 def encode_texts(docs: DataFrame, path: str, *, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -12,7 +12,9 @@ regression on window, density and sum gives the score.
 from __future__ import annotations
 
 import re
+import weakref
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import column, empty_as_text, free_name, hint_small
+from weftline.llm.linking import small_batches
 from weftline.llm.vocabulary import Memo
 from weftline.workspace import materialize
 
@@ -136,12 +139,17 @@ class Lexicon:
                 node = self._children[node][letter]
                 self._edits_below[node] = max(self._edits_below[node], allowed_edits(term))
             self._term_at[node] = term
-        self._reset()
-        self.weight_of = Memo(self._weight)
+        self.forget()
 
     def __reduce__(self):
         return Lexicon, (self.terms,)
 
+    def forget(self) -> None:
+        """Drop the states and weights worked out so far."""
+        self._reset()
+        # The table must not hold the lexicon that holds it: each task has its own, which has to go as the task ends.
+        self.weight_of = Memo(partial(Lexicon._weight, weakref.proxy(self)))
+
     def _reset(self) -> None:
         self._number: dict[bytes, int] = {}
         self._sets: list[bytes] = []
@@ -361,11 +369,16 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     labels of both kinds the lexicon is empty and every text has the share of toxic
     labels as its score (0 without any).
     """
+    with small_batches(docs.sparkSession):
+        return _learned(docs, labels, doc_id, text, toxic)
+
+
+def _learned(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, toxic: str) -> Model:
     known = labels.select(column(doc_id).alias("doc_id"), column(toxic).cast("int").alias("toxic")).where(
         F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     ).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = min(1.0, LABELLED_ROWS / max(known.count(), 1))
-    known = materialize(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) <= int(share * (1 << 20))), "labels")
+    known = materialize(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) <= int(share * (1 << 20))), "labels", rows=LABELLED_ROWS)
     rows = docs.select(column(doc_id).alias("doc_id"), column(text).alias("text")).where(F.col("text").isNotNull())
     rows = rows.join(hint_small(known, 16), "doc_id").select("text", "toxic").distinct()
     rows = materialize(rows.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int")), "labelled")
@@ -394,11 +407,17 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     other = {fold: lexicon([f for f in every if f != fold]) for fold in every}
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
         for batch in batches:
-            found = [other[fold].features(text)[:3] for text, fold in zip(batch["text"], batch["fold"], strict=True)]
+            found = []
+            for text, fold in zip(batch["text"], batch["fold"], strict=True):
+                if fold != last and last is not None:
+                    other[last].forget()  # rows are sorted by fold, so one lexicon at a time holds states
+                last = fold
+                found.append(other[fold].features(text)[:3])
             yield pd.DataFrame(found, columns=["x1", "x2", "x3"]).assign(toxic=batch["toxic"].to_numpy())
 
-    seen = rows.mapInPandas(measure, "x1 double, x2 double, x3 double, toxic int").toPandas()
+    seen = rows.sortWithinPartitions("fold").mapInPandas(measure, "x1 double, x2 double, x3 double, toxic int").toPandas()
     return Model(lexicon(every), _fitted(seen[["x1", "x2", "x3"]].to_numpy(), seen["toxic"].to_numpy(float)))
 
 
@@ -407,7 +426,8 @@ def score_toxicity(docs: DataFrame, model: Model, *, text: str = "text", score:
 
     Null and empty texts get the score of a text without hits. Every row is scored by
     itself, so repeated rows and ids stay; columns named like a new one are replaced; an
-    empty table stays empty. No shuffle; the model is bounded.
+    empty table stays empty. No shuffle; the model is bounded. Batches of texts are bounded if
+    the result is written within ``small_batches``.
     """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -427,6 +447,8 @@ def classify(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text
     """(doc_id, held_out, score, predicted, hits) of every row of ``docs``, learned from ``labels``."""
     model = learn(docs, labels, doc_id=doc_id, text=text)
     scored = score_toxicity(docs.select(column(doc_id).alias("doc_id"), column(text).alias("text")), model)
-    return scored.select(
+    out = scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "hits"
     )
+    with small_batches(docs.sparkSession):
+        return materialize(out, "scored")

@@ -15,6 +15,9 @@ from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows that one task writes of a table of which no more than a known number are expected.
+ROWS_A_TASK = 50_000
+
 _run_folders: dict[str, str] = {}
 _scopes: list[set[str]] = []
 
@@ -88,10 +91,16 @@ def exact_path(path: str) -> str:
     return f"{path[:-1]}[{path[-1]}]"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and read it back: cuts lineage and survives executor loss."""
+def materialize(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` once and read it back: cuts lineage and survives executor loss.
+
+    ``rows`` is about how many narrow rows it has at most. They are then written by as few tasks
+    as that takes, since on a local disk every file makes the executor start processes of its own.
+    """
     spark = df.sparkSession
     path = new_folder(spark, label)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_A_TASK)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
