@@ -11,9 +11,10 @@ from docs_fixture import make_docs  # noqa: F401
 from tokenizers import Tokenizer
 
 from weftline.llm.packing import pack, tail_lengths
-from weftline.llm.pair_index import decode_ids, encode_texts, pair_index_coder, round_trip_digests
+from weftline.llm.pair_index import decode_ids, encode_texts, pair_index_coder, pair_ranks, piece_words, round_trip_digests
 from weftline.llm.prefix_counts import count_tokens, prefix_table
 from weftline.llm.queries import BYTE_BPE
+from weftline.llm.vocabulary import NO_RANK, vocabulary
 
 ODD = [
     "", "a", "  a  b ", "\n\n x", "x \n y\t\tz", "don't we'll I'VE they're 'r're", "<|endoftext|>hi <|endoftext|>", "a<|endoftext|> b",
@@ -51,6 +52,27 @@ def test_ids_and_totals_equal_the_library(library, texts):
         at += count
 
 
+def test_each_word_is_merged_once():
+    pieces = [" word", " word,", " word.", " word!?", "word", "word,", " 1-word", " 2-word", " (word)", " ", "", " ü,"]
+    words, number, per_piece = piece_words(pa.array(pieces, pa.large_string()))
+    listed = words.to_pylist()
+    assert len(listed) == len(set(listed))  # " word" stands in several pieces
+    ends = np.cumsum(per_piece)
+    assert ["".join(listed[n] for n in number[end - size:end]) for end, size in zip(ends, per_piece, strict=True)] == pieces
+
+
+def test_pair_ranks_equal_the_merges():
+    vocab, random_ = vocabulary(BYTE_BPE), np.random.default_rng(5)
+    made = np.array(list(vocab.merges), np.int32)
+    some = random_.integers(-2, 1 << 16, (20_000, 2)).astype(np.int32)
+    left, right = np.concatenate([made, some, [[-1, -1], [0, 0], [65535, 65535]]]).astype(np.int32).T
+    want = [vocab.merges.get(pair, (NO_RANK, None))[0] for pair in zip(left.tolist(), right.tolist(), strict=True)]
+    assert pair_ranks(left, right, vocab).tolist() == want
+    of_bytes = vocab.byte_pair_ranks.reshape(256, 256)
+    for a, b in random_.integers(0, 256, (2000, 2)).tolist():
+        assert of_bytes[a, b] == vocab.merges.get((vocab.byte_ids[a], vocab.byte_ids[b]), (NO_RANK, None))[0]
+
+
 def test_every_prefix_has_its_count(library, texts):
     table = prefix_table(BYTE_BPE)
     for text in [t for t in texts if len(t) < 40][:250]:

@@ -21,9 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.vocabulary import Vocabulary, between_added, split_words, vocabulary
-
-NO_RANK = np.int32(1 << 30)
+from weftline.llm.vocabulary import NO_RANK, Vocabulary, between_added, split_words, vocabulary
 
 #: Bytes of text whose words are merged together.
 CHUNK_BYTES = 2 << 20
@@ -31,10 +29,7 @@ CHUNK_BYTES = 2 << 20
 
 def pair_ranks(left: np.ndarray, right: np.ndarray, vocab: Vocabulary) -> np.ndarray:
     """Rank of each pair, ``NO_RANK`` where it cannot merge; symbols below 0 never merge."""
-    keys = (left.astype(np.uint32) << np.uint32(16)) | right.astype(np.uint32)
-    at = np.searchsorted(vocab.pair_keys, keys)
-    at[at == len(vocab.pair_keys)] = 0
-    return np.where((vocab.pair_keys[at] == keys) & (right >= 0) & (left >= 0), vocab.pair_ranks[at], NO_RANK)
+    return vocab.pairs.ranks_of(left, right)
 
 
 def merge_words(raw: np.ndarray, lengths: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -50,10 +45,12 @@ def merge_words(raw: np.ndarray, lengths: np.ndarray, vocab: Vocabulary) -> tupl
     following = np.arange(1, len(symbols) + 1, dtype=np.int32)
     preceding = np.arange(-1, len(symbols) - 1, dtype=np.int32)
     rank = np.full(len(symbols) + 1, NO_RANK)  # the last entry stands for "outside"
-    if len(symbols) > 1:
-        rank[:-2] = pair_ranks(symbols[:-1], symbols[1:], vocab)
+    pairs = raw.astype(np.uint16) << np.uint16(8)
+    pairs[:-1] |= raw[1:]
+    rank[:-1][inside] = vocab.byte_pair_ranks[pairs]
+    rank[ends[lengths > 0] - 2] = NO_RANK  # a word's last byte has none to merge with
     word_of = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)
-    active = np.flatnonzero(rank < NO_RANK).astype(np.int32)
+    active = np.flatnonzero(rank < NO_RANK)
     while len(active):
         own, word = rank[active], word_of[active]
         first = np.flatnonzero(np.diff(word, prepend=-1))
@@ -77,6 +74,9 @@ def merge_words(raw: np.ndarray, lengths: np.ndarray, vocab: Vocabulary) -> tupl
         changed = np.concatenate([at, before[before >= 0]])
         rank[changed] = pair_ranks(symbols[changed], symbols[following[changed]], vocab)
         # A pair that could not merge may be able to now: its left symbol's entry joins the index.
+        if len(active) > len(rank) // 8:
+            active = np.flatnonzero(rank < NO_RANK)  # for a long index one look at all positions is less work
+            continue
         joined = np.concatenate([active, changed])
         joined = np.sort(joined[rank[joined] < NO_RANK], kind="stable")
         active = joined[np.diff(joined, prepend=-1) != 0]
@@ -97,7 +97,7 @@ def _after_space(pieces: pa.Array) -> pa.Array:
 
 
 def piece_words(pieces: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The words of pieces: (words, number of each piece's words in a row, how many each piece has)."""
+    """The distinct words of pieces: (words, number of each piece's words in a row, how many each piece has)."""
     # Letters are one word and letters before punctuation two; only other pieces need the split pattern.
     letters = pc.match_substring_regex(pieces, r"^ ?\p{L}+$")
     before = pc.extract_regex(pc.filter(pieces, pc.invert(letters)), r"^(?P<head> ?\p{L}+)(?P<tail>[!-/:-@\[-`{-~]+)$")
@@ -112,6 +112,7 @@ def piece_words(pieces: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     ]).dictionary_encode()
     simple = pc.filter(pieces, letters)
     words = pa.concat_arrays([array.cast(pa.large_string()) for array in (simple, heads, rest.dictionary)])
+    words = words.dictionary_encode()  # letters may also stand before punctuation
     coded = len(simple) + len(heads) + rest.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
     per_piece = np.ones(len(pieces), np.int64)
@@ -123,7 +124,7 @@ def piece_words(pieces: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     number[starts[paired]] = len(simple) + np.arange(len(heads))
     number[starts[paired] + 1] = coded[: len(heads)]
     number[_ranges(starts[other], per_piece[other])] = coded[len(heads):]
-    return words, number, per_piece
+    return words.dictionary, words.indices.to_numpy(zero_copy_only=False).astype(np.int64)[number], per_piece
 
 
 def raw_words(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -20,6 +20,11 @@ SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+
 
 _pattern = regex.compile(SPLIT_PATTERN)
 
+NO_RANK = np.int32(1 << 30)
+
+#: Slots of the table of pairs, as a power of two; at most a quarter of them are used.
+SLOT_BITS = 18
+
 #: Entries a memo table may hold before it starts anew; frequent words refill it at once.
 MEMO_ENTRIES = 150_000
 
@@ -81,6 +86,47 @@ def _byte_characters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
+class PairTable:
+    """Ranks of pairs of ids by a perfect hash: any pair is looked for in one slot only.
+
+    The upper bits of a pair's hash name its group, the lower ones a slot, which the group's
+    shift (found by trial, until no two pairs share a slot) moves. The hash is one to one,
+    so pairs of one group never meet.
+    """
+
+    def __init__(self, keys: np.ndarray, ranks: np.ndarray):
+        self._shifts = np.zeros(1 << (32 - SLOT_BITS), np.uint32)
+        self._keys = np.zeros(1 << SLOT_BITS, np.uint32)
+        self._ranks = np.full(1 << SLOT_BITS, NO_RANK)
+        group, low = self._hashed(keys)
+        random = np.random.default_rng(0)
+        taken, claim = np.zeros(1 << SLOT_BITS, bool), np.empty(1 << SLOT_BITS, group.dtype)
+        left = np.arange(len(keys))
+        while len(left):
+            tried = np.unique(group[left])
+            self._shifts[tried] = random.integers(1 << SLOT_BITS, size=len(tried))
+            slot = low[left] ^ self._shifts[group[left]]
+            claim[slot] = group[left]
+            met = np.zeros(len(self._shifts), bool)
+            met[group[left][taken[slot] | (claim[slot] != group[left])]] = True
+            fits = ~met[group[left]]
+            taken[slot[fits]] = True
+            self._keys[slot[fits]], self._ranks[slot[fits]] = keys[left[fits]], ranks[left[fits]]
+            left = left[~fits]
+
+    @staticmethod
+    def _hashed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hashed = keys * np.uint32(2654435769)
+        return hashed >> np.uint32(SLOT_BITS), hashed & np.uint32((1 << SLOT_BITS) - 1)
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, ``NO_RANK`` where it cannot merge; symbols below 0 never merge."""
+        keys = (left.astype(np.uint32) << np.uint32(16)) | right.astype(np.uint32)
+        group, low = self._hashed(keys)
+        slot = low ^ self._shifts[group]
+        return np.where((self._keys[slot] == keys) & ((left | right) >= 0), self._ranks[slot], NO_RANK)
+
+
 class Vocabulary:
     """Tokens by bytes, bytes by id, and the rank and result of every merge."""
 
@@ -107,9 +153,10 @@ class Vocabulary:
         if max(self.bytes_of) >= 1 << 16:
             raise ValueError("vocabularies of 65,536 or more tokens are not supported")
         keys = np.array([(left << 16) | right for left, right in self.merges], np.uint32)
-        order = np.argsort(keys)
-        self.pair_ranks = order.astype(np.int32)
-        self.pair_keys = keys[order]
+        self.pairs = PairTable(keys, np.arange(len(keys), dtype=np.int32))
+        # Of two bytes, by the first one times 256 plus the second.
+        left, right = np.divmod(np.arange(1 << 16), 256)
+        self.byte_pair_ranks = self.pairs.ranks_of(self.byte_table[left], self.byte_table[right])
 
 
 @lru_cache(maxsize=4)
