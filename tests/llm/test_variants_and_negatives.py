@@ -6,11 +6,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from docs_fixture import make_docs  # noqa: F401
 from pyspark.sql import functions as F
 
-from weftline.llm import spelling
+from weftline.llm import shared_lists, spelling
 from weftline.llm.shared_lists import centres_of, hard_negatives, inner_products
 from weftline.llm.spelling import CountTrie, group_variants, one_edit, one_edit_apart, spelling_variants
 
@@ -148,6 +149,39 @@ def test_negatives_equal_brute_force(spark):
     assert asked(frame, anchors_per_cluster=4, first_share=1 / 64, block_rows=200) == mined(rows)
 
 
+def test_an_anchor_walks_once_for_all_its_positives(spark, monkeypatch):
+    random_, walks, walk = np.random.default_rng(9), [], shared_lists.Lists.walk
+
+    def counted(self, asking, same_label, k):
+        walks.append(asking.count())
+        return walk(self, asking, same_label, k)
+
+    monkeypatch.setattr(shared_lists.Lists, "walk", counted)
+    monkeypatch.setattr(shared_lists, "ANCHOR_BLOCK", 2)  # several parts of anchors meet each block of rows
+    rows = [(i, [float(x) for x in 1 + random_.normal(size=6)], int(random_.integers(4)), "", "") for i in range(0, 1500, 4)]
+    want = mined(rows)
+    assert asked(spark.createDataFrame(rows, SCHEMA), anchors_per_cluster=5, first_share=1 / 16, block_rows=100) == want
+    assert len(want) > 100
+    assert walks == [15, 15]  # five positives each, but not a walk for each
+
+
+def test_a_block_keeps_each_range_apart():
+    random_ = np.random.default_rng(2)
+    vectors, anchors = random_.integers(-9, 9, (700, 4)), random_.integers(-9, 9, (600, 4))
+    rows = pd.DataFrame({"vec_id": np.arange(700) // 2, "label": random_.integers(3, size=700), "embedding": list(vectors)})
+    ranges = [(np.array([1, 4]), np.array([0, -50]), np.array([20, 60]))] * len(anchors)
+    asking = pd.DataFrame({"row": np.arange(600) + 7, "cluster": -5, "vec_id": np.arange(600), "label": 1, "embedding": list(anchors)})
+    asking["want"], asking["least"], asking["most"] = zip(*ranges, strict=True)
+    found = shared_lists._compared(lambda cluster, norms, units: np.arange(len(norms)), False, 3)(asking, rows)
+    want = set()
+    for n, anchor in enumerate(anchors):
+        scored = [(-int(s), int(i)) for s, i, k in zip(vectors @ anchor, rows["vec_id"], rows["label"], strict=True) if k != 1 and i != n]
+        for number, low, high in ((1, 0, 20), (4, -50, 60)):
+            want |= {(n + 7, number, i, -s, place) for place, (s, i) in enumerate(sorted(x for x in scored if low <= -x[0] <= high)[:3])}
+    found["place"] = found.groupby(["row", "want"]).cumcount()
+    assert {tuple(map(int, r)) for r in found[["row", "want", "vec_id", "score", "place"]].to_numpy()} == want
+
+
 def test_no_vectors_no_negatives(spark):
     assert asked(spark.createDataFrame([], SCHEMA)) == []
     assert asked(spark.createDataFrame([(0, [1.0], 1, "", ""), (3, [1.0], 1, "", "")], SCHEMA)) == []

@@ -6,21 +6,24 @@ no anchor at most r from that centre can have a larger inner product than
 sorted once by that bound, and every anchor of the cluster walks it from the top until
 what it has found is better than anything the rest of the list can give.
 
-Lists are walked in stretches, all clusters at once: a stretch of every list is dealt to
-blocks, compared with the anchors that are still walking, and the best of each block go
-on. Anchors that are certified finished take no part in the next stretch.
+Lists are walked in stretches, all clusters at once. Rows are dealt to blocks, which hold
+their part of every list: the anchors that are still walking go to the blocks, each cluster
+is compared there with the block's rows of its stretch, and the best of each block go on.
+So no row is copied for each cluster. An anchor walks once for all that it looks for (it
+has one range of scores for each positive); ranges that are certified finished take no part
+in the next stretch, and nothing below the best found so far is looked at again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import column, hint_small
+from weftline.llm.common import column
 from weftline.workspace import materialize, scratch
 
 #: Anchors that the centres are fitted on at most, chosen by a hash of their row, and per cluster.
@@ -34,12 +37,17 @@ SEED = 11
 
 #: Rows that the ends of stretches are taken from at most; they decide the speed only.
 SAMPLE_ROWS = 20_000
-#: Anchors of a block.
-ANCHOR_BLOCK = 512
+#: Anchors that go to a block of rows together, about, and of these at most so many are compared at once.
+ANCHOR_BLOCK = 8_192
+ANCHOR_CHUNK = 512
 
 #: Added to bounds so that rounding never makes one too small.
 _SLACK = 1e-9
 
+#: The range of all scores.
+_LOWEST, _HIGHEST = -(2**63), 2**63 - 1
+_WANTS = "array<struct<want int, least bigint, most bigint>>"
+
 
 def usable(vector: Column) -> Column:
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
@@ -116,10 +124,13 @@ class Clusters:
 
     def bounds(self, cluster: int, radius: float, rows: np.ndarray) -> np.ndarray:
         """Upper bounds of the inner products of rows with any anchor of the cluster, per unit of the anchor's norm."""
-        norms = _norms(rows)
+        return self.bounds_of(cluster, radius, _norms(rows), _units(rows))
+
+    def bounds_of(self, cluster: int, radius: float, norms: np.ndarray, units: np.ndarray) -> np.ndarray:
+        """``bounds`` of rows with these norms and directions."""
         if cluster < 0:
             return norms * (1 + _SLACK)
-        cosines = np.clip(_units(rows) @ self.centres[cluster], -1, 1)
+        cosines = np.clip(units @ self.centres[cluster], -1, 1)
         apart = np.maximum(0, np.arccos(cosines) - radius - 1e-7)
         return norms * (np.cos(np.minimum(apart, np.pi)) + _SLACK)
 
@@ -172,18 +183,21 @@ def _mined(
     asking = own.where("asks").select("vec_id", "label", "embedding").withColumn("row", F.monotonically_increasing_id())
     lists = Lists(materialize(asking, "asking"), rows, per_cluster, first_share, block_rows)
 
-    any_score = F.lit(None).cast("bigint")
-    best = lists.walk(lists.asking.withColumns({"least": any_score, "most": any_score}), True, positives)
+    whole_range = F.array(F.struct(F.lit(0).alias("want"), F.lit(_LOWEST).alias("least"), F.lit(_HIGHEST).alias("most")))
+    best = lists.walk(lists.asking.withColumn("wants", whole_range.cast(_WANTS)), True, positives)
     partners = best.select("row", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
     # The limits in whole numbers: least_percent * positive <= 100 * negative <= most_percent * positive.
     whole = F.col("positive_score").cast("decimal(25,0)")
     low, high = (F.ceil(whole * least_percent / 100).cast("bigint"), F.floor(whole * most_percent / 100).cast("bigint"))
-    wanted = lists.asking.join(partners, "row").withColumns({"least": low, "most": high}).where("least <= most")
-    wanted = materialize(wanted.withColumn("row", F.monotonically_increasing_id()), "wanted")
-    mined = lists.walk(wanted, False, negatives)
-    ranks = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
-    named = wanted.select("row", F.col("vec_id").alias("anchor_id"), "positive_id", "positive_score")
-    return mined.withColumn("rank", F.row_number().over(ranks)).join(named, "row").select(
+    partners = partners.withColumns({"least": low, "most": high}).where("least <= most")
+    wanted = partners.withColumn("want", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("positive_score"), "positive_id")))
+    wanted = materialize(wanted, "wanted")
+    wants = wanted.groupBy("row").agg(F.collect_list(F.struct("want", "least", "most")).cast(_WANTS).alias("wants"))
+    mined = lists.walk(materialize(lists.asking.join(wants, "row"), "wanting"), False, negatives)
+    ranks = Window.partitionBy("row", "want").orderBy(F.desc("score"), "vec_id")
+    named = wanted.join(lists.asking.select("row", F.col("vec_id").alias("anchor_id")), "row")
+    named = named.select("row", "want", "anchor_id", "positive_id", "positive_score")
+    return mined.withColumn("rank", F.row_number().over(ranks)).join(named, ["row", "want"]).select(
         "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("negative_id"),
         "positive_score", F.col("score").alias("negative_score"),
     )
@@ -243,74 +257,93 @@ class Lists:
             cuts[cluster] = [*inner, *[-np.inf] * (len(shares) - len(inner)), -np.inf]
         return cuts
 
-    def _stretch(self, number: int, clusters: list[int]) -> DataFrame:
-        """(cluster, vec_id, label, embedding): the rows of one stretch of the lists of some clusters."""
-        ends = {c: (self.cuts[c][number], np.inf if number == 0 else self.cuts[c][number - 1]) for c in clusters}
-        shape, radius = self.clusters, self.radius
-
-        def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for at, own in _by_length(batch["embedding"]):
-                    for c in (c for c in ends if shape.has(c, own.shape[1])):
-                        bound = shape.bounds(c, radius[c], own)
-                        here = at[(bound > ends[c][0]) & (bound <= ends[c][1])]
-                        if len(here):
-                            part = batch.iloc[here]
-                            yield pd.DataFrame({"cluster": c, "vec_id": part["vec_id"], "label": part["label"], "embedding": part["embedding"]})
-
-        return self.rows.mapInPandas(inside, "cluster bigint, vec_id bigint, label bigint, embedding array<bigint>")
-
     def walk(self, asking: DataFrame, same_label: bool, k: int) -> DataFrame:
-        """(row, vec_id, score): the k best rows of each of ``asking``, with scores from least to most where these are given."""
-        schema = "row bigint, vec_id bigint, score bigint"
+        """(row, want, vec_id, score): for each of the ``wants`` of a row of ``asking`` the k best rows with scores in its range."""
+        schema = "row bigint, want int, vec_id bigint, score bigint"
+        order = Window.partitionBy("row", "want").orderBy(F.desc("score"), "vec_id")
+        blocks = max(1, -(-self.count // self.block_rows))
+        dealt = self.rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "label", "embedding"), F.lit(blocks)))
         best = None
         stretches = max((len(c) for c in self.cuts.values()), default=0)
         for number in range(stretches):
-            loads = asking.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / ANCHOR_BLOCK).cast("int").alias("parts")).collect()
-            if not loads:
+            count = asking.count()
+            if not count:
                 break
-            blocks = max(1, -(-self.count // self.block_rows))
-            parts = F.create_map(*[F.lit(x) for r in loads for x in (r["cluster"], r["parts"])])
-            keys = ["cluster", "part", "block"]
-            left = asking.withColumn("part", F.pmod(F.xxhash64("row"), parts[F.col("cluster")])).withColumn(
-                "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-            right = self._stretch(number, [r["cluster"] for r in loads]).withColumn(
-                "block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).withColumn(
-                "part", F.explode(F.sequence(F.lit(0).cast("bigint"), (parts[F.col("cluster")] - 1).cast("bigint"))))
-            left = left.select(*keys, "row", "vec_id", "label", "embedding", "least", "most")
-            found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_compared(same_label, k), schema)
-            order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+            parts = -(-count // ANCHOR_BLOCK)
+            wants = [F.col(f"wants.{part}").alias(part) for part in ("want", "least", "most")]
+            left = asking.select("row", "cluster", "vec_id", "label", "embedding", *wants).withColumns({
+                "part": F.pmod(F.xxhash64("row"), F.lit(parts)), "block": _each(blocks),
+            })
+            right = dealt.withColumn("part", _each(parts))
+            search = _compared(self._stretch(number), same_label, k)
+            found = left.groupBy("part", "block").cogroup(right.groupBy("part", "block")).applyInPandas(search, schema)
             ranked = (found if best is None else best.union(found)).withColumn("place", F.row_number().over(order))
             best = materialize(ranked.where(F.col("place") <= k).drop("place"), "best")
             if number + 1 < stretches:
-                asking = materialize(self._open(asking, best, number, [r["cluster"] for r in loads], k), "open")
+                asking = materialize(self._open(asking, best, number, k), "open")
         return best if best is not None else asking.sparkSession.createDataFrame([], schema)
 
-    def _open(self, asking: DataFrame, best: DataFrame, number: int, clusters: list[int], k: int) -> DataFrame:
-        """Those of ``asking`` for which the rest of the list may still hold something better, or equal with a smaller id."""
-        ends = F.create_map(*[F.lit(x) for c in clusters for x in (c, float(self.cuts[c][number]))])
-        worst = best.groupBy("row").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("worst"))
+    def _stretch(self, number: int) -> Callable[[int, np.ndarray, np.ndarray], np.ndarray]:
+        """A function of a cluster and rows' norms and directions: places of the rows in this stretch of the cluster's list."""
+        ends = {c: (cuts[number], np.inf if number == 0 else cuts[number - 1]) for c, cuts in self.cuts.items()}
+        shape, radius = self.clusters, self.radius
+
+        def inside(cluster: int, norms: np.ndarray, units: np.ndarray) -> np.ndarray:
+            if not shape.has(cluster, units.shape[1]):
+                return np.empty(0, np.int64)
+            bound = shape.bounds_of(cluster, radius[cluster], norms, units)
+            return np.flatnonzero((bound > ends[cluster][0]) & (bound <= ends[cluster][1]))
+
+        return inside
+
+    def _open(self, asking: DataFrame, best: DataFrame, number: int, k: int) -> DataFrame:
+        """``asking`` with those wants for which the rest of the list may still hold something better, or equal with a smaller id."""
+        ends = F.create_map(*[F.lit(x) for c, cuts in self.cuts.items() for x in (c, float(cuts[number]))])
+        worst = best.groupBy("row", "want").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("worst")).where(F.col("found") >= k)
+        worst = worst.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("want", "worst"))).alias("worst"))
         rest = F.col("norm") * ends[F.col("cluster")]
-        certain = ((F.coalesce("found", F.lit(0)) >= k) & (F.col("worst") > rest)) | F.coalesce(F.col("least") > rest, F.lit(False))
+        # With k found, only what is no worse than these can still come in.
+        raised = F.transform("wants", lambda w: w.withField("least", F.greatest(w["least"], F.col("worst")[w["want"]])))
+        left = F.filter("wants", lambda w: ~(w["least"] > F.col("rest")) & (w["least"] <= w["most"]))
         ended = ends[F.col("cluster")] == float("-inf")
-        return asking.join(worst, "row", "left").where(~F.coalesce(certain, F.lit(False)) & ~ended).select(*asking.columns)
+        going = asking.join(worst, "row", "left").where(~ended).withColumn("wants", raised).withColumn("rest", rest)
+        return going.withColumn("wants", left).where(F.size("wants") > 0).select(*asking.columns)
+
 
+def _each(count: int) -> Column:
+    """Every number below ``count``, a row each."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint")))
 
-def _compared(same_label: bool, k: int):
+
+def _compared(inside: Callable[[int, np.ndarray, np.ndarray], np.ndarray], same_label: bool, k: int):
     def search(asking: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out: list[pd.DataFrame] = []
+        found: list[tuple[np.ndarray, ...]] = []
         if len(asking) and len(rows):
-            scores = inner_products(_matrix(asking["embedding"]), _matrix(rows["embedding"]))
-            ids, labels = rows["vec_id"].to_numpy(), rows["label"].to_numpy()
-            least, most = asking["least"].to_numpy(), asking["most"].to_numpy()
-            for i, (row, own, label) in enumerate(zip(asking["row"], asking["vec_id"], asking["label"], strict=True)):
-                fits = ((labels == label) == same_label) & (ids != own)
-                if not pd.isna(least[i]):
-                    fits &= (scores[i] >= least[i]) & (scores[i] <= most[i])
-                at = np.flatnonzero(fits)
-                at = at[_first(scores[i, at], ids[at], k)]
-                if len(at):
-                    out.append(pd.DataFrame({"row": row, "vec_id": ids[at], "score": scores[i, at]}))
-        return pd.concat(out) if out else pd.DataFrame({"row": [], "vec_id": [], "score": []}, dtype=np.int64)
+            for at, vectors in _by_length(rows["embedding"]):
+                ids, labels = rows["vec_id"].to_numpy()[at], rows["label"].to_numpy()[at]
+                norms, units = _norms(vectors), _units(vectors)
+                for cluster, own in asking.groupby("cluster"):
+                    here = inside(cluster, norms, units)
+                    for start in range(0, len(own) if len(here) else 0, ANCHOR_CHUNK):
+                        some = own.iloc[start: start + ANCHOR_CHUNK]
+                        found.extend(_best(some, ids[here], labels[here], vectors[here], same_label, k))
+        parts = [np.concatenate(part) for part in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 4
+        return pd.DataFrame(dict(zip(("row", "want", "vec_id", "score"), parts, strict=True)))
 
     return search
+
+
+def _best(
+    asking: pd.DataFrame, ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray, same_label: bool, k: int,
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """(row, want, vec_id, score) as arrays, for each want of each row of ``asking`` that finds something."""
+    scores = inner_products(_matrix(asking["embedding"]), vectors)
+    columns = (asking[name] for name in ("row", "vec_id", "label", "want", "least", "most"))
+    for own, row, vec_id, label, wants, least, most in zip(scores, *columns, strict=True):
+        near = np.flatnonzero((own >= least.min()) & (own <= most.max()))
+        near = near[((labels[near] == label) == same_label) & (ids[near] != vec_id)]
+        for want, low, high in zip(wants, least, most, strict=True):
+            at = near[(own[near] >= low) & (own[near] <= high)]
+            at = at[_first(own[at], ids[at], k)]
+            if len(at):
+                yield np.full(len(at), row), np.full(len(at), want), ids[at], own[at]
