@@ -94,15 +94,6 @@ def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(whole, -(2**63), 2**63 - 1).astype(np.int64)
 
 
-def _first(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best: higher scores, then smaller ids."""
-    if len(scores) > 4 * k:
-        least = np.partition(scores, len(scores) - k)[len(scores) - k]
-        near = np.flatnonzero(scores >= least)
-        return near[np.lexsort((ids[near], -scores[near]))[:k]]
-    return np.lexsort((ids, -scores))[:k]
-
-
 class Clusters:
     """Centres for vectors of one length; vectors of other lengths are one cluster a length, without a direction."""
 
@@ -338,12 +329,19 @@ def _best(
 ) -> Iterator[tuple[np.ndarray, ...]]:
     """(row, want, vec_id, score) as arrays, for each want of each row of ``asking`` that finds something."""
     scores = inner_products(_matrix(asking["embedding"]), vectors)
-    columns = (asking[name] for name in ("row", "vec_id", "label", "want", "least", "most"))
-    for own, row, vec_id, label, wants, least, most in zip(scores, *columns, strict=True):
-        near = np.flatnonzero((own >= least.min()) & (own <= most.max()))
-        near = near[((labels[near] == label) == same_label) & (ids[near] != vec_id)]
-        for want, low, high in zip(wants, least, most, strict=True):
-            at = near[(own[near] >= low) & (own[near] <= high)]
-            at = at[_first(own[at], ids[at], k)]
-            if len(at):
-                yield np.full(len(at), row), np.full(len(at), want), ids[at], own[at]
+    row, vec_id, label = (asking[name].to_numpy() for name in ("row", "vec_id", "label"))
+    wants, least, most = (asking[name].to_list() for name in ("want", "least", "most"))
+    fits = scores >= np.array([low.min() for low in least])[:, None]
+    fits &= scores <= np.array([high.max() for high in most])[:, None]
+    fits &= (labels == label[:, None]) == same_label
+    fits &= ids != vec_id[:, None]
+    for n in np.flatnonzero(fits.any(axis=1)):
+        near = np.flatnonzero(fits[n])
+        # Upwards, and of equal scores the larger ids first; a range's best are the last ones below its end.
+        near = near[np.lexsort((~ids[near], scores[n, near]))]
+        own = scores[n, near]
+        end = np.searchsorted(own, most[n], "right")
+        size = np.clip(end - np.searchsorted(own, least[n], "left"), 0, k)
+        at = near[np.repeat(end - 1 + np.cumsum(size) - size, size) - np.arange(size.sum())]
+        if len(at):
+            yield np.full(len(at), row[n]), np.repeat(wants[n], size), ids[at], scores[n, at]
